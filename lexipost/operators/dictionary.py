@@ -25,12 +25,13 @@ def doc_terms(documents: DataFrame, docs: DataFrame) -> DataFrame:
     """One row per document with its distinct terms in first-seen order.
 
     The text is reduced to distinct tokens before the join, so the shuffle by
-    document key (or none, if Spark can broadcast ``docs``) carries no repeats.
+    document key carries no repeats. Keys are unique, so no partition is hot; a
+    hash join with the small dictionary rows as build side spares sorting the
+    large token rows, and the shuffle evens out what unequal input files hold.
     """
     reduced = documents.select("block", "name", distinct_tokens("text").alias("terms"))
-    return reduced.join(docs.select("block", "name", "doc_id"), ["block", "name"]).select(
-        "doc_id", "block", "terms"
-    )
+    numbers = docs.select("block", "name", "doc_id").hint("shuffle_hash")
+    return reduced.join(numbers, ["block", "name"]).select("doc_id", "block", "terms")
 
 
 def doc_term_pairs(forward: DataFrame) -> DataFrame:

@@ -26,12 +26,14 @@ def join_weighted(rows: DataFrame, keyed: DataFrame, key: str, weight: str) -> D
     ``keyed`` has one row per key. With a total weight W, at most K keys can weigh
     W/K or more, so the heavy side is at most K rows and safe to broadcast: the
     rows of heavy keys do not move at all. The others are joined by a shuffle in
-    which no key holds more than W/K rows.
+    which no key holds W/K rows.
     """
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bound = heavy_key_bound(partitions)
-    total = keyed.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("total")).first()["total"]
-    floor = max(1, -(-total // bound))
+    total, top = keyed.agg(F.sum(weight), F.max(weight)).first()
+    floor = -(-(total or 0) // bound)
+    if (top or 0) < floor:  # no heavy key: one pass over the rows is enough
+        return rows.join(keyed, key)
     heavy = keyed.filter(F.col(weight) >= floor)
     light = keyed.filter(F.col(weight) < floor)
     near = rows.join(F.broadcast(heavy), key)

@@ -18,6 +18,7 @@ def local_session(cores: str = "8", memory: str = "16g", app: str = "lexipost")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

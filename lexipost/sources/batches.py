@@ -16,8 +16,7 @@ def _whole_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     file_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     qid = F.regexp_extract(file_name, pattern, 1)
     return (
-        spark.read.option("wholetext", True)
-        .text(f"{folder.rstrip('/')}/*")
+        spark.read.text(f"{folder.rstrip('/')}/*", wholetext=True)
         .select(qid.alias("qid"), "value")
         .filter(F.col("qid") != "")
         .withColumn("qid", F.col("qid").cast("bigint"))
@@ -30,7 +29,7 @@ def read_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(value: Column) -> Column:
-    return F.split(F.rtrim(F.lit("\n"), value), "\n")
+    return F.split(F.rtrim(value, F.lit("\n")), "\n")
 
 
 def read_expected(spark: SparkSession, folder: str) -> DataFrame:
