@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexipost.functions.numbers import whole_div
+
 # Fixed values of the formats.
 RAW_BYTES = 8  # bytes of an uncompressed id, little-endian
 VB_BITS = 7  # value bits in each byte, most significant group first
@@ -81,7 +83,7 @@ def vb_value(code: Column) -> Column:
 
 def vb_bytes(gap: Column) -> Column:
     """Bytes that ``vb_code`` takes, without encoding."""
-    return F.floor((_bit_length(gap) + (VB_BITS - 1)) / VB_BITS).cast("bigint")
+    return whole_div(_bit_length(gap) + (VB_BITS - 1), VB_BITS)
 
 
 # --- Elias gamma -----------------------------------------------------------
@@ -108,7 +110,7 @@ def gamma_code(gap: Column) -> Column:
 
 
 def gamma_value(code: Column) -> Column:
-    n = F.floor((F.length(code) - 1) / 2).cast("int")
+    n = whole_div(F.length(code), 2).cast("int")  # n ones, a zero, n bits
     return F.conv(F.concat(F.lit("1"), F.substr(code, n + 2)), 2, 10).cast("bigint")
 
 
@@ -126,7 +128,7 @@ def bits_to_hex(bits: Column) -> Column:
         F.transform(
             words,
             lambda word: F.lpad(
-                F.conv(word, 2, 16), F.floor(F.length(word) / 4).cast("int"), F.lit("0")
+                F.conv(word, 2, 16), whole_div(F.length(word), 4).cast("int"), F.lit("0")
             ),
         ),
         "",

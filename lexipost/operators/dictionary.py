@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexipost.functions.numbers import whole_div
 from lexipost.functions.text import distinct_tokens, document_path
 from lexipost.operators.ranking import dense_ids
 
 
+PIECE_DOCS = 1 << 22
+
+
+def piece_of(doc_id: Column, piece_docs: int) -> Column:
+    """The directory of the stored document dictionary that holds an id."""
+    return whole_div(doc_id, piece_docs)
+
+
 def doc_dictionary(documents: DataFrame, first: int = 0) -> DataFrame:
     """Give each document its id: the rank by (block, name), from ``first``.
 

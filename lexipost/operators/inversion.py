@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexipost.functions.numbers import whole_div
 from lexipost.operators.dictionary import doc_term_pairs
 from lexipost.operators.skew import join_weighted
 
@@ -22,7 +23,7 @@ CHUNK_DOCS = 1 << 16
 
 def range_chunk(chunk_docs: int) -> Column:
     """The chunk of a row in a list that is too long for one piece."""
-    return (F.floor(F.col("doc_id") / chunk_docs) + 1).cast("bigint")
+    return whole_div("doc_id", chunk_docs) + 1
 
 
 def chunk_of(df: Column, chunk_docs: int) -> Column:

@@ -12,10 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexipost.functions.numbers import whole_div
 from lexipost.session import stage
 
 _IN_PARTITION_BITS = 33  # low bits of monotonically_increasing_id()
-PIECE_ROWS = 1 << 20
+PIECE_ROWS = 1 << 16
 
 
 def _exclusive_total(value: str, *, by: Sequence[str] = (), order: str) -> Column:
@@ -63,7 +64,7 @@ def exclusive_totals(
     ``totals`` maps a value column to the name of its total. ``dense_key`` is a
     dense id, so a piece holds at most ``piece`` rows.
     """
-    pieces = df.withColumn("_piece", F.floor(F.col(dense_key) / piece).cast("bigint"))
+    pieces = df.withColumn("_piece", whole_div(dense_key, piece))
     sums = pieces.groupBy("_piece").agg(
         *[F.sum(value).alias(f"_sum_{total}") for value, total in totals.items()]
     )
@@ -98,7 +99,7 @@ def rank_in_group(
 
     A group may hold most of the rows, so it is ranked in pieces of the id range.
     """
-    pieces = df.withColumn("_piece", F.floor(F.col(order) / piece).cast("bigint"))
+    pieces = df.withColumn("_piece", whole_div(order, piece))
     sizes = pieces.groupBy(group, "_piece").agg(F.count("*").alias("_rows"))
     starts = sizes.select(
         group, "_piece", _exclusive_total("_rows", by=[group], order="_piece").alias("_start")

@@ -6,14 +6,14 @@ with a token that the lexicon does not know, or without tokens, has no results.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexipost.functions.text import distinct_tokens, document_path
-from lexipost.operators.dictionary import id_to_path
+from lexipost.operators.dictionary import piece_of
 from lexipost.operators.skew import BATCH_ROWS, BROADCAST_ROWS, fetch_batch, join_weighted
 from lexipost.session import stage
 
@@ -21,6 +21,7 @@ if TYPE_CHECKING:
     from lexipost.plans.index import TextIndex
 
 _SCAN_SALTS = 32
+_LITERAL_TERMS = 256  # more terms than this are joined, not written into the plan
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -32,24 +33,34 @@ def query_terms(queries: DataFrame) -> DataFrame:
     )
 
 
+def _known_terms(lexicon: DataFrame, asked: DataFrame, terms: set[str]) -> DataFrame:
+    """``asked``, a local table with a term column, joined with the lexicon.
+
+    A few terms also go into the scan as literals: the lexicon is sorted by term,
+    so they skip most of its files.
+    """
+    entries = lexicon.select("term", "term_id", "df")
+    if len(terms) <= _LITERAL_TERMS:
+        entries = entries.filter(F.col("term").isin(sorted(terms)))
+    return entries.join(F.broadcast(asked), "term")
+
+
 @dataclass(frozen=True)
 class ResolvedBatch:
     """Answerable queries: (qid, terms), terms an array of (df, term_id), rarest first.
 
-    ``term_ids`` is set for a batch of checked size and lists the ids it asks for;
-    then ``lead_rows`` is the number of postings of all rarest terms and
-    ``check_rows`` the number of memberships to check for them.
+    A small batch, of checked size, also lists the ids of the rarest terms and of
+    the others. ``lead_rows`` is then the number of postings of the rarest terms,
+    which bounds the results, and ``check_rows`` that of the memberships to check.
     """
 
     queries: DataFrame
-    term_ids: list[int] | None = None
+    small: bool = False
+    lead_ids: list[int] = field(default_factory=list)
+    other_ids: list[int] = field(default_factory=list)
     lead_rows: int = 0
     check_rows: int = 0
 
-    @property
-    def small(self) -> bool:
-        return self.term_ids is not None
-
 
 _RESOLVED = "qid bigint, terms array<struct<df: bigint, term_id: bigint>>"
 
@@ -67,35 +78,43 @@ def _answerable(found: DataFrame) -> DataFrame:
 def resolve(lexicon: DataFrame, queries: DataFrame, cap: int = BATCH_ROWS) -> ResolvedBatch:
     """Look the tokens of a batch up in the lexicon.
 
-    Up to ``cap`` (query, token) rows are looked up by literal values, which prune
-    the lexicon scan; the lexicon is unique by term, so the answer has no more rows
-    than were asked for. A larger batch is joined instead.
+    Up to ``cap`` (query, token) rows become a local table. The lexicon is unique by
+    term, so the answer has no more rows than were asked for and is taken to the
+    driver too, where its ids prune the postings scan. A larger batch stays
+    distributed.
     """
     wanted = query_terms(queries)
-    entries = lexicon.select("term", "term_id", "df")
     asked = fetch_batch(wanted, cap)
     if asked is not None:
         spark = lexicon.sparkSession
         local = spark.createDataFrame(asked, wanted.schema)
-        found = entries.filter(F.col("term").isin(sorted({row.term for row in asked}))).join(
-            F.broadcast(local), "term"
-        )
+        found = _known_terms(lexicon, local, {row.term for row in asked})
         plans = _answerable(found).collect()
         return ResolvedBatch(
             spark.createDataFrame(plans, _RESOLVED),
-            sorted({term.term_id for plan in plans for term in plan.terms}),
+            True,
+            sorted({plan.terms[0].term_id for plan in plans}),
+            sorted({term.term_id for plan in plans for term in plan.terms[1:]}),
             sum(plan.terms[0].df for plan in plans),
             sum(plan.terms[0].df * (len(plan.terms) - 1) for plan in plans),
         )
     # One row per term on both sides first, so that a token which most queries
     # share meets the lexicon once; its rows are then joined as a heavy key.
     uses = wanted.groupBy("term").agg(F.count("*").alias("uses"))
+    entries = lexicon.select("term", "term_id", "df")
     known = stage(uses.join(entries, "term"), "query-terms")
     return ResolvedBatch(stage(_answerable(join_weighted(wanted, known, "term", "uses")), "queries"))
 
 
-def _with_paths(index: TextIndex, hits: DataFrame) -> DataFrame:
-    return id_to_path(index.docs, hits).select("qid", "doc_id", "path")
+def _with_paths(index: TextIndex, batch: ResolvedBatch, hits: DataFrame) -> DataFrame:
+    """Results of a known, small bound are sent to the dictionary; others meet it
+    in a shuffle. Joining on the directory number too lets Spark skip, at run time,
+    the dictionary directories that no result falls into.
+    """
+    hits = hits.withColumn("piece", piece_of(F.col("doc_id"), index.meta.piece_docs))
+    if batch.small and batch.lead_rows <= BROADCAST_ROWS:
+        hits = F.broadcast(hits)
+    return index.docs.join(hits, ["piece", "doc_id"]).select("qid", "doc_id", "path")
 
 
 def _by_division(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
@@ -103,7 +122,7 @@ def _by_division(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
         "qid", F.size("terms").alias("n_terms"), F.explode("terms.term_id").alias("term_id")
     )
     return (
-        index.postings_of(batch.term_ids)
+        index.postings_of(sorted({*batch.lead_ids, *batch.other_ids}))
         .join(F.broadcast(wanted), "term_id")
         .groupBy("qid", "n_terms", "doc_id")
         .agg(F.count("*").alias("n_found"))
@@ -112,6 +131,21 @@ def _by_division(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     )
 
 
+def _in_lead(index: TextIndex, batch: ResolvedBatch, plans: DataFrame) -> DataFrame:
+    """The documents in the rarest list of each query, with the columns of ``plans``."""
+    if batch.small:
+        return index.postings_of(batch.lead_ids).join(F.broadcast(plans), "term_id")
+    # Long lists are stored in chunks: ask for each chunk by its number, and a hot
+    # term spreads over as many tasks as it has chunks.
+    limit = index.meta.chunk_docs
+    last = (max(index.meta.n_docs, 1) - 1) // limit + 1
+    chunks = F.when(
+        F.col("df") > limit, F.sequence(F.lit(1), F.lit(last))
+    ).otherwise(F.array(F.lit(0)))
+    asked = plans.withColumn("chunk", F.explode(chunks.cast("array<bigint>")))
+    return index.postings().join(asked, ["term_id", "chunk"])
+
+
 def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     plans = batch.queries.select(
         "qid",
@@ -119,36 +153,22 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
         F.element_at("terms.df", 1).alias("df"),
         F.slice("terms.term_id", F.lit(2), F.size("terms")).alias("others"),
     )
-    if batch.small:
-        postings = index.postings_of(batch.term_ids)
-        candidates = postings.join(F.broadcast(plans), "term_id")
-    else:
-        # Long lists are stored in chunks: ask for each chunk by its number, and
-        # a hot term spreads over as many tasks as it has chunks.
-        postings = index.postings()
-        last = F.lit((max(index.meta.n_docs, 1) - 1) // index.meta.chunk_docs + 1)
-        chunks = F.when(
-            F.col("df") > index.meta.chunk_docs, F.sequence(F.lit(1).cast("bigint"), last.cast("bigint"))
-        ).otherwise(F.array(F.lit(0).cast("bigint")))
-        candidates = postings.join(
-            plans.withColumn("chunk", F.explode(chunks)), ["term_id", "chunk"]
-        )
-    candidates = candidates.select("qid", "doc_id", "others")
-    done = candidates.filter(F.size("others") == 0).select("qid", "doc_id")
-    checks = candidates.select(
+    single = _in_lead(index, batch, plans.filter(F.size("others") == 0)).select("qid", "doc_id")
+    checks = _in_lead(index, batch, plans.filter(F.size("others") > 0)).select(
         "qid", "doc_id", F.size("others").alias("n_others"), F.explode("others").alias("term_id")
     )
+    lists = index.postings_of(batch.other_ids) if batch.small else index.postings()
     if batch.small and batch.check_rows <= BROADCAST_ROWS:
         checks = F.broadcast(checks)
     confirmed = (
-        postings.select("term_id", "doc_id")
+        lists.select("term_id", "doc_id")
         .join(checks, ["term_id", "doc_id"])
         .groupBy("qid", "n_others", "doc_id")
         .agg(F.count("*").alias("n_found"))
         .filter(F.col("n_found") == F.col("n_others"))
         .select("qid", "doc_id")
     )
-    return done.unionByName(confirmed)
+    return single.unionByName(confirmed)
 
 
 def retrieve(index: TextIndex, queries: DataFrame, cap: int = BATCH_ROWS) -> DataFrame:
@@ -160,7 +180,7 @@ def retrieve(index: TextIndex, queries: DataFrame, cap: int = BATCH_ROWS) -> Dat
     """
     batch = resolve(index.lexicon, queries, cap)
     hits = _by_division(index, batch) if batch.small else _by_rarest(index, batch)
-    return _with_paths(index, hits)
+    return _with_paths(index, batch, hits)
 
 
 def retrieve_rarest_first(
@@ -171,7 +191,8 @@ def retrieve_rarest_first(
     Only documents in the shortest list are candidates, so a query that pairs a
     rare token with stop words does not shuffle the stop words' lists.
     """
-    return _with_paths(index, _by_rarest(index, resolve(index.lexicon, queries, cap)))
+    batch = resolve(index.lexicon, queries, cap)
+    return _with_paths(index, batch, _by_rarest(index, batch))
 
 
 def retrieve_by_scan(
@@ -200,13 +221,17 @@ def postings_lookup(index: TextIndex, terms: DataFrame, cap: int = BATCH_ROWS) -
     """(term, doc_id): the postings of each row of ``terms`` that is indexed."""
     wanted = terms.select("term").distinct()
     asked = fetch_batch(wanted, cap)
-    entries = index.lexicon.select("term", "term_id", "df")
     if asked is None:
+        entries = index.lexicon.select("term", "term_id", "df")
         known = stage(wanted.join(entries, "term"), "lookup-terms")
         found = join_weighted(index.postings().select("term_id", "doc_id"), known, "term_id", "df")
         return found.select("term", "doc_id")
-    known = entries.filter(F.col("term").isin(sorted(row.term for row in asked))).collect()
-    local = index.lexicon.sparkSession.createDataFrame(known, entries.schema)
+    spark = index.spark
+    found = _known_terms(
+        index.lexicon, spark.createDataFrame(asked, wanted.schema), {row.term for row in asked}
+    ).select("term", "term_id")
+    known = found.collect()
+    local = spark.createDataFrame(known, found.schema)
     return (
         index.postings_of(sorted(row.term_id for row in known))
         .join(F.broadcast(local), "term_id")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexipost.functions import codes
+from lexipost.functions.numbers import whole_div
 from lexipost.operators.gaps import previous_ids
 from lexipost.operators.ranking import PIECE_ROWS, exclusive_totals
 
@@ -28,7 +29,7 @@ def list_sizes(postings: DataFrame) -> DataFrame:
             "n_postings",
             (F.col("n_postings") * codes.RAW_BYTES).alias("raw"),
             "vb",
-            F.ceil(F.col("bits") / 8).cast("bigint").alias("gamma"),
+            whole_div(F.col("bits") + 7, 8).alias("gamma"),
         )
     )
 

@@ -11,6 +11,7 @@ from lexipost import schemas
 from lexipost.functions.codes import check_codec
 from lexipost.operators.codecs import decode
 from lexipost.operators.dictionary import (
+    PIECE_DOCS,
     build_lexicon,
     doc_dictionary,
     doc_terms,
@@ -29,9 +30,15 @@ class IndexMeta:
     n_postings: int
     n_shards: int
     chunk_docs: int
+    piece_docs: int
     codec: str
 
 
+def _listed(numbers: list[int]) -> str:
+    # One SQL text; a Column literal for each number would cost a call to the JVM.
+    return ", ".join(f"{number:d}L" for number in numbers)
+
+
 @dataclass(frozen=True)
 class TextIndex:
     """An index directory: docs, lexicon and postings, all read when used."""
@@ -71,10 +78,11 @@ class TextIndex:
 
         The literals prune shard directories and then row groups.
         """
+        if not term_ids:
+            return self._rows(self._stored().filter("false"))
         shards = sorted({term_id % self.meta.n_shards for term_id in term_ids})
-        return self._rows(
-            self._stored().filter(F.col("shard").isin(shards) & F.col("term_id").isin(term_ids))
-        )
+        wanted = f"shard in ({_listed(shards)}) and term_id in ({_listed(term_ids)})"
+        return self._rows(self._stored().filter(wanted))
 
 
 def open_index(spark: SparkSession, path: str) -> TextIndex:
@@ -86,28 +94,31 @@ def _finish(
     spark: SparkSession,
     path: str,
     postings: DataFrame,
-    n_docs: int,
     n_shards: int | None,
     chunk_docs: int,
+    piece_docs: int,
     codec: str,
 ) -> TextIndex:
+    n_docs = sources.read_docs(spark, path).count()
     lexicon = sources.read_lexicon(spark, path)
     size = lexicon.agg(F.count("*").alias("terms"), F.coalesce(F.sum("df"), F.lit(0)).alias("rows"))
     n_terms, n_postings = size.first()
     n_shards = n_shards or sinks.default_shards(n_postings)
     sinks.write_postings(postings, path, n_shards, codec)
-    meta = IndexMeta(n_docs, n_terms, n_postings, n_shards, chunk_docs, codec)
+    meta = IndexMeta(n_docs, n_terms, n_postings, n_shards, chunk_docs, piece_docs, codec)
     sinks.write_meta(spark.createDataFrame([asdict(meta)], schemas.META), path)
     return TextIndex(spark, path, meta)
 
 
-def forward_table(spark: SparkSession, documents: DataFrame, path: str) -> DataFrame:
+def forward_table(
+    spark: SparkSession, documents: DataFrame, path: str, piece_docs: int
+) -> DataFrame:
     """Number the documents into ``path`` and stage their distinct terms.
 
     The staged table is read by the lexicon and by the inversion, so the texts are
     tokenised once.
     """
-    sinks.write_docs(doc_dictionary(documents), path)
+    sinks.write_docs(doc_dictionary(documents), path, piece_docs)
     return stage(doc_terms(documents, sources.read_docs(spark, path)), "forward")
 
 
@@ -122,6 +133,7 @@ def build_index(
     codec: str = sinks.ROWS,
     n_shards: int | None = None,
     chunk_docs: int = CHUNK_DOCS,
+    piece_docs: int = PIECE_DOCS,
 ) -> TextIndex:
     """Index ``documents`` (block, name, text) into ``path``, replacing what is there.
 
@@ -131,11 +143,10 @@ def build_index(
     if codec != sinks.ROWS:
         check_codec(codec)
     spark = documents.sparkSession
-    forward = forward_table(spark, documents, path)
+    forward = forward_table(spark, documents, path, piece_docs)
     lexicon = lexicon_table(spark, forward, path)
     postings = invert(forward, lexicon, chunk_docs)
-    n_docs = sources.read_docs(spark, path).count()
-    return _finish(spark, path, postings, n_docs, n_shards, chunk_docs, codec)
+    return _finish(spark, path, postings, n_shards, chunk_docs, piece_docs, codec)
 
 
 def _rechunked(index: TextIndex, lexicon: DataFrame) -> DataFrame:
@@ -177,11 +188,13 @@ def extend_index(index: TextIndex, documents: DataFrame, path: str) -> TextIndex
     spark, meta = index.spark, index.meta
     keys = documents.select("block", "name").join(index.docs, ["block", "name"], "left_anti")
     fresh = stage(doc_dictionary(keys, meta.n_docs), "new-docs")
-    sinks.write_docs(index.docs.unionByName(fresh), path)
+    known = index.docs.drop("piece")
+    sinks.write_docs(known.unionByName(fresh), path, meta.piece_docs)
     forward = stage(doc_terms(documents, fresh), "forward")
     sinks.write_lexicon(extend_lexicon(index.lexicon, forward), path)
     lexicon = sources.read_lexicon(spark, path)
     added = invert(forward, lexicon, meta.chunk_docs).select("term_id", "chunk", "doc_id")
     postings = _rechunked(index, lexicon).unionByName(added)
-    n_docs = sources.read_docs(spark, path).count()
-    return _finish(spark, path, postings, n_docs, meta.n_shards, meta.chunk_docs, meta.codec)
+    return _finish(
+        spark, path, postings, meta.n_shards, meta.chunk_docs, meta.piece_docs, meta.codec
+    )

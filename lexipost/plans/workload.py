@@ -2,7 +2,8 @@
 
 Every query takes (spark, sf_dir) and reads the ``documents`` table there, with
 ``source`` as block and the table's id as file name. Queries that ask an index
-share the one that the first of them builds.
+share the one that the first of them builds, and so do those that start from the
+staged forward table.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from lexipost.functions.text import document_path, normal_path, tokens
 from lexipost.operators import codecs, compare, dictionary, gaps, inversion, retrieval, stats
 from lexipost.operators.ranking import rank_in_group
 from lexipost.plans.index import TextIndex, build_index, extend_index
-from lexipost.session import new_stage_path
+from lexipost.session import new_stage_path, stage
 from lexipost.sinks.index import write_segments
 from lexipost.sinks.results import write_results
 from lexipost.sources.index import read_segments
@@ -49,6 +50,7 @@ EDITED_BATCH = [
 LAST_BASE_BLOCK = "src15"  # blocks from here on arrive as the second batch
 
 _built: dict[tuple[str, str, str], TextIndex] = {}
+_forward_tables: dict[tuple[str, str], DataFrame] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +78,14 @@ def _batch(spark: SparkSession) -> DataFrame:
 
 
 def _forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dictionary.doc_terms(documents(spark, sf_dir), index_of(spark, sf_dir).docs)
+    """The distinct terms of each document, staged as a build stages them."""
+    key = (spark.conf.get("spark.app.id"), sf_dir)
+    if key not in _forward_tables:
+        docs = index_of(spark, sf_dir).docs
+        _forward_tables[key] = stage(
+            dictionary.doc_terms(documents(spark, sf_dir), docs), "forward"
+        )
+    return _forward_tables[key]
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,5 +27,11 @@ QUERIES = _table(qid=_LONG, query=_STRING)
 RANKED_RESULTS = _table(qid=_LONG, rank=_LONG, path=_STRING)
 #: What an index directory says about itself.
 META = _table(
-    n_docs=_LONG, n_terms=_LONG, n_postings=_LONG, n_shards=_LONG, chunk_docs=_LONG, codec=_STRING
+    n_docs=_LONG,
+    n_terms=_LONG,
+    n_postings=_LONG,
+    n_shards=_LONG,
+    chunk_docs=_LONG,
+    piece_docs=_LONG,
+    codec=_STRING,
 )

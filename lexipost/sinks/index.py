@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexipost.operators.codecs import encode
+from lexipost.operators.dictionary import PIECE_DOCS, piece_of
 
 ROWS = "rows"  # flat posting rows, compressed by Parquet alone
 _POSTINGS_PER_SHARD = 4_000_000
@@ -28,8 +29,14 @@ def shard_of(term_id: Column, n_shards: int) -> Column:
     return F.pmod(term_id, F.lit(n_shards)).cast("bigint")
 
 
-def write_docs(docs: DataFrame, path: str) -> None:
-    docs.write.mode("overwrite").parquet(f"{path}/docs")
+def write_docs(docs: DataFrame, path: str, piece_docs: int = PIECE_DOCS) -> None:
+    """One directory per ``piece_docs`` ids, so that a lookup reads those it needs."""
+    (
+        docs.withColumn("piece", piece_of(F.col("doc_id"), piece_docs))
+        .write.mode("overwrite")
+        .partitionBy("piece")
+        .parquet(f"{path}/docs")
+    )
 
 
 def write_lexicon(lexicon: DataFrame, path: str) -> None:

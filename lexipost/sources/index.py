@@ -15,7 +15,7 @@ def _with(schema: T.StructType, **more: T.DataType) -> T.StructType:
 
 
 def read_docs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.DOCS).parquet(f"{path}/docs")
+    return spark.read.schema(_with(schemas.DOCS, piece=T.LongType())).parquet(f"{path}/docs")
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:

@@ -13,5 +13,6 @@ from lexipost.session import local_session  # noqa: E402
 def spark():
     session = local_session(cores="4", memory="8g", app="lexipost-tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()

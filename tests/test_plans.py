@@ -33,6 +33,14 @@ def test_lookup_prunes_shards_and_pushes_term_ids(index):
     assert all("/shard=1/" in row.f for row in files)
 
 
+def test_small_results_skip_dictionary_directories(spark):
+    documents = read_documents(spark, DOCUMENTS, "source", "doc_id")
+    index = build_index(documents, new_stage_path(spark, "plans"), piece_docs=50)
+    batch = queries_from_rows(spark, [(1, "the and of"), (2, "in the")])
+    for ask in (retrieve, retrieval.retrieve_rarest_first):
+        assert "dynamicpruning" in _plan(ask(index, batch))
+
+
 def test_document_ids_never_read_the_text(spark):
     documents = read_documents(spark, DOCUMENTS, "source", "doc_id")
     plan = _plan(documents.select("block", "name"))
@@ -66,6 +74,16 @@ def test_no_cross_join_anywhere(spark, index):
         assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_large_batches_broadcast_nothing(spark, index):
+    batch = queries_from_rows(spark, [(1, "the and of"), (2, "in the")])
+    automatic = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in _plan(retrieve(index, batch, cap=0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
+
+
 def test_only_piece_tables_meet_in_one_task(index):
     """A window without a key may only see one row per piece."""
     plan = _plan(stats.term_stats(index.postings()))
