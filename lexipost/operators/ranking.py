@@ -62,9 +62,11 @@ def exclusive_totals(
     """Add running totals in ``dense_key`` order, each without its own row.
 
     ``totals`` maps a value column to the name of its total. ``dense_key`` is a
-    dense id, so a piece holds at most ``piece`` rows.
+    dense id, so a piece holds at most ``piece`` rows. ``df`` feeds both the sums of
+    the pieces and their rows, and is staged so that it is computed once.
     """
-    pieces = df.withColumn("_piece", whole_div(dense_key, piece))
+    staged = stage(df, "totals")
+    pieces = staged.withColumn("_piece", whole_div(dense_key, piece))
     sums = pieces.groupBy("_piece").agg(
         *[F.sum(value).alias(f"_sum_{total}") for value, total in totals.items()]
     )
@@ -98,8 +100,9 @@ def rank_in_group(
     """Add the 0-based rank by ``order`` (a unique bigint id) inside each ``group``.
 
     A group may hold most of the rows, so it is ranked in pieces of the id range.
+    ``df`` is staged, because the sizes of the pieces come first.
     """
-    pieces = df.withColumn("_piece", whole_div(order, piece))
+    pieces = stage(df, "ranked").withColumn("_piece", whole_div(order, piece))
     sizes = pieces.groupBy(group, "_piece").agg(F.count("*").alias("_rows"))
     starts = sizes.select(
         group, "_piece", _exclusive_total("_rows", by=[group], order="_piece").alias("_start")
