@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexipost.functions.numbers import whole_div
 from lexipost.functions.text import distinct_tokens, document_path
 from lexipost.operators.ranking import dense_ids
+from lexipost.session import stage
 
 
 PIECE_DOCS = 1 << 22
@@ -75,9 +76,9 @@ def extend_lexicon(lexicon: DataFrame, forward: DataFrame) -> DataFrame:
     """Add the terms of further documents; known terms keep their id.
 
     ``forward`` holds only documents that ``lexicon`` has not counted. Both sides
-    of the join have one row per term, so no key is hot.
+    of each join have one row per term, so no key is hot.
     """
-    seen = _first_seen(forward)
+    seen = stage(_first_seen(forward), "seen")
     size = lexicon.count()
     fresh = dense_ids(
         seen.join(lexicon.select("term"), "term", "left_anti"),

@@ -49,6 +49,12 @@ def gaps(postings: DataFrame, base: int = VB_BASE) -> DataFrame:
     )
 
 
+def with_base(gapped: DataFrame) -> DataFrame:
+    """Add ``base``: what the first gap of the chunk was measured from."""
+    in_chunk = Window.partitionBy("term_id", "chunk")
+    return gapped.withColumn("base", F.min("prev").over(in_chunk))
+
+
 def gaps_to_postings(gapped: DataFrame, order: str = "pos") -> DataFrame:
     """Running sum of (term_id, chunk, base, ``order``, gap) rows within each chunk."""
     so_far = (

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lexipost.functions.numbers import whole_div
 from lexipost.operators.dictionary import doc_term_pairs
 from lexipost.operators.skew import join_weighted
+from lexipost.session import stage
 
 CHUNK_DOCS = 1 << 16
 
@@ -69,7 +70,8 @@ def add_chunks(
     rows: DataFrame, frequency: DataFrame, chunk_docs: int = CHUNK_DOCS
 ) -> DataFrame:
     """Chunk numbers for merged rows, from the frequencies of the merged lists."""
-    return join_weighted(rows, frequency.select("term_id", "df"), "term_id", "df").select(
+    frequency = stage(frequency.select("term_id", "df"), "frequency")
+    return join_weighted(rows, frequency, "term_id", "df").select(
         "term_id", chunk_of(F.col("df"), chunk_docs).alias("chunk"), "doc_id"
     )
 

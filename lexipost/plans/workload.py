@@ -301,11 +301,8 @@ def gap_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gap_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gapped = gaps.gaps(index_of(spark, sf_dir).postings())
-    starts = gapped.groupBy("term_id", "chunk").agg(F.min("prev").alias("base"))
-    return gaps.gaps_to_postings(
-        gapped.join(starts, ["term_id", "chunk"]), order="doc_id"
-    ).select("term_id", "doc_id")
+    gapped = gaps.with_base(gaps.gaps(index_of(spark, sf_dir).postings()))
+    return gaps.gaps_to_postings(gapped, order="doc_id").select("term_id", "doc_id")
 
 
 def _encode(codec: str) -> Query:
