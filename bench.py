@@ -29,6 +29,7 @@ HEADLINE = [
     "index_scan",
     "postings_lookup",
     "retrieve",
+    "retrieve_by_division",
     "retrieve_rarest_first",
     "retrieve_by_scan",
     "retrieve_items",

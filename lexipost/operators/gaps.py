@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexipost.functions.codes import VB_BASE
@@ -23,10 +23,18 @@ def _chunk_marks(postings: DataFrame) -> DataFrame:
     )
 
 
+def _checked_id() -> Column:
+    doc_id, prev = F.col("doc_id"), F.col("prev")
+    return F.when((doc_id >= 0) & (prev.isNull() | (prev < doc_id)), doc_id).otherwise(
+        F.raise_error(F.lit("postings must be distinct and not negative")).cast("bigint")
+    )
+
+
 def previous_ids(postings: DataFrame) -> DataFrame:
     """Add ``prev``: the id before this one in its list, null for the first.
 
-    Each window holds one chunk. The id that a chunk starts from is put into it as
+    The rows of a list must be distinct and not negative: a repeat would become a
+    gap that no code can hold, so it fails the job. Each window holds one chunk. The id that a chunk starts from is put into it as
     a mark row ahead of its postings, so carrying it over takes no join.
     """
     rows = postings.select("term_id", "chunk", "doc_id", F.lit(False).alias("mark"))
@@ -37,6 +45,7 @@ def previous_ids(postings: DataFrame) -> DataFrame:
         .withColumn("prev", F.lag("doc_id").over(in_chunk))
         .filter(~F.col("mark"))
         .drop("mark")
+        .withColumn("doc_id", _checked_id())
     )
 
 

@@ -117,24 +117,12 @@ def _with_paths(index: TextIndex, batch: ResolvedBatch, hits: DataFrame) -> Data
     return index.docs.join(hits, ["piece", "doc_id"]).select("qid", "doc_id", "path")
 
 
-def _by_division(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
-    wanted = batch.queries.select(
-        "qid", F.size("terms").alias("n_terms"), F.explode("terms.term_id").alias("term_id")
-    )
-    return (
-        index.postings_of(sorted({*batch.lead_ids, *batch.other_ids}))
-        .join(F.broadcast(wanted), "term_id")
-        .groupBy("qid", "n_terms", "doc_id")
-        .agg(F.count("*").alias("n_found"))
-        .filter(F.col("n_found") == F.col("n_terms"))
-        .select("qid", "doc_id")
-    )
-
-
-def _in_lead(index: TextIndex, batch: ResolvedBatch, plans: DataFrame) -> DataFrame:
-    """The documents in the rarest list of each query, with the columns of ``plans``."""
+def _with_lists(
+    index: TextIndex, batch: ResolvedBatch, asked: DataFrame, term_ids: list[int]
+) -> DataFrame:
+    """Join ``asked`` (term_id, df and more) with the documents in the terms' lists."""
     if batch.small:
-        return index.postings_of(batch.lead_ids).join(F.broadcast(plans), "term_id")
+        return index.postings_of(term_ids).join(F.broadcast(asked), "term_id")
     # Long lists are stored in chunks: ask for each chunk by its number, and a hot
     # term spreads over as many tasks as it has chunks.
     limit = index.meta.chunk_docs
@@ -142,8 +130,22 @@ def _in_lead(index: TextIndex, batch: ResolvedBatch, plans: DataFrame) -> DataFr
     chunks = F.when(
         F.col("df") > limit, F.sequence(F.lit(1), F.lit(last))
     ).otherwise(F.array(F.lit(0)))
-    asked = plans.withColumn("chunk", F.explode(chunks.cast("array<bigint>")))
-    return index.postings().join(asked, ["term_id", "chunk"])
+    by_chunk = asked.withColumn("chunk", F.explode(chunks.cast("array<bigint>")))
+    return index.postings().join(by_chunk, ["term_id", "chunk"])
+
+
+def _by_division(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
+    asked = batch.queries.select(
+        "qid", F.size("terms").alias("n_terms"), F.explode("terms").alias("term")
+    ).select("qid", "n_terms", "term.term_id", "term.df")
+    term_ids = sorted({*batch.lead_ids, *batch.other_ids})
+    return (
+        _with_lists(index, batch, asked, term_ids)
+        .groupBy("qid", "n_terms", "doc_id")
+        .agg(F.count("*").alias("n_found"))
+        .filter(F.col("n_found") == F.col("n_terms"))
+        .select("qid", "doc_id")
+    )
 
 
 def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
@@ -153,8 +155,9 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
         F.element_at("terms.df", 1).alias("df"),
         F.slice("terms.term_id", F.lit(2), F.size("terms")).alias("others"),
     )
-    single = _in_lead(index, batch, plans.filter(F.size("others") == 0)).select("qid", "doc_id")
-    checks = _in_lead(index, batch, plans.filter(F.size("others") > 0)).select(
+    alone, paired = plans.filter(F.size("others") == 0), plans.filter(F.size("others") > 0)
+    single = _with_lists(index, batch, alone, batch.lead_ids).select("qid", "doc_id")
+    checks = _with_lists(index, batch, paired, batch.lead_ids).select(
         "qid", "doc_id", F.size("others").alias("n_others"), F.explode("others").alias("term_id")
     )
     lists = index.postings_of(batch.other_ids) if batch.small else index.postings()
@@ -174,15 +177,27 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
 def retrieve(index: TextIndex, queries: DataFrame, cap: int = BATCH_ROWS) -> DataFrame:
     """(qid, doc_id, path) of every match; order by (qid, doc_id) for display.
 
-    A batch of up to ``cap`` (query, token) rows counts the matching tokens of
-    each document in one pass over the lists it needs. A larger one starts from
-    the rarest token of each query.
+    The document frequencies decide how: a batch of up to ``cap`` (query, token) rows
+    whose rarest lists leave too many documents to check by broadcast counts the
+    tokens of each document; any other starts from the rarest lists.
     """
     batch = resolve(index.lexicon, queries, cap)
-    hits = _by_division(index, batch) if batch.small else _by_rarest(index, batch)
+    count = batch.small and batch.check_rows > BROADCAST_ROWS
+    hits = _by_division(index, batch) if count else _by_rarest(index, batch)
     return _with_paths(index, batch, hits)
 
 
+def retrieve_by_division(
+    index: TextIndex, queries: DataFrame, cap: int = BATCH_ROWS
+) -> DataFrame:
+    """The result of ``retrieve``: documents that match as many tokens as there are.
+
+    Each list is read once and every posting of it shuffled.
+    """
+    batch = resolve(index.lexicon, queries, cap)
+    return _with_paths(index, batch, _by_division(index, batch))
+
+
 def retrieve_rarest_first(
     index: TextIndex, queries: DataFrame, cap: int = BATCH_ROWS
 ) -> DataFrame:

@@ -234,6 +234,7 @@ ORACLE: dict[str, str] = {
         _TOK,
     ),
     "retrieve": _BATCH_ANSWERS,
+    "retrieve_by_division": _BATCH_ANSWERS,
     "retrieve_rarest_first": _BATCH_ANSWERS,
     "retrieve_by_scan": _answers(_values("batch", BATCH), "qid, path"),
     "retrieve_items": _ITEM_ANSWERS,

@@ -245,6 +245,10 @@ def retrieve_rarest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.retrieve_rarest_first(index_of(spark, sf_dir), _batch(spark))
 
 
+def retrieve_by_division(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.retrieve_by_division(index_of(spark, sf_dir), _batch(spark))
+
+
 def retrieve_by_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.retrieve_by_scan(documents(spark, sf_dir), _batch(spark))
 
@@ -351,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "postings_lookup": postings_lookup,
     "postings_intersect": postings_intersect,
     "retrieve": retrieve,
+    "retrieve_by_division": retrieve_by_division,
     "retrieve_rarest_first": retrieve_rarest_first,
     "retrieve_by_scan": retrieve_by_scan,
     "retrieve_items": retrieve_items,

@@ -141,6 +141,13 @@ def test_no_postings(spark, codec):
     assert {r.n_bytes for r in size_report(none).collect()} == {0}
 
 
+@pytest.mark.parametrize("codec", ["vb", "gamma"])
+@pytest.mark.parametrize("ids", [[3, 3], [-1, 2]])
+def test_lists_that_no_code_can_hold_fail(spark, codec, ids):
+    with pytest.raises(Exception, match="distinct and not negative"):
+        encode(_postings(spark, {0: ids}), codec).collect()
+
+
 def test_unknown_codec(spark):
     with pytest.raises(ValueError):
         encode(_postings(spark, {0: [1]}), "zip")

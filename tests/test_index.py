@@ -77,12 +77,20 @@ def test_every_way_to_retrieve(spark, codec, chunk_docs):
     expected = _expected(toy.MIXED, QUERIES)
     assert expected
     batch = queries_from_rows(spark, QUERIES)
-    for ask in (retrieve, retrieve_rarest_first):
+    for ask in (retrieve, retrieve_rarest_first, retrieval.retrieve_by_division):
         for cap in (0, 1000):
             rows = ask(index, batch, cap).orderBy("qid", "doc_id").collect()
             assert [tuple(r) for r in rows] == expected
 
 
+def test_the_choice_of_plan_does_not_change_results(spark, monkeypatch):
+    index = _build(spark, toy.MIXED)
+    batch = queries_from_rows(spark, QUERIES)
+    monkeypatch.setattr(retrieval, "BROADCAST_ROWS", 0)
+    rows = retrieve(index, batch).orderBy("qid", "doc_id").collect()
+    assert [tuple(r) for r in rows] == _expected(toy.MIXED, QUERIES)
+
+
 @pytest.mark.parametrize("cap", [0, 1000])
 def test_retrieve_by_scan(spark, cap):
     rows = retrieve_by_scan(toy.frame(spark, toy.MIXED), queries_from_rows(spark, QUERIES), cap)

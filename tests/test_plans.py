@@ -67,6 +67,8 @@ def test_no_cross_join_anywhere(spark, index):
         retrieve(index, batch),
         retrieve(index, batch, cap=0),
         retrieval.retrieve_rarest_first(index, batch),
+        retrieval.retrieve_by_division(index, batch),
+        retrieval.retrieve_by_division(index, batch, cap=0),
         retrieval.retrieve_by_scan(documents, batch),
         retrieval.retrieve_by_scan(documents, batch, cap=0),
     ):
