@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lexipost.operators.codecs import encode
 from lexipost.operators.dictionary import PIECE_DOCS, piece_of
+from lexipost.session import stage
 
 ROWS = "rows"  # flat posting rows, compressed by Parquet alone
 _POSTINGS_PER_SHARD = 4_000_000
@@ -51,7 +52,8 @@ def write_postings(postings: DataFrame, path: str, n_shards: int, codec: str = R
         rows = postings.select("term_id", "chunk", "doc_id")
         order = ["shard", "term_id", "doc_id"]
     else:
-        rows = encode(postings, codec).withColumn("payload", F.unhex("payload"))
+        # Staged, as the range partitioning samples its input before it reads it.
+        rows = stage(encode(postings, codec).withColumn("payload", F.unhex("payload")), "encoded")
         order = ["shard", "term_id", "chunk"]
     (
         rows.withColumn("shard", shard_of(F.col("term_id"), n_shards))
