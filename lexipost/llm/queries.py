@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexipost.llm import bpe, secrets, token_files, url_filter
+from lexipost.llm import (
+    bpe,
+    mixing,
+    near_dedup,
+    order_minhash,
+    secrets,
+    token_files,
+    toxicity,
+    url_filter,
+    vector_dedup,
+)
 from lexipost.session import new_stage_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = token_files.tokenized(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_ID
@@ -38,6 +52,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_offsets(spark, path)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(
         table(spark, sf_dir, "documents"),
@@ -72,9 +92,27 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source weighs the square root of its text."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.vector_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
+    "op3_toxicity": op3_toxicity,
     "op4_bpe": op4_bpe,
     "op5_secrets": op5_secrets,
     "op6_url_filter": op6_url_filter,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_mixing": op9_mixing,
+    "op10_vector_dedup": op10_vector_dedup,
 }

@@ -73,7 +73,7 @@ def signatures(elements: np.ndarray, lengths: np.ndarray, slots: int) -> np.ndar
     state = elements
     drawn: list[np.ndarray] = []  # Fisher-Yates draws so far, per active element
     for rank in range(slots):
-        word = mix(state + _GAMMA * _U64(rank + 1))
+        word = mix(state + np.uint64((0x9E3779B97F4A7C15 * (rank + 1)) & 0xFFFFFFFFFFFFFFFF))
         value = (word >> _U64(40)).astype(np.float32) * np.float32(2.0**-24)
         draw = rank + ((word & _U64(0xFFFFFFFF)) * _U64(slots - rank) >> _U64(32)).astype(np.int32)
         slot = draw.copy()
