@@ -1,4 +1,9 @@
-"""The document pipeline: stages that each read what the one before kept."""
+"""The document pipeline: stages that each read what the one before kept.
+
+Toxic documents go, one document of each group of near-duplicates stays, secrets in the
+texts that are left are masked, documents are put in the order of the mixture of their
+sources, and their texts are encoded.
+"""
 
 from __future__ import annotations
 
@@ -8,28 +13,61 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexipost.llm import bpe, secrets
+from lexipost.llm import bpe, mixing, near_dedup, secrets, toxicity
 from lexipost.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-REDACTED = "[secret]"
+SECRET_MARK = "[secret]"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the model, fitted on the labels, does not find toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.fit_toxicity(docs, labels))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the least id.
+
+    Rows without an id stay, and so do all rows of an id of which one is kept.
+    """
+    found = near_dedup.near_duplicates(docs)
+    dropped = stage(
+        found.groupBy(F.col("doc_id").alias("_dropped"))
+        .agg(F.max("kept").alias("kept"))
+        .filter(~F.col("kept"))
+        .select("_dropped"),
+        "dropped",
+    )
+    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its secrets replaced by a mark and its length by the new one."""
+    return secrets.redacted(docs, SECRET_MARK, length="n_chars")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, in the order of the mixture; sources weigh the root of their text."""
+    return mixing.mixed(docs, mixing.mix_sources(docs))
 
 
-def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with each secret in its text replaced by a mark."""
-    found = secrets.find_secrets(
-        docs.withColumn("_row", F.struct(*docs.columns)), key="_row", redact=REDACTED
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every text, with digests of them and of what they decode to."""
+    return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"
     )
-    columns = {
-        "text": F.col("redacted").alias("text"),
-        "n_chars": F.length("redacted").cast("bigint").alias("n_chars"),
-    }
-    return found.select(*[columns.get(c, F.col(f"doc_id.{c}")) for c in docs.columns])
 
 
-STAGES: list[tuple[str, Stage]] = []
-ORACLE_SQL = None
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("secrets", mask_secrets),
+    ("mixing", mix),
+    ("bpe", encode),
+]
+ORACLE_SQL = None  # a fitted model and a byte-pair vocabulary are not for SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from lexipost.llm import (
     mixing,
     near_dedup,
     order_minhash,
+    pii,
     secrets,
     token_files,
     toxicity,
@@ -24,6 +25,7 @@ from lexipost.session import new_stage_path, stage
 Query = Callable[[SparkSession, str], DataFrame]
 
 END_ID = 2
+PSEUDONYM_SECRET = "a secret of the query, not of anyone"
 #: The rules of the URL query.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -92,6 +94,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymized(table(spark, sf_dir, "documents"), PSEUDONYM_SECRET)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -112,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_secrets": op5_secrets,
     "op6_url_filter": op6_url_filter,
+    "op7_pseudonyms": op7_pseudonyms,
     "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_vector_dedup": op10_vector_dedup,

@@ -208,7 +208,6 @@ def find_secrets(
     rules: Sequence[Rule] = BASE_RULES + MORE_RULES,
     key: str = "doc_id",
     text: str = "text",
-    redact: str | None = None,
 ) -> DataFrame:
     """One row (key, spans) per row of ``docs``: spans of code points, end exclusive.
 
@@ -217,45 +216,51 @@ def find_secrets(
     an empty one and has no spans. Repeated rows are scanned each; other columns are left
     out, whatever their names; an empty table gives no rows. A text is held whole in its
     task, whatever its length.
-
-    With ``redact``, a column ``redacted`` holds the text with every span replaced by
-    that string (overlapping spans by one); it is null where the text is.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = scanner(rules)
         for batch in gathered(batches, "_text", BATCH_CHARS):
-            given = batch.column("_text").to_pylist()
-            spans = scan([t or "" for t in given])
-            columns = [
-                batch.column("_key"),
-                pa.array(
-                    [[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in spans],
-                    pa.list_(
-                        pa.struct(
-                            [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]
-                        )
-                    ),
-                ),
-            ]
-            if redact is not None:
-                columns.append(
-                    pa.array(
-                        [without(t, s, redact) for t, s in zip(given, spans, strict=True)],
-                        pa.string(),
-                    )
-                )
-            yield pa.RecordBatch.from_arrays(columns, names)
+            found = scan([t or "" for t in batch.column("_text").to_pylist()])
+            spans = [[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in found]
+            span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_key"), pa.array(spans, pa.list_(span))], ["_key", "spans"]
+            )
 
     kept = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
     schema = f"_key {dict(kept.dtypes)['_key']}, spans {SPANS}"
-    names = ["_key", "spans"]
-    if redact is not None:
-        schema += ", redacted string"
-        names.append("redacted")
     return map_batches(kept, work, schema).withColumnRenamed("_key", key)
 
 
+def redacted(
+    docs: DataFrame,
+    mark: str,
+    rules: Sequence[Rule] = BASE_RULES + MORE_RULES,
+    text: str = "text",
+    length: str | None = None,
+) -> DataFrame:
+    """``docs``, all columns, with every stretch of secrets in ``text`` replaced by ``mark``.
+
+    A column ``length``, a bigint, gets the code points of the new text. Null texts stay.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = scanner(rules)
+        for batch in gathered(batches, text, BATCH_CHARS):
+            given = batch.column(text).to_pylist()
+            spans = scan([t or "" for t in given])
+            new = [without(t, s, mark) for t, s in zip(given, spans, strict=True)]
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns[text] = pa.array(new, pa.string())
+            if length is not None:
+                sizes = [None if t is None else len(t) for t in new]
+                columns[length] = pa.array(sizes, pa.int64())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return map_batches(docs, work, docs.schema)
+
+
 def without(text: str | None, spans: Sequence[tuple[str, int, int]], mark: str) -> str | None:
     """``text`` with each stretch of spans replaced by ``mark``."""
     if text is None or not spans:
