@@ -23,7 +23,8 @@ from lexipost.llm.arrow import map_batches
 STRIPE_BYTES = 64 << 20
 ROW_INDEX_STRIDE = 1_000  # documents per row group
 BLOOM_FPP = 0.01
-CACHE_CHUNKS = 250_000  # chunks per generation; two generations are kept
+CACHE_CHUNKS = 120_000  # chunks per generation; two generations are kept
+ENCODED_AT_ONCE = 4_096  # the library's encodings are large, so they are few at a time
 
 _caches: dict[int, ChunkIds] = {}
 
@@ -52,8 +53,12 @@ class ChunkIds(dict[str, bytes | None]):
         return np.array(ids, "<u4").tobytes()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+        out: list[bytes] = []
+        for at in range(0, len(texts), ENCODED_AT_ONCE):
+            part = texts[at : at + ENCODED_AT_ONCE]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            out += [np.array(f.ids, "<u4").tobytes() for f in found]
+        return out
 
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not known, all in one call."""
