@@ -26,6 +26,9 @@ FEATURE_BITS = 20
 MIN_DOCS = 4  # documents of the sample that must have a feature
 PREFIXES = (4, 5, 6, 7)
 GRADES = 4  # 0 is clean; 1 to 3 are toxic
+#: A document is toxic if P(grade > 0) is this or more. Below one half, because one marked
+#: word in a document is weak evidence, and clean documents have none.
+TOXIC_AT = 0.3
 CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"\w+")
@@ -161,7 +164,7 @@ def score_toxicity(
 ) -> DataFrame:
     """One row (key, expected_severity, p_toxic, grade, toxic, kept) per row of ``docs``.
 
-    ``toxic`` says that a grade above 0 is at least as likely as grade 0. A null text is
+    ``toxic`` says that the chance of a grade above 0 is TOXIC_AT or more. A null text is
     an empty one and gets the score 0. Repeated rows are scored each; other columns are
     left out, whatever their names; an empty table gives no rows.
     """
@@ -171,7 +174,7 @@ def score_toxicity(
         for batch in batches:
             severity, toxic, grade = model.judge([score(t) for t in batch.column("_text").to_pylist()])
             arrays = [batch.column("_key"), pa.array(severity), pa.array(toxic)]
-            arrays += [pa.array(grade, pa.int32()), pa.array(toxic >= 0.5), pa.array(toxic < 0.5)]
+            arrays += [pa.array(grade, pa.int32()), pa.array(toxic >= TOXIC_AT), pa.array(toxic < TOXIC_AT)]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     names = ["_key", "expected_severity", "p_toxic", "grade", "toxic", "kept"]
@@ -191,6 +194,6 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
         score = Scorer(model.weights)
         for batch in batches:
             _, toxic, _ = model.judge([score(t) for t in batch.column(text).to_pylist()])
-            yield batch.filter(pa.array(toxic < 0.5))
+            yield batch.filter(pa.array(toxic < TOXIC_AT))
 
     return map_batches(docs, work, docs.schema)
