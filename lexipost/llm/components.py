@@ -14,27 +14,36 @@ from pyspark.sql import functions as F
 from lexipost.session import stage
 
 MAX_ROUNDS = 100  # far above what any graph needs; reaching it is an error
+ROWS_PER_FILE = 50_000
 
 
-def _signature(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def narrow(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has about ``rows`` small rows, in no more partitions than they need.
 
+    A table of pairs or labels is small beside the corpus that it came from, whose number
+    of shuffle partitions would leave next to nothing in each.
+    """
+    return df.coalesce(max(8, rows // ROWS_PER_FILE))
+
+
+def _least(edges: DataFrame, rows: int, label: str) -> DataFrame:
+    # Staged, so that the join with it has two plain shuffles and a hub can be split.
+    return stage(narrow(edges.groupBy("u").agg(F.min("v").alias("m")), rows), label)
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = stage(both.groupBy("u").agg(F.min("v").alias("m")), "large-star")
-    # Staged, so that the join below has two plain shuffles and a hub can be split.
+    least = _least(both, 2 * rows, "large-star").select("u", F.least("u", "m").alias("m"))
     return (
         both.filter("v > u")
-        .join(least.select("u", F.least("u", "m").alias("m")), "u")
+        .join(least, "u")
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "small-star")
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
+    least = _least(edges, rows, "small-star")
     moved = (
         edges.join(least, "u")
         .filter("v <> m")
@@ -43,6 +52,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node, which hangs on none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).union(
+        edges.select("v", F.lit(0)).distinct()
+    )
+    return (
+        ends.groupBy("node")
+        .agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+        .filter("up > 1 or (up > 0 and least = 0)")
+        .isEmpty()
+    )
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b).
 
@@ -58,21 +80,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    seen = _signature(current)
+    rows = current.count()
     for _ in range(MAX_ROUNDS):
-        if seen[0] == 0:
+        if _is_settled(current):
             break
-        current = stage(_small_star(stage(_large_star(current), "stars")), "edges")
-        now = _signature(current)
-        if now == seen:
-            break
-        seen = now
+        stars = stage(narrow(_large_star(current, rows), rows), "stars")
+        current = stage(narrow(_small_star(stars, rows), rows), "edges")
     else:
         raise RuntimeError("components did not settle")
     roots = current.select(F.col("v").alias("u"), "v")
-    return (
+    return narrow(
         current.unionByName(roots)
         .unionByName(alone)
         .groupBy(F.col("u").alias("node"))
-        .agg(F.min("v").alias("component"))
+        .agg(F.min("v").alias("component")),
+        rows,
     )

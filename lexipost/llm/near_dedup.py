@@ -21,17 +21,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexipost.llm.arrow import gathered, map_batches
-from lexipost.llm.components import connected_components
+from lexipost.llm.components import connected_components, narrow
 from lexipost.llm.superminhash import WordHashes, mix, shingle_set, signatures
 from lexipost.session import stage
 
 SLOTS = 128
 BAND_SLOTS = 4
-#: Of 128 slots, two sets of similarity 0.8 agree in 76 or more but once in 10^8 times.
+#: Of 128 slots, two sets of similarity 0.8 agree in 80 or more but for 5 in 10^7 times.
 #: Bands find such a pair but for (1 - 0.8^4)^32 = 5 in 10^8.
-LEAST_EQUAL = 76
+LEAST_EQUAL = 80
 TILE = 512  # members of a bucket on each side of a tile
-BEST = (4, 32, 256, None)  # pairs per member and other group, round by round
+BEST = (8, 64, None)  # pairs per member and other group, round by round
 _CHUNK = 150_000  # shingles whose signatures are computed at once
 _READ_BYTES = 4 << 20
 
@@ -144,7 +144,7 @@ class _Verifier:
     def __init__(
         self, docs: DataFrame, classes: DataFrame, key: str, text: str, words: int, percent: int
     ) -> None:
-        self.docs, self.classes = docs, classes
+        self.docs, self.classes, self.rows = docs, classes, classes.count()
         self.key, self.text, self.words, self.percent = key, text, words, percent
 
     def links(self, pairs: DataFrame, screened: bool) -> DataFrame:
@@ -159,7 +159,7 @@ class _Verifier:
                 F.expr(f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)")
                 & (_equal_slots() >= LEAST_EQUAL)
             ).select("a", "b")
-        pairs = stage(pairs, "pairs")
+        pairs = stage(narrow(pairs, self.rows), "pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = self.classes.join(nodes, "node", "left_semi").select("node", "rep")
         sets = stage(
@@ -169,9 +169,8 @@ class _Verifier:
         joined = _sides(pairs, sets, ["shingles"]).select(
             "a", "b", both.alias("both"), (F.size("shingles_a") + F.size("shingles_b")).alias("total")
         )
-        return stage(
-            joined.filter(f"100 * both >= {self.percent} * (total - both)").select("a", "b"), "links"
-        )
+        similar = joined.filter(f"100 * both >= {self.percent} * (total - both)")
+        return stage(narrow(similar.select("a", "b"), self.rows), "links")
 
 
 def _tiles(members: DataFrame, best: int | None, percent: int) -> DataFrame:
@@ -326,8 +325,8 @@ def near_duplicates(
         .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
         .distinct()
     )
-    links = verifier.links(proposed, screened=False)
-    tried = stage(proposed, "tried")
+    tried = stage(narrow(proposed, verifier.rows), "tried")
+    links = verifier.links(tried, screened=False)
     labels = stage(connected_components(links), "labels")
     for best in BEST:
         labelled = stage(
@@ -340,15 +339,17 @@ def near_duplicates(
             labelled.groupBy("band_key")
             .agg(F.min("label").alias("least"), F.max("label").alias("most"))
             .filter("least <> most")
-            .select("band_key"),
+            .select("band_key")
+            .coalesce(max(8, verifier.rows // 10_000)),
             "mixed-buckets",
         )
         open_members = labelled.join(mixed, "band_key").join(
             classes.select("node", "n", "sig"), "node"
         )
-        found = stage(_tiles(open_members, best, percent), "found")
+        found = stage(narrow(_tiles(open_members, best, percent), verifier.rows), "found")
         cut = not found.filter("cut").isEmpty()
-        new = stage(found.select("a", "b").join(tried, ["a", "b"], "left_anti"), "new-pairs")
+        new = found.select("a", "b").join(tried, ["a", "b"], "left_anti")
+        new = stage(narrow(new, verifier.rows), "new-pairs")
         if not new.isEmpty():
             links = verifier.links(new, screened=True)
             stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
