@@ -6,14 +6,18 @@
 3. Each bucket proposes its members to one leader. Proposals that the signatures do not
    rule out are confirmed on the full shingle sets, and links are united.
 4. Buckets whose members are still in different groups are compared member by member, in
-   tiles of bounded size, on signatures alone. Only pairs that would unite two groups go
-   to the full sets, the most similar ones first, until none is left. Members of one
-   group need no further links, so a bucket of copies is done after step 3.
+   tiles of bounded size, on signatures alone. What a tile reports is not the similar
+   pairs but which groups they would join: at most as many rows as it has members.
+5. Groups that could be joined form a family. The members of a family are compared again
+   in tiles, now on their full sets, and a tile reports the joins that it confirmed.
+
+Members of one group need no further links: a large group has tiles of its own members
+only against those of others, and a bucket of copies is done after step 3.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +34,8 @@ BAND_SLOTS = 4
 #: Of 128 slots, two sets of similarity 0.8 agree in 80 or more but for 5 in 10^7 times.
 #: Bands find such a pair but for (1 - 0.8^4)^32 = 5 in 10^8.
 LEAST_EQUAL = 80
-TILE = 512  # members of a bucket on each side of a tile
-BEST = (8, 64, None)  # pairs per member and other group, round by round
+TILE = 512  # members on each side of a tile
+_AT_ONCE = 16  # sets that a member of a tile is compared with before labels are looked at
 _CHUNK = 150_000  # shingles whose signatures are computed at once
 _READ_BYTES = 4 << 20
 
@@ -138,115 +142,153 @@ def _equal_slots() -> Column:
     )
 
 
-class _Verifier:
-    """Confirms proposed pairs of classes on their full shingle sets."""
-
-    def __init__(
-        self, docs: DataFrame, classes: DataFrame, key: str, text: str, words: int, percent: int
-    ) -> None:
-        self.docs, self.classes, self.rows = docs, classes, classes.count()
-        self.key, self.text, self.words, self.percent = key, text, words, percent
-
-    def links(self, pairs: DataFrame, screened: bool) -> DataFrame:
-        """The pairs (a, b) that are similar enough, by exact counts.
-
-        Pairs that were not ``screened`` first lose those whose sizes or signatures
-        rule a link out.
-        """
-        if not screened:
-            sized = _sides(pairs, self.classes, ["n", "sig"])
-            pairs = sized.filter(
-                F.expr(f"100 * least(n_a, n_b) >= {self.percent} * greatest(n_a, n_b)")
-                & (_equal_slots() >= LEAST_EQUAL)
-            ).select("a", "b")
-        pairs = stage(narrow(pairs, self.rows), "pairs")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = self.classes.join(nodes, "node", "left_semi").select("node", "rep")
-        sets = stage(
-            _shingle_sets(self.docs, wanted, self.key, self.text, self.words), "shingle-sets"
-        )
-        both = F.size(F.array_intersect("shingles_a", "shingles_b"))
-        joined = _sides(pairs, sets, ["shingles"]).select(
-            "a", "b", both.alias("both"), (F.size("shingles_a") + F.size("shingles_b")).alias("total")
-        )
-        similar = joined.filter(f"100 * both >= {self.percent} * (total - both)")
-        return stage(narrow(similar.select("a", "b"), self.rows), "links")
+def _star_links(
+    pairs: DataFrame, classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, rows: int
+) -> DataFrame:
+    """The pairs (a, b) that are similar enough, by exact counts.
+
+    Pairs whose sizes or signatures rule a link out are dropped before sets are read.
+    """
+    likely = _sides(pairs, classes, ["n", "sig"]).filter(
+        F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        & (_equal_slots() >= LEAST_EQUAL)
+    )
+    likely = stage(narrow(likely.select("a", "b"), rows), "pairs")
+    nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    sets = stage(sets_of(classes.join(nodes, "node", "left_semi")), "shingle-sets")
+    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    counted = _sides(likely, sets, ["shingles"]).select(
+        "a", "b", both.alias("both"), (F.size("shingles_a") + F.size("shingles_b")).alias("total")
+    )
+    similar = counted.filter(f"100 * both >= {percent} * (total - both)")
+    return stage(narrow(similar.select("a", "b"), rows), "links")
 
 
-def _tiles(members: DataFrame, best: int | None, percent: int) -> DataFrame:
-    """(a, b, cut): the most similar pairs of different groups that share a bucket.
+def _tiles(members: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``members`` (part, node, label, and ``columns``) dealt to tiles.
 
-    ``members`` has (band_key, chunks, node, label, n, sig). A member meets those of its
-    own chunk and of every other chunk of its bucket, in tiles of two chunks. Of the
-    pairs that signatures and sizes allow, a tile gives the ``best`` ones per member and
-    other group; ``cut`` tells that there were more.
+    Every two members of a part whose labels differ meet in one tile, of at most TILE
+    members on each of two sides. Labels with more members than that have chunks of their
+    own, which do not meet each other; the rest of the part shares chunks. Parts of one
+    label have no tiles. Sorted by tile within partitions.
     """
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    tiled = (
-        members.withColumn("chunk", chunk)
-        .withColumn("other", F.explode(F.expr("sequence(0L, chunks - 1)")))
+    sizes = stage(members.groupBy("part", "label").agg(F.count("*").alias("size")), "tile-sizes")
+    own = F.when(F.col("size") > TILE, F.col("label")).otherwise(F.lit(0))
+    keyed = sizes.select("part", "label", "size", own.cast("bigint").alias("pool"))
+    chunks = F.expr(f"(sum(size) + {TILE - 1}) div {TILE}")
+    layout = stage(
+        keyed.groupBy("part", "pool")
+        .agg(chunks.alias("chunks"), F.count("*").alias("labels"))
+        .groupBy("part")
+        .agg(
+            F.collect_list(F.struct("pool", "chunks")).alias("layout"),
+            F.sum("labels").alias("labels"),
+        )
+        .filter("labels > 1")
+        .select("part", "layout"),
+        "tile-layout",
+    )
+    at = F.expr("filter(layout, x -> x.pool = pool)[0].chunks")
+    placed = (
+        members.join(sizes, ["part", "label"])
+        .withColumn("pool", own.cast("bigint"))
+        .join(layout, "part")
+        .withColumn("chunk", F.xxhash64("pool", F.pmod(F.xxhash64("node"), at)))
+    )
+    others = F.expr(
+        "flatten(transform(filter(layout, x -> pool = 0 or x.pool <> pool), "
+        "x -> transform(sequence(0L, x.chunks - 1), k -> xxhash64(x.pool, k))))"
+    )
+    return (
+        placed.withColumn("other", F.explode(others))
         .select(
-            F.struct(
-                "band_key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")
-            ).alias("tile"),
-            "chunk", "node", "label", "n", "sig",
+            F.xxhash64("part", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tile"),
+            "chunk", "node", "label", *columns,
         )
-        .withColumn("tile_id", F.xxhash64("tile.band_key", "tile.i", "tile.j"))
-        .drop("tile")
-        .repartition("tile_id")
-        .sortWithinPartitions("tile_id", "chunk", "node")
+        .repartition("tile")
+        .sortWithinPartitions("tile", "chunk", "node")
     )
 
-    def pairs_of(rows: pa.RecordBatch) -> list[tuple[int, int, bool]]:
-        node, label, n, chunk = (
-            rows.column(c).to_numpy() for c in ("node", "label", "n", "chunk")
+
+class _Groups:
+    """Which labels of a tile are joined already, and the joins made."""
+
+    def __init__(self, label: np.ndarray) -> None:
+        self.names, self.number = np.unique(label, return_inverse=True)
+        self.parent = np.arange(len(self.names))
+        self.joins: list[tuple[int, int]] = []
+
+    def of(self, rows: np.ndarray | slice | int) -> np.ndarray:
+        return self.parent[self.number[rows]]
+
+    def join(self, row: int, others: np.ndarray) -> None:
+        for group in np.unique(self.of(others)).tolist():
+            mine = int(self.of(row))
+            if group != mine:
+                self.joins.append((int(self.names[mine]), int(self.names[group])))
+                self.parent[self.parent == group] = mine
+
+
+def _similar(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the ascending sets ``others`` are similar enough to ``own``, exactly."""
+    sizes = np.array([len(o) for o in others])
+    joined = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+    both = np.add.reduceat(own[at] == joined, np.concatenate(([0], np.cumsum(sizes)[:-1])))
+    return 100 * both >= percent * (len(own) + sizes - both)
+
+
+def _tile_joins(rows: pa.RecordBatch, percent: int) -> list[tuple[int, int]]:
+    """The labels of a tile that similar members join.
+
+    With a column ``shingles`` similarity is exact, without it what the signatures allow.
+    """
+    label, n, chunk = (rows.column(c).to_numpy() for c in ("label", "n", "chunk"))
+    groups = _Groups(label)
+    if len(groups.names) == 1:
+        return []
+    sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(-1, SLOTS)
+    sets = None
+    if "shingles" in rows.schema.names:
+        lists = rows.column("shingles")
+        ends = lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py()
+        sets = np.split(lists.flatten().to_numpy().view(np.uint64), ends)  # ascending as such
+    two = chunk[0] != chunk[-1]
+    split = int(np.searchsorted(chunk != chunk[0], True)) if two else len(chunk)
+    for a in range(split):
+        others = slice(split, None) if two else slice(a + 1, None)
+        fits = (groups.of(others) != groups.of(a)) & (
+            100 * np.minimum(n[others], n[a]) >= percent * np.maximum(n[others], n[a])
         )
-        if (label == label[0]).all():
-            return []
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(-1, SLOTS)
-        out: list[tuple[int, int, bool]] = []
-        two = chunk[0] != chunk[-1]
-        split = int(np.searchsorted(chunk, chunk[0], "right")) if two else len(node)
-        for a in range(split):
-            others = slice(split, None) if two else slice(a + 1, None)
-            fits = (label[others] != label[a]) & (
-                100 * np.minimum(n[others], n[a]) >= percent * np.maximum(n[others], n[a])
-            )
-            at = np.flatnonzero(fits) + others.start
-            if not len(at):
-                continue
-            equal = (sig[at] == sig[a]).sum(axis=1)
-            at, equal = at[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
-            if best is None:
-                out += [(int(node[a]), int(node[b]), False) for b in at]
-                continue
-            order = np.argsort(-equal, kind="stable")
-            taken: dict[int, int] = {}
-            for b in at[order].tolist():
-                group = int(label[b])
-                taken[group] = taken.get(group, 0) + 1
-                if taken[group] <= best:
-                    out.append((int(node[a]), int(node[b]), False))
-                elif taken[group] == best + 1 and out:
-                    out[-1] = (*out[-1][:2], True)
-        return out
+        at = np.flatnonzero(fits) + others.start
+        if not len(at):
+            continue
+        equal = (sig[at] == sig[a]).sum(axis=1)
+        at, equal = at[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
+        if sets is None:
+            groups.join(a, at)
+            continue
+        at = at[np.argsort(-equal, kind="stable")]
+        while len(at):  # the likeliest first: what they join need not be compared
+            part, at = at[:_AT_ONCE], at[_AT_ONCE:]
+            groups.join(a, part[_similar(sets[a], [sets[b] for b in part], percent)])
+            at = at[groups.of(at) != groups.of(a)]
+    return groups.joins
+
+
+def _joins(tiled: DataFrame, percent: int) -> DataFrame:
+    """(a, b): labels that tiles join."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def record(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-            found = pairs_of(pa.concat_batches(rows))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([min(f[0], f[1]) for f in found], pa.int64()),
-                    pa.array([max(f[0], f[1]) for f in found], pa.int64()),
-                    pa.array([f[2] for f in found], pa.bool_()),
-                ],
-                ["a", "b", "cut"],
-            )
+            found = _tile_joins(pa.concat_batches(rows), percent)
+            sides = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(sides, ["a", "b"])
 
         held: list[pa.RecordBatch] = []
         now = None
         for batch in batches:
-            ids = batch.column("tile_id").to_numpy()
+            ids = batch.column("tile").to_numpy()
             cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if a == b:
@@ -259,9 +301,7 @@ def _tiles(members: DataFrame, best: int | None, percent: int) -> DataFrame:
         if held:
             yield record(held)
 
-    return map_batches(tiled, work, "a bigint, b bigint, cut boolean").groupBy("a", "b").agg(
-        F.max("cut").alias("cut")
-    )
+    return map_batches(tiled, work, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -312,63 +352,81 @@ def near_duplicates(
             F.min(F.struct("first", "node")).alias("leader"),
         )
         .filter("size > 1")
-        .select("band_key", F.expr(f"(size + {TILE - 1}) div {TILE}").alias("chunks"), "leader.node")
-        .withColumnRenamed("node", "leader"),
+        .select("band_key", F.col("leader.node").alias("leader")),
         "buckets",
     )
     members = stage(
         banded.select("band_key", "node").join(buckets, "band_key"), "bucket-members"
     )
-    verifier = _Verifier(docs, classes, key, text, words, percent)
-    proposed = (
-        members.filter("node <> leader")
-        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-        .distinct()
+    count = classes.count()
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return _shingle_sets(docs, wanted.select("node", "rep"), key, text, words)
+
+    proposed = stage(
+        narrow(
+            members.filter("node <> leader")
+            .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+            .distinct(),
+            count,
+        ),
+        "proposed",
+    )
+    links = _star_links(proposed, classes, sets_of, percent, count)
+    stars = stage(connected_components(links), "labels")
+    label = F.coalesce("component", "node").alias("label")
+    # Buckets of several labels, on signatures: which labels could be joined.
+    in_buckets = stage(
+        members.join(stars, "node", "left").select(F.col("band_key").alias("part"), "node", label),
+        "labelled",
     )
-    tried = stage(narrow(proposed, verifier.rows), "tried")
-    links = verifier.links(tried, screened=False)
-    labels = stage(connected_components(links), "labels")
-    for best in BEST:
-        labelled = stage(
-            members.join(labels, "node", "left").select(
-                "band_key", "chunks", "node", F.coalesce("component", "node").alias("label")
-            ),
-            "labelled",
-        )
-        mixed = stage(
-            labelled.groupBy("band_key")
+    several = stage(
+        narrow(
+            in_buckets.groupBy("part")
             .agg(F.min("label").alias("least"), F.max("label").alias("most"))
             .filter("least <> most")
-            .select("band_key")
-            .coalesce(max(8, verifier.rows // 10_000)),
-            "mixed-buckets",
-        )
-        open_members = labelled.join(mixed, "band_key").join(
-            classes.select("node", "n", "sig"), "node"
-        )
-        found = stage(narrow(_tiles(open_members, best, percent), verifier.rows), "found")
-        cut = not found.filter("cut").isEmpty()
-        new = found.select("a", "b").join(tried, ["a", "b"], "left_anti")
-        new = stage(narrow(new, verifier.rows), "new-pairs")
-        if not new.isEmpty():
-            links = verifier.links(new, screened=True)
-            stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            labels = stage(connected_components(stars.unionByName(links)), "labels")
-            tried = tried.unionByName(new)
-        if not cut:
-            break
-    grouped = rows.join(labels, "node", "left").withColumn(
-        "label", F.when(F.col("n") > 0, F.coalesce("component", "node"))
+            .select("part"),
+            count,
+        ),
+        "mixed-buckets",
+    )
+    described = classes.select("node", "n", "sig")
+    in_doubt = in_buckets.join(several, "part").join(described, "node")
+    could_join = stage(narrow(_joins(_tiles(in_doubt, ["n", "sig"]), percent), count), "could-join")
+    families = stage(connected_components(could_join), "families")
+    # Families of several labels, on full sets: which labels are joined.
+    labelled = classes.join(stars, "node", "left").select("node", "rep", "n", "sig", label)
+    in_family = stage(
+        labelled.join(
+            families.select(F.col("node").alias("label"), F.col("component").alias("part")), "label"
+        ),
+        "family-members",
+    )
+    full = in_family.join(stage(sets_of(in_family), "family-sets"), "node")
+    joins = stage(
+        narrow(_joins(_tiles(full.drop("rep"), ["n", "sig", "shingles"]), percent), count), "joins"
+    )
+    joined = stage(connected_components(joins), "joined")
+    labels = stage(
+        classes.select("node")
+        .join(stars, "node", "left")
+        .select("node", label)
+        .join(joined.select(F.col("node").alias("label"), "component"), "label", "left")
+        .select("node", F.coalesce("component", "label").alias("component")),
+        "labels",
     )
     # The least key of each group, over classes: one row per different text.
     least = stage(
-        classes.join(labels, "node", "left")
-        .groupBy(F.coalesce("component", "node").alias("label"))
+        classes.select("node", "first")
+        .join(labels, "node")
+        .groupBy("component")
         .agg(F.min("first").alias("least")),
         "least-keys",
     )
+    answers = stage(labels.join(least, "component").select("node", "least"), "answers")
     return (
-        grouped.join(least, "label", "left")
+        rows.select("_key", "n", "node")
+        .join(answers, "node", "left")
         .withColumn("component_id", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("_key")))
         .select(
             F.col("_key").alias(key),

@@ -1,10 +1,13 @@
 """Near-duplicates against all pairs, and the parts they are made of."""
 
 import itertools
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from lexipost.llm import near_dedup
 from lexipost.llm.components import connected_components
 from lexipost.llm.near_dedup import _tiles, near_duplicates
 from lexipost.llm.superminhash import WordHashes, shingle_set, signatures
@@ -59,8 +62,10 @@ def test_edges(edge_docs, empty_docs):
     assert near_duplicates(empty_docs).count() == 0
 
 
-def test_family_of_copies_around_the_threshold(spark):
+@pytest.mark.parametrize("tile", [near_dedup.TILE, 16])
+def test_family_of_copies_around_the_threshold(spark, monkeypatch, tile):
     """Edited copies, some of which are linked only by way of others."""
+    monkeypatch.setattr(near_dedup, "TILE", tile)
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(60)]
     rows = []
@@ -99,17 +104,25 @@ def test_slot_ranks_are_permutations():
     assert [sorted(np.floor(r).astype(int)) for r in sig] == [list(range(64))] * 2
 
 
-def test_tiles_give_all_pairs_of_different_groups(spark):
-    """Members of a bucket of many chunks meet exactly once each."""
-    rows = [(7, 5, i, i % 3, 10, bytes(256)) for i in range(60)]
-    members = spark.createDataFrame(
-        rows, "band_key bigint, chunks bigint, node bigint, label bigint, n bigint, sig binary"
-    )
-    got = {(r.a, r.b) for r in _tiles(members, None, 80).collect()}
-    want = {(a, b) for a, b in itertools.combinations(range(60), 2) if a % 3 != b % 3}
-    assert got == want
-    few = _tiles(members, 1, 80)
-    assert few.count() < len(want) and not few.filter("cut").isEmpty()
+def test_tiles_bring_all_pairs_of_different_labels_together(spark, monkeypatch):
+    """Also of labels that have chunks of their own, which do not meet themselves."""
+    monkeypatch.setattr(near_dedup, "TILE", 5)
+    rows = [(7, i, 1000 if i < 23 else i % 4) for i in range(60)] + [(8, 90, 5), (8, 91, 5)]
+    tiled = _tiles(spark.createDataFrame(rows, "part bigint, node bigint, label bigint"), [])
+    tiles = {}
+    for r in tiled.collect():
+        tiles.setdefault(r.tile, []).append(r)
+    met = Counter()
+    for members in tiles.values():
+        chunks = {r.chunk for r in members}
+        assert len(chunks) <= 2
+        for a, b in itertools.combinations(members, 2):
+            if a.label != b.label and (a.chunk != b.chunk or len(chunks) == 1):
+                met[frozenset((a.node, b.node))] += 1
+    want = [{a[1], b[1]} for a, b in itertools.combinations(rows[:60], 2) if a[2] != b[2]]
+    assert len(met) == len(want) and set(met.values()) == {1}
+    big = [m for m in tiles.values() if {r.label for r in m} == {1000}]
+    assert not big and 90 not in {r.node for m in tiles.values() for r in m}
 
 
 def test_components_of_a_chain_a_star_and_loops(spark):
