@@ -154,8 +154,13 @@ def check_codec(codec: str) -> str:
     return codec
 
 
-def split_payload(payload: Column, codec: str) -> Column:
-    """The code forms in a hex payload, in order."""
-    source = hex_to_bits(payload) if codec == "gamma" else payload
+def split_payload(payload: Column, codec: str, lead: Column, n_postings: Column) -> Column:
+    """The ``n_postings`` code forms in a hex payload, in order.
+
+    ``lead`` is the bit text that stands before the payload of a gamma run. What follows
+    the last code, in a byte shared with the next run, is left out.
+    """
+    source = F.concat(lead, hex_to_bits(payload)) if codec == "gamma" else payload
     pattern = {"raw": RAW_CODE, "vb": VB_CODE, "gamma": GAMMA_CODE}[codec]
-    return F.regexp_extract_all(source, F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(source, F.lit(pattern), F.lit(0))
+    return F.slice(found, F.lit(1), n_postings.cast("int"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexipost.functions import codes
@@ -19,12 +19,47 @@ def _joined(code: Column) -> Column:
     return F.array_join(F.transform(items, lambda item: item["code"]), "")
 
 
+_SHARED_BITS = 7  # most bits of a byte that may belong to later chunks
+
+
+def _gamma_payloads(packed: DataFrame) -> DataFrame:
+    """Chunks with bit text as ``payload``, all of long lists, to hex.
+
+    The bits of a list run on over its chunks. A chunk owns the bytes whose first bit it
+    holds, and completes its last byte from the chunks after it; at least one bit stands
+    in each, so seven are enough. Only the end of the list is filled up. The window is as
+    long as the list has chunks.
+    """
+    in_list = Window.partitionBy("term_id").orderBy("chunk")
+    bits = F.col("payload")
+    before = F.sum(F.length(bits)).over(in_list.rowsBetween(Window.unboundedPreceding, -1))
+    head = F.substring(bits, 1, _SHARED_BITS)
+    later = [F.lead(head, k).over(in_list) for k in range(1, _SHARED_BITS + 1)]
+    placed = packed.select(
+        "*",
+        F.pmod(-F.coalesce(before, F.lit(0)), F.lit(8)).cast("int").alias("_shared"),
+        F.concat_ws("", *later).alias("_later"),
+    )
+    own = F.substring(bits, F.col("_shared") + 1, F.length(bits))
+    missing = F.when(own == "", 0).otherwise(F.pmod(-F.length(own), F.lit(8)))
+    full = F.concat(own, F.substring(F.col("_later"), F.lit(1), missing))
+    return placed.select(
+        "term_id",
+        "chunk",
+        "base",
+        "n_postings",
+        F.substring(bits, F.lit(1), F.col("_shared")).alias("lead"),
+        codes.bits_to_hex(full).alias("payload"),
+    )
+
+
 def encode(postings: DataFrame, codec: str) -> DataFrame:
-    """Encoded chunks (term_id, chunk, base, n_postings, payload as hex).
+    """Encoded chunks (term_id, chunk, base, n_postings, lead, payload as hex).
 
     ``base`` is the id that the first gap is measured from: the last id of the
-    chunk before. Variable-byte and raw payloads of a list joined in chunk order
-    are the payload of the whole list; gamma fills up its last byte per chunk.
+    chunk before. The payloads of a list, joined in chunk order, are the payload of the
+    whole list. Gamma codes do not end at bytes: ``lead`` repeats the bits of a chunk
+    that stand in the last byte of the chunk before, so that a chunk can be decoded alone.
     """
     codes.check_codec(codec)
     if codec == "raw":
@@ -39,11 +74,13 @@ def encode(postings: DataFrame, codec: str) -> DataFrame:
     packed = rows.groupBy("term_id", "chunk").agg(
         F.min("prev").alias("base"),
         F.count("*").alias("n_postings"),
+        F.lit("").alias("lead"),
         _joined(F.col("code")).alias("payload"),
     )
-    if codec == "gamma":
-        packed = packed.withColumn("payload", codes.bits_to_hex(F.col("payload")))
-    return packed
+    if codec != "gamma":
+        return packed
+    whole = packed.filter("chunk = 0").withColumn("payload", codes.bits_to_hex(F.col("payload")))
+    return whole.unionByName(_gamma_payloads(packed.filter("chunk > 0").drop("lead")))
 
 
 def decode(encoded: DataFrame, codec: str) -> DataFrame:
@@ -53,9 +90,10 @@ def decode(encoded: DataFrame, codec: str) -> DataFrame:
     the rows of a chunk together already.
     """
     codes.check_codec(codec)
+    forms = codes.split_payload(F.col("payload"), codec, F.col("lead"), F.col("n_postings"))
     if codec == "raw":
         return encoded.select(
-            "term_id", "chunk", F.explode(codes.split_payload(F.col("payload"), codec)).alias("code")
+            "term_id", "chunk", F.explode(forms).alias("code")
         ).select("term_id", "chunk", codes.raw_value(F.col("code")).alias("doc_id"))
     value = codes.vb_value if codec == "vb" else codes.gamma_value
     gapped = (
@@ -64,7 +102,7 @@ def decode(encoded: DataFrame, codec: str) -> DataFrame:
             "term_id",
             "chunk",
             "base",
-            F.posexplode(codes.split_payload(F.col("payload"), codec)).alias("pos", "code"),
+            F.posexplode(forms).alias("pos", "code"),
         )
         .select("term_id", "chunk", "base", "pos", value(F.col("code")).alias("gap"))
     )

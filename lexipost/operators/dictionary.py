@@ -23,9 +23,23 @@ def doc_dictionary(documents: DataFrame, first: int = 0) -> DataFrame:
     """Give each document its id: the rank by (block, name), from ``first``.
 
     Only the two key columns are read and sorted, never the text. A document
-    without tokens takes an id too.
+    without tokens takes an id too. A null or repeated key fails the job: its text would
+    be lost, or counted for two documents.
     """
-    keys = documents.select("block", "name")
+    said = F.lit("a document needs a block and a name of its own")
+    keys = (
+        documents.groupBy("block", "name")
+        .agg(F.count("*").alias("_times"))
+        .select(
+            F.when(
+                F.col("block").isNotNull() & F.col("name").isNotNull() & (F.col("_times") == 1),
+                F.col("block"),
+            )
+            .otherwise(F.raise_error(said).cast("string"))
+            .alias("block"),
+            "name",
+        )
+    )
     return dense_ids(keys, ["block", "name"], "doc_id", first).select(
         "doc_id", document_path().alias("path"), "block", "name"
     )

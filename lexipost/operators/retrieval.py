@@ -24,10 +24,26 @@ _SCAN_SALTS = 32
 _LITERAL_TERMS = 256  # more terms than this are joined, not written into the plan
 
 
+def checked_queries(queries: DataFrame) -> DataFrame:
+    """(qid, query), failing on a null or repeated qid: its answers could not be told apart."""
+    said = F.lit("a query needs a qid of its own")
+    return (
+        queries.groupBy("qid")
+        .agg(F.count("*").alias("_times"), F.first("query").alias("query"))
+        .select(
+            F.when(F.col("qid").isNotNull() & (F.col("_times") == 1), F.col("qid"))
+            .otherwise(F.raise_error(said).cast("bigint"))
+            .alias("qid"),
+            "query",
+        )
+    )
+
+
 def query_terms(queries: DataFrame) -> DataFrame:
     """(qid, term, n_terms): the distinct tokens of each query and their number."""
     return (
-        queries.select("qid", distinct_tokens("query").alias("terms"))
+        checked_queries(queries)
+        .select("qid", distinct_tokens("query").alias("terms"))
         .withColumn("n_terms", F.size("terms").cast("bigint"))
         .select("qid", F.explode("terms").alias("term"), "n_terms")
     )
@@ -259,3 +275,15 @@ def postings_intersect(index: TextIndex, left_id: int, right_id: int) -> DataFra
     left = index.postings_of([left_id]).select("doc_id")
     right = index.postings_of([right_id]).select("doc_id")
     return left.join(right, "doc_id", "left_semi")
+
+
+def terms_intersect(index: TextIndex, left: str, right: str) -> DataFrame:
+    """(doc_id): the documents in the lists of both terms; none if one is not indexed.
+
+    The two ids are looked up first, so that they prune the postings scan.
+    """
+    found = index.lexicon.filter(F.col("term").isin(left, right)).select("term", "term_id")
+    ids = {row.term: row.term_id for row in found.limit(2).collect()}
+    if left not in ids or right not in ids:
+        return index.postings_of([]).select("doc_id")
+    return postings_intersect(index, ids[left], ids[right])

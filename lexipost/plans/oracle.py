@@ -118,6 +118,22 @@ def _packed(code: str) -> str:
     )
 
 
+def _whole(code: str) -> str:
+    return (
+        "select tid as term_id, count(*) as n_postings, "
+        f"string_agg({code}, '' order by did) as payload from gaps group by tid"
+    )
+
+
+def _gamma_hex(columns: str, packed: str) -> str:
+    """``packed`` with its bit text filled up with ones and written in hex."""
+    return _index(
+        f"select {columns}, {_HEX_OF_BITS} as payload from (select *, "
+        f"payload || repeat('1', (8 - length(payload) % 8) % 8) as bits from ({packed}) as e) as f",
+        _GAPS,
+    )
+
+
 def _encoded(code: str) -> str:
     return _index(
         f"select tid as term_id, cast(chunk as bigint) as chunk, n_postings, payload "
@@ -263,13 +279,14 @@ qualify row_number() over (partition by qid order by rank) = 1""",
     "gaps_to_postings": _POSTINGS,
     "encode_raw": _encoded(_raw_code()),
     "encode_vb": _encoded(_vb_code()),
-    "encode_gamma": _index(
-        "select tid as term_id, cast(chunk as bigint) as chunk, n_postings, "
-        f"{_HEX_OF_BITS} as payload from (select tid, chunk, n_postings, "
-        "payload || repeat('1', (8 - length(payload) % 8) % 8) as bits "
-        f"from ({_packed(_GAMMA_CODE)}) as e) as f",
-        _GAPS,
+    "encode_gamma": _gamma_hex(
+        "tid as term_id, cast(chunk as bigint) as chunk, n_postings", _packed(_GAMMA_CODE)
     ),
+    "encode_vb_cut": _index(_whole(_vb_code()), _GAPS),
+    "encode_gamma_cut": _gamma_hex("term_id, n_postings", _whole(_GAMMA_CODE)),
+    "decode_gamma_cut": _POSTINGS,
+    "retrieve_cut": _BATCH_ANSWERS,
+    "retrieve_gamma_joined": _ITEM_ANSWERS,
     "decode_raw": _POSTINGS,
     "decode_vb": _POSTINGS,
     "decode_gamma": _POSTINGS,
@@ -281,3 +298,4 @@ qualify row_number() over (partition by qid order by rank) = 1""",
         )
     ),
 }
+ORACLE["term_stats_cut"] = ORACLE["term_stats"]

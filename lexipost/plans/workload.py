@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexipost.functions.text import document_path, normal_path, tokens
 from lexipost.operators import codecs, compare, dictionary, gaps, inversion, retrieval, stats
+from lexipost.operators.inversion import CHUNK_DOCS
 from lexipost.operators.ranking import rank_in_group
 from lexipost.plans.index import TextIndex, build_index, extend_index
 from lexipost.session import new_stage_path, stage
@@ -49,7 +50,9 @@ EDITED_BATCH = [
 ]
 LAST_BASE_BLOCK = "src15"  # blocks from here on arrive as the second batch
 
-_built: dict[tuple[str, str, str], TextIndex] = {}
+CUT_DOCS = 64  # chunks so short that many lists are cut
+
+_built: dict[tuple[str, str, str, int], TextIndex] = {}
 _forward_tables: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -64,12 +67,13 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def index_of(spark: SparkSession, sf_dir: str, codec: str = "rows") -> TextIndex:
-    key = (spark.conf.get("spark.app.id"), sf_dir, codec)
+def index_of(
+    spark: SparkSession, sf_dir: str, codec: str = "rows", chunk_docs: int = CHUNK_DOCS
+) -> TextIndex:
+    key = (spark.conf.get("spark.app.id"), sf_dir, codec, chunk_docs)
     if key not in _built:
-        _built[key] = build_index(
-            documents(spark, sf_dir), new_stage_path(spark, f"index-{codec}"), codec
-        )
+        path = new_stage_path(spark, f"index-{codec}")
+        _built[key] = build_index(documents(spark, sf_dir), path, codec, chunk_docs=chunk_docs)
     return _built[key]
 
 
@@ -150,7 +154,13 @@ def _two_batches(spark: SparkSession, sf_dir: str) -> TextIndex:
 
 
 def lexicon_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_batches(spark, sf_dir).lexicon.select("term", "term_id", "df")
+    """The lexicon of the first blocks, extended by the documents of the rest."""
+    forward = _forward(spark, sf_dir)
+    base = dictionary.build_lexicon(forward.filter(F.col("block") < LAST_BASE_BLOCK))
+    rest = forward.filter(F.col("block") >= LAST_BASE_BLOCK)
+    return dictionary.extend_lexicon(stage(base, "base-lexicon"), rest).select(
+        "term", "term_id", "df"
+    )
 
 
 def index_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,10 +205,18 @@ def block_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the segment of each block, then merge them all."""
+    """Write the segment of each block, then merge three overlapping groups of blocks."""
     path = new_stage_path(spark, "segments")
     write_segments(_segments(spark, sf_dir), path)
-    return inversion.merge_segments([read_segments(spark, path)])
+    segments = read_segments(spark, path)
+    block = F.col("block")
+    return inversion.merge_segments(
+        [
+            segments.filter(block < LAST_BASE_BLOCK),
+            segments.filter((block >= "src1") & (block < "src3")),
+            segments.filter(block >= "src14"),
+        ]
+    )
 
 
 def build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,12 +247,7 @@ def postings_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def postings_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = index_of(spark, sf_dir)
-    ids = {
-        row.term: row.term_id
-        for row in index.lexicon.filter(F.col("term").isin("the", "of")).collect()
-    }
-    return retrieval.postings_intersect(index, ids["the"], ids["of"])
+    return retrieval.terms_intersect(index_of(spark, sf_dir), "the", "of")
 
 
 def retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,8 +309,9 @@ def first_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the results as text files and read the lines back."""
     path = new_stage_path(spark, "results")
-    write_results(retrieve(spark, sf_dir), path)
-    return spark.read.schema("path string, qid bigint").text(path).select("qid", F.col("path"))
+    write_results(retrieve(spark, sf_dir), path, _batch(spark))
+    lines = spark.read.schema("path string, qid bigint").text(path)
+    return lines.select("qid", "path").filter("path <> ''")
 
 
 def gap_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,8 +319,13 @@ def gap_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gap_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps by their place in the chunk, without the ids that they stand for."""
     gapped = gaps.with_base(gaps.gaps(index_of(spark, sf_dir).postings()))
-    return gaps.gaps_to_postings(gapped, order="doc_id").select("term_id", "doc_id")
+    place = Window.partitionBy("term_id", "chunk").orderBy("doc_id")
+    by_place = gapped.select(
+        "term_id", "chunk", "base", F.row_number().over(place).alias("pos"), "gap"
+    )
+    return gaps.gaps_to_postings(by_place).select("term_id", "doc_id")
 
 
 def _encode(codec: str) -> Query:
@@ -325,6 +344,38 @@ def _decode(codec: str) -> Query:
     return query
 
 
+def _encode_cut(codec: str) -> Query:
+    """The payload of every whole list, joined from the chunks of lists that are cut."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        chunks = codecs.encode(index_of(spark, sf_dir, chunk_docs=CUT_DOCS).postings(), codec)
+        in_order = F.sort_array(F.collect_list(F.struct("chunk", "payload")))
+        return chunks.groupBy("term_id").agg(
+            F.sum("n_postings").alias("n_postings"),
+            F.array_join(F.transform(in_order, lambda c: c["payload"]), "").alias("payload"),
+        )
+
+    return query
+
+
+def decode_gamma_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index_of(spark, sf_dir, "gamma", CUT_DOCS).postings().select("term_id", "doc_id")
+
+
+def term_stats_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.term_stats(index_of(spark, sf_dir, chunk_docs=CUT_DOCS).postings())
+
+
+def retrieve_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.retrieve(index_of(spark, sf_dir, "gamma", CUT_DOCS), _batch(spark))
+
+
+def retrieve_gamma_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark's texts on a gamma index, on the path for batches of any size."""
+    index = index_of(spark, sf_dir, "gamma", CUT_DOCS)
+    return retrieval.retrieve(index, items(spark, sf_dir), cap=0)
+
+
 def codec_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codecs.round_trip(index_of(spark, sf_dir).postings())
 
@@ -375,5 +426,11 @@ QUERIES: dict[str, Query] = {
     "decode_raw": _decode("raw"),
     "decode_vb": _decode("vb"),
     "decode_gamma": _decode("gamma"),
+    "encode_vb_cut": _encode_cut("vb"),
+    "encode_gamma_cut": _encode_cut("gamma"),
+    "decode_gamma_cut": decode_gamma_cut,
+    "term_stats_cut": term_stats_cut,
+    "retrieve_cut": retrieve_cut,
+    "retrieve_gamma_joined": retrieve_gamma_joined,
     "codec_roundtrip": codec_roundtrip,
 }

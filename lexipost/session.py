@@ -7,11 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_stage_dirs: dict[str, str] = {}
-
 
 def local_session(cores: str = "8", memory: str = "16g", app: str = "lexipost") -> SparkSession:
-    """A single-machine session for tests and the bench."""
+    """A single-machine session for tests and the bench, with a staging folder of its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -20,6 +18,7 @@ def local_session(cores: str = "8", memory: str = "16g", app: str = "lexipost")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="lexipost-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -27,21 +26,14 @@ def local_session(cores: str = "8", memory: str = "16g", app: str = "lexipost")
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """The shared folder for staged tables: ``spark.checkpoint.dir``.
+    """The shared folder for staged tables: ``spark.checkpoint.dir``, which must be set.
 
-    Only a local-mode session may go without the setting; it then gets a
-    temporary folder of its own. On a cluster executors could not all see such a
-    folder, so an unset setting is an error there.
+    Executors could not all see a folder chosen here.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_stage_dirs:
-        _local_stage_dirs[app] = tempfile.mkdtemp(prefix="lexipost-")
-    return _local_stage_dirs[app]
+    return named.rstrip("/")
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexipost.functions.text import normal_path
+from lexipost.sources.corpus import list_files
 
 # The file names of a batch.
 QUERY_FILE = r"^query\.([0-9]+)$"
@@ -13,13 +14,19 @@ RESULT_FILE = r"^([0-9]+)\.out$"
 
 
 def _whole_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    file_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    qid = F.regexp_extract(file_name, pattern, 1)
-    return (
-        spark.read.text(f"{folder.rstrip('/')}/*", wholetext=True)
-        .select(qid.alias("qid"), "value")
-        .filter(F.col("qid") != "")
-        .withColumn("qid", F.col("qid").cast("bigint"))
+    """(qid, value) of every file of the batch; an empty file has an empty value.
+
+    Spark's sources pass over empty files, so the folder, which has a file per query of a
+    batch, is listed too.
+    """
+    names = spark.createDataFrame([(n,) for n in list_files(folder)], "name string")
+    listed = names.select(F.regexp_extract("name", pattern, 1).alias("qid")).filter("qid <> ''")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    read = spark.read.text(f"{folder.rstrip('/')}/*", wholetext=True).select(
+        F.regexp_extract(name, pattern, 1).alias("qid"), "value"
+    )
+    return listed.join(read, "qid", "left").select(
+        F.col("qid").cast("bigint").alias("qid"), F.coalesce("value", F.lit("")).alias("value")
     )
 
 
@@ -29,7 +36,9 @@ def read_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(value: Column) -> Column:
-    return F.split(F.rtrim(value, F.lit("\n")), "\n")
+    """The lines of a file; the end of the last line does not start another."""
+    lines = F.split(F.regexp_replace(value, r"\n\z", ""), "\n")
+    return F.when(value == "", F.array().cast("array<string>")).otherwise(lines)
 
 
 def read_expected(spark: SparkSession, folder: str) -> DataFrame:

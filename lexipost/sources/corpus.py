@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +22,15 @@ def _filesystem(root: str):
     return fs.LocalFileSystem(), root
 
 
+def list_files(folder: str) -> list[str]:
+    """The names of the files in one folder."""
+    from pyarrow import fs
+
+    files, base = _filesystem(folder)
+    found = files.get_file_info(fs.FileSelector(base))
+    return sorted(info.base_name for info in found if info.type == fs.FileType.File)
+
+
 def list_blocks(spark: SparkSession, root: str) -> DataFrame:
     """(block): the immediate sub-directories of ``root``; files in it are ignored."""
     from pyarrow import fs
@@ -54,10 +65,6 @@ def list_corpus(spark: SparkSession, root: str) -> DataFrame:
     return blocks.repartition("block").mapInPandas(list_files, schemas.MANIFEST)
 
 
-def _path_part(path: Column, from_end: int) -> Column:
-    return F.element_at(F.split(path, "/"), -from_end)
-
-
 def _checked_text(content: Column, path: Column) -> Column:
     text = content.cast("string")
     return F.when(F.is_valid_utf8(text), text).otherwise(
@@ -66,12 +73,23 @@ def _checked_text(content: Column, path: Column) -> Column:
 
 
 def _read_visible(spark: SparkSession, root: str) -> DataFrame:
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*")
-    return files.select(
-        _path_part(F.col("path"), 2).alias("block"),
-        _path_part(F.col("path"), 1).alias("name"),
-        "path",
-        "content",
+    """What Spark's own source reads at ``<root>/<block>/<file>``.
+
+    A folder nested in a block matches the pattern too, and Spark opens it: its files lie
+    one level deeper and are dropped by the number of parts below ``root``.
+    """
+    base = root.rstrip("/")
+    place = urlparse(base).path if ":/" in base else os.path.abspath(base)
+    below = F.expr("substring(path, locate(place, path) + length(place) + 1)")
+    return (
+        spark.read.format("binaryFile")
+        .load(f"{base}/*/*")
+        .withColumn("place", F.lit(place))
+        .withColumn("parts", F.split(below, "/"))
+        .filter(F.size("parts") == 2)
+        .select(
+            F.col("parts")[0].alias("block"), F.col("parts")[1].alias("name"), "path", "content"
+        )
     )
 
 
