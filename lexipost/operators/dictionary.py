@@ -49,12 +49,11 @@ def doc_terms(documents: DataFrame, docs: DataFrame) -> DataFrame:
     """One row per document with its distinct terms in first-seen order.
 
     The text is reduced to distinct tokens before the join, so the shuffle by
-    document key carries no repeats. Keys are unique, so no partition is hot; a
-    hash join with the small dictionary rows as build side spares sorting the
-    large token rows, and the shuffle evens out what unequal input files hold.
+    document key carries no repeats. Keys are unique, so no partition is hot. Spark
+    chooses the join: the hash map of a partition's dictionary rows would not spill.
     """
     reduced = documents.select("block", "name", distinct_tokens("text").alias("terms"))
-    numbers = docs.select("block", "name", "doc_id").hint("shuffle_hash")
+    numbers = docs.select("block", "name", "doc_id")
     return reduced.join(numbers, ["block", "name"]).select("doc_id", "block", "terms")
 
 

@@ -31,14 +31,18 @@ def chunk_of(df: Column, chunk_docs: int) -> Column:
     return F.when(df > chunk_docs, range_chunk(chunk_docs)).otherwise(F.lit(0)).cast("bigint")
 
 
-def invert(forward: DataFrame, lexicon: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
+def invert(
+    forward: DataFrame, lexicon: DataFrame, chunk_docs: int = CHUNK_DOCS, weight: str = "df"
+) -> DataFrame:
     """Posting rows (block, term_id, chunk, doc_id) of a forward table.
 
-    ``lexicon.df`` must be the document frequency over ``forward``: it tells the
-    join which terms are heavy.
+    ``lexicon.df`` is the document frequency over the whole index, which decides where
+    lists are cut. The column ``weight`` must be that over ``forward``: it tells the join
+    which terms are heavy.
     """
     pairs = doc_term_pairs(forward).select("doc_id", "block", "term")
-    return join_weighted(pairs, lexicon.select("term", "term_id", "df"), "term", "df").select(
+    terms = lexicon.select("term", "term_id", "df", F.col(weight).alias("_weight"))
+    return join_weighted(pairs, terms, "term", "_weight").select(
         "block", "term_id", chunk_of(F.col("df"), chunk_docs).alias("chunk"), "doc_id"
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from lexipost.operators.dictionary import (
     PIECE_DOCS,
     build_lexicon,
     doc_dictionary,
+    doc_term_pairs,
     doc_terms,
     extend_lexicon,
 )
@@ -32,6 +34,7 @@ class IndexMeta:
     chunk_docs: int
     piece_docs: int
     codec: str
+    build: str
 
 
 def _listed(numbers: list[int]) -> str:
@@ -47,18 +50,22 @@ class TextIndex:
     path: str
     meta: IndexMeta
 
+    @property
+    def tables(self) -> str:
+        return f"{self.path}/{self.meta.build}"
+
     @property
     def docs(self) -> DataFrame:
-        return sources.read_docs(self.spark, self.path)
+        return sources.read_docs(self.spark, self.tables)
 
     @property
     def lexicon(self) -> DataFrame:
-        return sources.read_lexicon(self.spark, self.path)
+        return sources.read_lexicon(self.spark, self.tables)
 
     def _stored(self) -> DataFrame:
         if self.meta.codec == sinks.ROWS:
-            return sources.read_posting_rows(self.spark, self.path)
-        return sources.read_encoded(self.spark, self.path)
+            return sources.read_posting_rows(self.spark, self.tables)
+        return sources.read_encoded(self.spark, self.tables)
 
     def _rows(self, stored: DataFrame) -> DataFrame:
         if self.meta.codec == sinks.ROWS:
@@ -90,22 +97,34 @@ def open_index(spark: SparkSession, path: str) -> TextIndex:
     return TextIndex(spark, path, IndexMeta(**row.asDict()))
 
 
+def _new_build() -> str:
+    """The folder of one build in an index directory.
+
+    A build never writes into another's folder. ``meta``, which says what build counts,
+    is written last, so a build that fails leaves the index as it was. Earlier builds
+    stay, for readers that have them open, until the user removes them.
+    """
+    return f"build-{uuid.uuid4().hex}"
+
+
 def _finish(
     spark: SparkSession,
     path: str,
+    build: str,
     postings: DataFrame,
     n_shards: int | None,
     chunk_docs: int,
     piece_docs: int,
     codec: str,
 ) -> TextIndex:
-    n_docs = sources.read_docs(spark, path).count()
-    lexicon = sources.read_lexicon(spark, path)
+    tables = f"{path}/{build}"
+    n_docs = sources.read_docs(spark, tables).count()
+    lexicon = sources.read_lexicon(spark, tables)
     size = lexicon.agg(F.count("*").alias("terms"), F.coalesce(F.sum("df"), F.lit(0)).alias("rows"))
     n_terms, n_postings = size.first()
     n_shards = n_shards or sinks.default_shards(n_postings)
-    sinks.write_postings(postings, path, n_shards, codec)
-    meta = IndexMeta(n_docs, n_terms, n_postings, n_shards, chunk_docs, piece_docs, codec)
+    sinks.write_postings(postings, tables, n_shards, codec)
+    meta = IndexMeta(n_docs, n_terms, n_postings, n_shards, chunk_docs, piece_docs, codec, build)
     sinks.write_meta(spark.createDataFrame([asdict(meta)], schemas.META), path)
     return TextIndex(spark, path, meta)
 
@@ -143,10 +162,11 @@ def build_index(
     if codec != sinks.ROWS:
         check_codec(codec)
     spark = documents.sparkSession
-    forward = forward_table(spark, documents, path, piece_docs)
-    lexicon = lexicon_table(spark, forward, path)
+    build = _new_build()
+    forward = forward_table(spark, documents, f"{path}/{build}", piece_docs)
+    lexicon = lexicon_table(spark, forward, f"{path}/{build}")
     postings = invert(forward, lexicon, chunk_docs)
-    return _finish(spark, path, postings, n_shards, chunk_docs, piece_docs, codec)
+    return _finish(spark, path, build, postings, n_shards, chunk_docs, piece_docs, codec)
 
 
 def _rechunked(index: TextIndex, lexicon: DataFrame) -> DataFrame:
@@ -189,12 +209,17 @@ def extend_index(index: TextIndex, documents: DataFrame, path: str) -> TextIndex
     keys = documents.select("block", "name").join(index.docs, ["block", "name"], "left_anti")
     fresh = stage(doc_dictionary(keys, meta.n_docs), "new-docs")
     known = index.docs.drop("piece")
-    sinks.write_docs(known.unionByName(fresh), path, meta.piece_docs)
+    build = _new_build()
+    tables = f"{path}/{build}"
+    sinks.write_docs(known.unionByName(fresh), tables, meta.piece_docs)
     forward = stage(doc_terms(documents, fresh), "forward")
-    sinks.write_lexicon(extend_lexicon(index.lexicon, forward), path)
-    lexicon = sources.read_lexicon(spark, path)
-    added = invert(forward, lexicon, meta.chunk_docs).select("term_id", "chunk", "doc_id")
+    sinks.write_lexicon(extend_lexicon(index.lexicon, forward), tables)
+    lexicon = sources.read_lexicon(spark, tables)
+    # How often the batch itself uses a term is what makes its rows heavy.
+    uses = doc_term_pairs(forward).groupBy("term").agg(F.count("*").alias("uses"))
+    used = stage(lexicon.join(uses, "term"), "batch-lexicon")
+    added = invert(forward, used, meta.chunk_docs, "uses").select("term_id", "chunk", "doc_id")
     postings = _rechunked(index, lexicon).unionByName(added)
     return _finish(
-        spark, path, postings, meta.n_shards, meta.chunk_docs, meta.piece_docs, meta.codec
+        spark, path, build, postings, meta.n_shards, meta.chunk_docs, meta.piece_docs, meta.codec
     )

@@ -37,4 +37,5 @@ META = _table(
     chunk_docs=_LONG,
     piece_docs=_LONG,
     codec=_STRING,
+    build=_STRING,
 )

@@ -48,11 +48,11 @@ def write_lexicon(lexicon: DataFrame, path: str) -> None:
 
 
 def write_postings(postings: DataFrame, path: str, n_shards: int, codec: str = ROWS) -> None:
+    # Staged, as the range partitioning samples its input before it reads it.
     if codec == ROWS:
-        rows = postings.select("term_id", "chunk", "doc_id")
+        rows = stage(postings.select("term_id", "chunk", "doc_id"), "inverted")
         order = ["shard", "term_id", "doc_id"]
     else:
-        # Staged, as the range partitioning samples its input before it reads it.
         rows = stage(encode(postings, codec).withColumn("payload", F.unhex("payload")), "encoded")
         order = ["shard", "term_id", "chunk"]
     (
@@ -70,7 +70,7 @@ def write_segments(segments: DataFrame, path: str) -> None:
     """One directory per block, each an index of its own; a large block takes many files."""
     order = ["block", "term_id", "doc_id"]
     (
-        segments.select("term_id", "doc_id", "block")
+        stage(segments.select("term_id", "doc_id", "block"), "segments")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lexipost import build_index, retrieve
+from lexipost import build_index, open_index, retrieve
 from lexipost.operators import codecs
+from lexipost.sinks import index as sinks
 from lexipost.sinks.results import write_results
 from lexipost.sources.batches import read_expected, read_queries
 from lexipost.sources.corpus import read_corpus
@@ -80,3 +81,17 @@ def test_gamma_chunks_join_to_the_whole_list(spark, chunk):
     parts = codecs.encode(cut, "gamma")
     assert "".join(r.payload for r in parts.orderBy("chunk").collect()) == want
     assert sorted(r.doc_id for r in codecs.decode(parts, "gamma").collect()) == ids
+
+
+def test_a_failed_build_leaves_the_index_as_it_was(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/index"
+    build_index(_documents(spark, DOCS), path)
+
+    def broken(*args):
+        raise OSError("no space")
+
+    monkeypatch.setattr(sinks, "write_postings", broken)
+    with pytest.raises(OSError):
+        build_index(_documents(spark, [("z", "1", "blue green")]), path)
+    found = retrieve(open_index(spark, path), queries_from_rows(spark, [(1, "blue")]))
+    assert sorted(r.path for r in found.collect()) == ["a/1", "a/2"]
