@@ -106,8 +106,10 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words
         F.xxhash64(F.col(text).cast("string")).alias("_hash"),
     )
     asked = wanted.select("node", F.col("rep._key").alias("_k"), F.col("rep._hash").alias("_h"))
+    # The list grows with the corpus: it is joined by a shuffle at every size.
+    listed = asked.hint("merge")
     rows = kept.join(
-        asked, (kept["_hash"] == asked["_h"]) & kept["_key"].eqNullSafe(asked["_k"])
+        listed, (kept["_hash"] == asked["_h"]) & kept["_key"].eqNullSafe(asked["_k"])
     ).select("node", "_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
