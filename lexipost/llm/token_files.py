@@ -10,6 +10,7 @@ reader splits files at stripes, so stripes are read in parallel.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -39,6 +40,9 @@ class ChunkIds(dict[str, bytes | None]):
     """
 
     def __init__(self, spec: str) -> None:
+        # The task's core is the parallelism; the library's own threads would take those of
+        # other tasks, and their memory. Read by the library when it encodes.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
