@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from lexipost.llm.secrets import BASE_RULES, MORE_RULES, Rule
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _URLS = f"""
@@ -33,4 +37,90 @@ FROM judged
 """
 
 
-ORACLE: dict[str, str] = {"op6_url_filter": _URLS}
+
+def _found(order: int, rule: Rule) -> str:
+    """(doc_id, kind, ord, start, stop) of one rule.
+
+    A match starts where the pieces and matches before it end.
+    """
+    flags = "(?i)" if rule.flags & re.IGNORECASE else ""
+    pattern = "'" + (flags + rule.pattern).replace("'", "''") + "'"
+    return f"""
+    SELECT doc_id, '{rule.kind}' AS kind, {order} AS ord, start, start + length(hit) AS stop
+    FROM (SELECT doc_id, hits[i] AS hit, parts[i] AS part,
+                 list_sum(list_transform(pieces[1:i], lambda x: length(x)))
+                 + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0) AS start
+          FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i
+                FROM (SELECT doc_id, regexp_extract_all(text, {pattern}) AS hits,
+                             regexp_extract_all(text, {pattern}, {rule.group}) AS parts,
+                             string_split_regex(text, {pattern}) AS pieces
+                      FROM documents)))
+    WHERE length(part) >= {rule.least}"""
+
+
+_BASE = ", ".join(f"'{rule.kind}'" for rule in BASE_RULES)
+_WRITTEN = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord)"
+_COUNTS = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)
+_SECRETS = f"""
+WITH found AS ({" UNION ALL ".join(_found(n, r) for n, r in enumerate(BASE_RULES + MORE_RULES))})
+SELECT doc_id, {_COUNTS},
+       sha256(coalesce({_WRITTEN} FILTER (kind IN ({_BASE})), '')) AS base_sha256,
+       coalesce({_WRITTEN} FILTER (kind IS NOT NULL), '') AS spans
+FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id
+"""
+
+def _components(key: str, nodes: str) -> str:
+    """CTEs for (id, component) from links ``link(a, b)`` among the ids of ``nodes``."""
+    return f"""
+sides AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reached(id, from_id) AS (
+    SELECT {key}, {key} FROM {nodes}
+    UNION
+    SELECT sides.b, reached.from_id FROM reached JOIN sides ON sides.a = reached.id
+),
+comp AS (SELECT id, min(from_id) AS component_id FROM reached GROUP BY id)"""
+
+
+_SPACES = r"'[\x20\x09-\x0D]+'"
+_NEAR = f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_SPACES}), lambda w: w <> '') AS ws
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(
+        range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS shingles
+    FROM worded
+), sizes AS (SELECT doc_id, len(shingles) AS n FROM sets),
+each AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have
+    FROM each x JOIN each y USING (shingle) WHERE x.doc_id < y.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)
+),{_components("doc_id", "documents")}
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN comp ON id = doc_id
+"""
+
+_VECTORS = f"""
+WITH RECURSIVE sound AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: NOT isfinite(x) OR x IS NULL)) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y
+    ON x.vec_id < y.vec_id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.9
+),{_components("vec_id", "embeddings")},
+counts AS (SELECT a AS id, count(*) AS n_links FROM sides GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN comp ON comp.id = vec_id LEFT JOIN counts ON counts.id = vec_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_near_dedup": _NEAR,
+    "op5_secrets": _SECRETS,
+    "op6_url_filter": _URLS,
+    "op10_vector_dedup": _VECTORS,
+}

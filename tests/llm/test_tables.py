@@ -16,9 +16,10 @@ from lexipost.llm.oracle import ORACLE
 SF = "/root/testdata/sf0.001"
 
 
-def test_url_query_equals_sql(spark):
-    got = queries.op6_url_filter(spark, SF)
-    assert duck.differences(got, duck.connect(SF), ORACLE["op6_url_filter"]) is None
+@pytest.mark.parametrize("name", ORACLE)
+def test_query_equals_sql(spark, name):
+    got = queries.QUERIES[name](spark, SF)
+    assert duck.differences(got, duck.connect(SF), ORACLE[name]) is None
 
 
 URLS = [

@@ -11,11 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-import duck
-from lexipost.llm import bpe, order_minhash, pii, queries, secrets, token_files
-from lexipost.llm.oracle import ORACLE
+from lexipost.llm import bpe, order_minhash, pii, secrets, token_files
 
-SF = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -141,12 +138,6 @@ def test_masked_text_has_no_secret(edge_docs):
     assert secrets.without("abcdef", [("a", 1, 4), ("b", 2, 3), ("c", 3, 5)], "-") == "a-f"
 
 
-def test_secrets_query_equals_sql(spark):
-    if "op5_secrets" in ORACLE:
-        got = queries.op5_secrets(spark, SF)
-        assert duck.differences(got, duck.connect(SF), ORACLE["op5_secrets"]) is None
-
-
 def check_fingerprints(docs):
     rows = order_minhash.fingerprints(docs).collect()
     given = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()
