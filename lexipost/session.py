@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own_dirs: dict[str, str] = {}
+
 
 def local_session(cores: str = "8", memory: str = "16g", app: str = "lexipost") -> SparkSession:
     """A single-machine session for tests and the bench, with a staging folder of its own."""
@@ -26,14 +29,21 @@ def local_session(cores: str = "8", memory: str = "16g", app: str = "lexipost")
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """The shared folder for staged tables: ``spark.checkpoint.dir``, which must be set.
+    """The shared folder for staged tables: ``spark.checkpoint.dir``.
 
-    Executors could not all see a folder chosen here.
+    Only a session whose executor is the driver's own process, such as a test's, may go
+    without the setting; it gets a temporary folder. Anywhere else executors could not
+    all see such a folder, so an unset setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return named.rstrip("/")
+    app = spark.conf.get("spark.app.id", "local")
+    if app not in _own_dirs:
+        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="lexipost-")
+    return _own_dirs[app]
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:
