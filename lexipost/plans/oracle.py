@@ -275,6 +275,12 @@ select qid, rank, left_path, right_path from pairs
 where left_path is distinct from right_path
 qualify row_number() over (partition by qid order by rank) = 1""",
     "result_files": _answers(_values("batch", BATCH), "qid, path"),
+    "corpus_files": _with("select block, name, text from docs", _DOCS),
+    "query_files": "select item_id as qid, text as query from benchmark",
+    "expected_files": _answers(
+        _values("batch", BATCH),
+        "qid, row_number() over (partition by qid order by did) - 1 as rank, path",
+    ),
     "gaps": _index("select tid as term_id, did as doc_id, vb_gap as gap from gaps", _GAPS),
     "gaps_to_postings": _POSTINGS,
     "encode_raw": _encoded(_raw_code()),

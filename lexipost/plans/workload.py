@@ -19,8 +19,11 @@ from lexipost.operators.inversion import CHUNK_DOCS
 from lexipost.operators.ranking import rank_in_group
 from lexipost.plans.index import TextIndex, build_index, extend_index
 from lexipost.session import new_stage_path, stage
+from lexipost.sinks.files import write_corpus, write_expected, write_queries
 from lexipost.sinks.index import write_segments
 from lexipost.sinks.results import write_results
+from lexipost.sources.batches import read_expected, read_queries
+from lexipost.sources.corpus import read_corpus
 from lexipost.sources.index import read_segments
 from lexipost.sources.tables import queries_from_rows, read_documents
 
@@ -314,6 +317,25 @@ def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("qid", "path").filter("path <> ''")
 
 
+def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written to a corpus directory and read back."""
+    root = new_stage_path(spark, "corpus")
+    write_corpus(documents(spark, sf_dir), root)
+    return read_corpus(spark, root)
+
+
+def query_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_stage_path(spark, "query-files")
+    write_queries(items(spark, sf_dir), folder)
+    return read_queries(spark, folder)
+
+
+def expected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_stage_path(spark, "expected-files")
+    write_expected(_ranked(spark, sf_dir, BATCH), _batch(spark), folder)
+    return read_expected(spark, folder)
+
+
 def gap_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.gaps(index_of(spark, sf_dir).postings()).select("term_id", "doc_id", "gap")
 
@@ -418,6 +440,9 @@ QUERIES: dict[str, Query] = {
     "validate_results": validate_results,
     "first_mismatch": first_mismatch,
     "result_files": result_files,
+    "corpus_files": corpus_files,
+    "query_files": query_files,
+    "expected_files": expected_files,
     "gaps": gap_encode,
     "gaps_to_postings": gap_decode,
     "encode_raw": _encode("raw"),

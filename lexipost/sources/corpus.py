@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from lexipost import schemas
 
 
-def _filesystem(root: str):
+def filesystem(root: str):
+    """The file system of a folder and the folder's path in it."""
     from pyarrow import fs
 
     if "://" in root or root.startswith("file:"):
@@ -26,7 +27,7 @@ def list_files(folder: str) -> list[str]:
     """The names of the files in one folder."""
     from pyarrow import fs
 
-    files, base = _filesystem(folder)
+    files, base = filesystem(folder)
     found = files.get_file_info(fs.FileSelector(base))
     return sorted(info.base_name for info in found if info.type == fs.FileType.File)
 
@@ -35,7 +36,7 @@ def list_blocks(spark: SparkSession, root: str) -> DataFrame:
     """(block): the immediate sub-directories of ``root``; files in it are ignored."""
     from pyarrow import fs
 
-    files, base = _filesystem(root)
+    files, base = filesystem(root)
     found = files.get_file_info(fs.FileSelector(base))
     names = [(info.base_name,) for info in found if info.type == fs.FileType.Directory]
     return spark.createDataFrame(names, "block string")
@@ -52,7 +53,7 @@ def list_corpus(spark: SparkSession, root: str) -> DataFrame:
     def list_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        files, base = _filesystem(root)
+        files, base = filesystem(root)
         for batch in batches:
             for block in batch["block"]:
                 found = [
@@ -101,7 +102,7 @@ def _read_hidden(root: str, files: DataFrame) -> DataFrame:
     )
 
     def read_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        source, _ = _filesystem(root)
+        source, _ = filesystem(root)
         for batch in batches:
             for row in batch.itertuples(index=False):
                 content = b""
