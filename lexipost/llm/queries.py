@@ -20,7 +20,7 @@ from lexipost.llm import (
     url_filter,
     vector_dedup,
 )
-from lexipost.session import new_stage_path, stage
+from lexipost.session import new_stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,12 +45,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = token_files.tokenized(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_ID
-    )
     path = new_stage_path(spark, "token-files")
-    # Staged: the range partitioner would encode every text again for its sample.
-    token_files.write_token_files(stage(tokens, "tokens"), path)
+    docs = table(spark, sf_dir, "documents")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_token_files(docs, path, vocabulary, END_ID)
     return token_files.token_offsets(spark, path)
 
 

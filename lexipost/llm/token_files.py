@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexipost.llm.arrow import map_batches
+from lexipost.llm.bpe import byte_letters
 
 STRIPE_BYTES = 64 << 20
 ROW_INDEX_STRIDE = 1_000  # documents per row group
@@ -27,6 +28,10 @@ BLOOM_FPP = 0.01
 CACHE_CHUNKS = 120_000  # chunks per generation; two generations are kept
 ENCODED_AT_ONCE = 4_096  # the library's encodings are large, so they are few at a time
 
+TOKEN_SCHEMA = "doc_id bigint, n_tokens int, ids array<int>"
+_MARKS = ".,;:!?%$&*#"  # neither letters, digits, white space nor apostrophes
+_LATIN_END = "\u0250"  # below it Python's letters are the pattern's
+
 _caches: dict[int, ChunkIds] = {}
 
 
@@ -52,6 +57,39 @@ class ChunkIds(dict[str, bytes | None]):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.marks: dict[str, list[int]] = {}
+
+    def _word(self, space: str, chunk: str) -> bytes | None:
+        """The ids of letters and marks after them, straight from the library's model.
+
+        The pattern cuts such a chunk between the two. None for any other chunk.
+        """
+        core = chunk.rstrip(_MARKS)
+        if not core.isalpha() or not (core.isascii() or max(core) < _LATIN_END):
+            return None
+        letters = core if core.isascii() else "".join([self.letters[b] for b in core.encode()])
+        ids = [t.id for t in self.model.tokenize(space + letters)]
+        if len(core) < len(chunk):
+            tail = chunk[len(core) :]
+            if tail not in self.marks:
+                if len(self.marks) > ENCODED_AT_ONCE:
+                    self.marks.clear()
+                self.marks[tail] = [t.id for t in self.model.tokenize(tail)]
+            ids += self.marks[tail]
+        return np.array(ids, "<u4").tobytes()
+
+    def words(self, chunks: list[str], spaced: bool) -> list[bytes]:
+        """The ids of each chunk, after a space or without one."""
+        space = self.letters[0x20] if spaced else ""
+        out = [self._word(space, c) for c in chunks]
+        at = [i for i, ids in enumerate(out) if ids is None]
+        rest = [f" {chunks[i]}" if spaced else chunks[i] for i in at]
+        for i, ids in zip(at, self.encode_all(rest), strict=True):
+            out[i] = ids
+        return out
+
     def encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
@@ -73,7 +111,7 @@ class ChunkIds(dict[str, bytes | None]):
                     self[chunk] = self.older[chunk]
                 else:
                     new.append(chunk)
-        for chunk, ids in zip(new, self.encode_all([f" {c}" for c in new]), strict=True):
+        for chunk, ids in zip(new, self.words(new, True), strict=True):
             self[chunk] = ids if chunk == chunk.strip() else None
 
     def age(self) -> None:
@@ -106,14 +144,14 @@ def encode_texts(texts: list[str], chunks: ChunkIds) -> list[bytes]:
     if lines:
         broken = chunks.encode("\n")
         tails = list({x for line in lines for x in line.split("\n")[1:]})
-        ids = dict(zip(tails, chunks.encode_all(tails), strict=True))
+        ids = dict(zip(tails, chunks.words(tails, False), strict=True))
         chunks.learn({line.split("\n", 1)[0] for line in lines})
         for line in lines:  # no part of it has white space at an edge
             head, *rest = line.split("\n")
             known[line] = broken.join([chunks[head], *[ids[x] for x in rest]])
     chunks.learn({p for parts in cut if parts for p in parts[1:] if p not in known})
     firsts = list({parts[0] for parts in cut if parts})
-    first = dict(zip(firsts, chunks.encode_all(firsts), strict=True))
+    first = dict(zip(firsts, chunks.words(firsts, False), strict=True))
     out = []
     for text, parts in zip(texts, cut, strict=True):
         if not text:
@@ -128,14 +166,33 @@ def encode_texts(texts: list[str], chunks: ChunkIds) -> list[bytes]:
     return out
 
 
-def tokenized(
-    docs: DataFrame, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(key, ids) per row: the ids of the whole text and ``end_id``; null is empty."""
+def _file_bounds(docs: DataFrame, key: str) -> list[float]:
+    """Keys that cut the table into as many files as there are shuffle partitions."""
+    files = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [k / files for k in range(1, files)]
+    return sorted(set(docs.select(key).dropna().approxQuantile(key, shares, 0.1 / files)))
+
+
+def write_token_files(
+    docs: DataFrame,
+    path: str,
+    tokenizer_path: str,
+    end_id: int,
+    key: str = "doc_id",
+    text: str = "text",
+) -> None:
+    """Encode whole texts, append ``end_id`` to each, and write ORC files by ``key``.
+
+    ``key`` is a whole number; rows ascend by it, null keys first, over the files in name
+    order, and equal keys, ordered by their ids, stay in one file. A null text is empty.
+    The keys alone are read first, to tell which file takes which of them; texts are
+    encoded once, and ids are shuffled once.
+    """
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = file.read()
     if json.loads(spec)["pre_tokenizer"]["type"] != "ByteLevel":
         raise ValueError("a byte-level vocabulary file is needed")
+    bounds = np.array(_file_bounds(docs, key), np.float64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached = hash(spec)
@@ -149,24 +206,23 @@ def tokenized(
             flat = np.frombuffer(b"".join(ids), np.int32)
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), lists], ["_key", "ids"])
-
-    kept = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
-    schema = f"_key {dict(kept.dtypes)['_key']}, ids array<int>"
-    return map_batches(kept, work, schema).withColumnRenamed("_key", key)
-
-
-def write_token_files(tokens: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Write (key, ids) as ORC files in ascending ``key`` order, null keys first.
-
-    Equal keys are ordered by their ids and stay in one file. File names ascend with the
-    keys. Ids are shuffled once, as integers; the range partitioner samples the keys from
-    a second reading of the table's key column only if ``tokens`` is staged.
-    """
+            keys = batch.column("doc_id")
+            numbers = keys.to_numpy(zero_copy_only=False).astype(np.float64)
+            place = np.searchsorted(bounds, numbers, "right")
+            place[keys.is_null().to_numpy(zero_copy_only=False)] = 0
+            yield pa.RecordBatch.from_arrays(
+                [keys, pa.array(np.diff(ends), pa.int32()), lists, pa.array(place, pa.int32())],
+                ["doc_id", "n_tokens", "ids", "_file"],
+            )
+
+    kept = docs.select(
+        F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("_text")
+    )
     (
-        tokens.select(F.col(key).alias("doc_id"), F.size("ids").alias("n_tokens"), "ids")
-        .repartitionByRange(F.asc_nulls_first("doc_id"))
+        map_batches(kept, work, f"{TOKEN_SCHEMA}, _file int")
+        .repartitionById(len(bounds) + 1, "_file")
         .sortWithinPartitions(F.asc_nulls_first("doc_id"), "n_tokens", "ids")
+        .drop("_file")
         .write.option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", ROW_INDEX_STRIDE)
@@ -177,7 +233,6 @@ def write_token_files(tokens: DataFrame, path: str, key: str = "doc_id") -> None
     )
 
 
-TOKEN_SCHEMA = "doc_id bigint, n_tokens int, ids array<int>"
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

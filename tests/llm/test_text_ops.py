@@ -62,7 +62,7 @@ def test_token_files(spark, edge_docs, small_docs, empty_docs, tmp_path, which):
     docs = {"edges": edge_docs, "table": small_docs, "none": empty_docs}[which]
     library = Tokenizer.from_file(BYTES)
     path = f"file://{tmp_path}/tokens"
-    token_files.write_token_files(token_files.tokenized(docs, BYTES, 2), path)
+    token_files.write_token_files(docs, path, BYTES, 2)
     rows = token_files.token_offsets(spark, path).collect()
     want = {}
     for r in docs.select("doc_id", "text").collect():
@@ -84,7 +84,7 @@ def test_token_files(spark, edge_docs, small_docs, empty_docs, tmp_path, which):
 
 def test_lookup_by_id_reaches_the_files(spark, small_docs, tmp_path):
     path = f"file://{tmp_path}/tokens"
-    token_files.write_token_files(token_files.tokenized(small_docs, BYTES, 2), path)
+    token_files.write_token_files(small_docs, path, BYTES, 2)
     one = token_files.read_token_files(spark, path).filter("doc_id = 7")
     plan = one._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,7)]" in plan
