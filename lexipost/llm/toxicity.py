@@ -28,7 +28,7 @@ PREFIXES = (4, 5, 6, 7)
 GRADES = 4  # 0 is clean; 1 to 3 are toxic
 #: A document is toxic if P(grade > 0) is this or more. Below one half, because one marked
 #: word in a document is weak evidence, and clean documents have none.
-TOXIC_AT = 0.3
+TOXIC_AT = 0.4
 CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"\w+")
