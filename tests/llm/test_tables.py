@@ -247,6 +247,40 @@ def test_graph_finds_neighbours_and_widens():
     assert len(found[-1]) > 600  # wider than the first beam by far
 
 
+def sparse_and_dense(rng, dims=32):
+    """Vectors of one large group, of pairs and of singles, and the other half of the pairs."""
+    unit = lambda v: v / np.linalg.norm(v, axis=1)[:, None]
+    group = unit(rng.normal(size=dims) + rng.normal(size=(1_500, dims)) * 0.1)
+    singles = unit(rng.normal(size=(3_000, dims)))
+    return np.concatenate((group, singles)), unit(singles[:1_500] + 0.05 * rng.normal(size=(1_500, dims)))
+
+
+def test_audit_sees_lost_pairs():
+    nodes, foreign = sparse_and_dense(np.random.default_rng(2))
+    for given in (foreign, foreign[:0]):  # real pairs, and planted ones alone
+        shard = vector_dedup._Shard(np.arange(len(nodes)), np.ones(len(nodes), int), nodes, 0.9)
+        within = shard.graph.within
+
+        def lossy(queries, least, beam):
+            """Loses isolated pairs, and nothing else, below a beam of 90."""
+            found = within(queries, least, beam)
+            inside = (queries @ shard.graph.vectors.T).max(axis=1) > 1 - 1e-6
+            return [f if beam > 90 or i or len(f) > 5 else f[:0] for f, i in zip(found, inside)]
+
+        shard.graph.within = lossy
+        shard.audit(given)
+        assert shard.beam > 90
+
+
+def test_foreign_vectors_find_their_pairs():
+    nodes, foreign = sparse_and_dense(np.random.default_rng(3))
+    shard = vector_dedup._Shard(np.arange(len(nodes)), np.ones(len(nodes), int), nodes, 0.9)
+    shard.audit(foreign[:700])
+    true = (foreign @ nodes.T >= 0.9).sum(axis=1)
+    found = [n for n, _ in shard.answer(np.arange(len(foreign)) + 10_000, foreign)]
+    assert np.mean([f / t for f, t in zip(found, true) if t]) > 0.99
+
+
 def test_forest_joins_once():
     forest = vector_dedup._Forest(6)
     assert forest.join_all(np.array([1, 3, 5])) == [(1, 3), (1, 5)]
