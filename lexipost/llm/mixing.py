@@ -1,20 +1,24 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 A source's documents are cut into blocks of text. One slot of the mixture takes one
-block. With weight w, block i (from 1) of a source is released at slot floor((i - 1) / w)
-and due by slot ceil(i / w); taking the earliest deadline first meets every window, which
-means that after any number of slots each source is less than one block from its share.
-
-Weights are whole shares of a frame. After a frame every source has exactly its shares,
-so the schedule repeats: only one frame is computed, and the slot of any block follows
-from its number by arithmetic, in a join. When a source runs out, the others go on in
-their proportions, in a new phase; there are at most two phases per source.
+block. The ideal mixture gives every source that has text left its weight's part of each
+slot; when a source runs out the others go on in their proportions. A block may not come
+before the slot in which the ideal begins it and is due by the slot in which the ideal
+ends it. Taking the earliest deadline first meets every window, which means that after any
+number of slots each source is less than one block from the ideal.
+
+Weights are used as they are. With ``weight`` w, block i (from 0) of a source begins at
+i / w and ends at (i + 1) / w of a common clock, which runs by the sum of the weights that
+are live; slots follow from the clock by a piecewise linear map.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,7 +28,9 @@ from lexipost.llm.arrow import map_batches
 from lexipost.session import stage
 
 BLOCK_CHARS = 1 << 18
-FRAME = 1_000  # shares in all, unless there are more sources
+FRAME = 1_000  # whole shares in all, for shares_of
+SLOT_ROWS = 1 << 16  # of the schedule that are written at a time
+_ROUNDING = 1e-9  # of a slot number, relative: what double precision may add
 MAX_SOURCES = 10_000  # in the weights; more are refused
 
 Frame = list[tuple[str, int, int, int]]  # source, number in the frame, release, deadline
@@ -88,6 +94,53 @@ def phases(blocks: Mapping[str, int], shares: Mapping[str, int]) -> Iterator[tup
         left = {s: n for s, n in left.items() if n}
 
 
+def scheduled(
+    sources: list[tuple[str, int, float]],
+) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) in slot order of (source, blocks, weight).
+
+    Blocks and weights are above 0. Takes memory by the sources, not by the blocks.
+    """
+    ends = sorted((n / w, n, w) for _, n, w in sources)
+    clock = [e for e, _, _ in ends]
+    gone, live = [0], [0.0]  # blocks of the ended sources, weight of the others
+    for _, n, _ in ends:
+        gone.append(gone[-1] + n)
+    for _, _, w in reversed(ends):
+        live.append(live[-1] + w)
+    live.reverse()
+
+    def slots_at(time: float) -> float:
+        at = bisect_right(clock, time)
+        return gone[at] + live[at] * time
+
+    def window(weight: float, number: int) -> tuple[int, int]:
+        begin, end = slots_at(number / weight), slots_at((number + 1) / weight)
+        begin += _ROUNDING * max(1.0, begin)
+        end -= _ROUNDING * max(1.0, end)
+        return math.floor(begin), math.ceil(end)
+
+    # (release, deadline, source's place, block): one at most of each source in both heaps.
+    by_name = sorted(sources)
+    later = [(*window(w, 0), i, 0) for i, (_, _, w) in enumerate(by_name)]
+    heapq.heapify(later)
+    ready: list[tuple[int, int, int, int]] = []
+    slot = 0
+    while later or ready:
+        while later and later[0][0] <= slot:
+            release, deadline, i, number = heapq.heappop(later)
+            heapq.heappush(ready, (deadline, i, number, release))
+        if not ready:  # by rounding alone: no slot stays free
+            release, deadline, i, number = heapq.heappop(later)
+            heapq.heappush(ready, (deadline, i, number, release))
+        deadline, i, number, release = heapq.heappop(ready)
+        name, blocks, weight = by_name[i]
+        yield name, number, release, deadline, slot
+        slot += 1
+        if number + 1 < blocks:
+            heapq.heappush(later, (*window(weight, number + 1), i, number + 1))
+
+
 def _placed(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
     """(_key, _source, _chars, _run, _inside): chars before each row in its sorted run."""
     rows = (
@@ -129,25 +182,25 @@ def mix_sources(
     source: str = "source",
     text: str = "text",
     block_chars: int = BLOCK_CHARS,
-    frame: int = FRAME,
+    frame: int | None = None,
 ) -> DataFrame:
     """The place of every document in the mixture.
 
     One row (key, source, block, release, deadline, slot) per row of ``docs``. ``block``
     is the number, from 0, of the block in which the document starts when the source's
     documents follow each other by key, and ``slot`` the block's place in the mixture.
-    Slots from ``release`` on and before ``deadline`` are the block's window; in the frame
-    in which a source runs out the others may come earlier. Documents of one block follow
-    each other by key. No document is left out or repeated.
+    Slots from ``release`` on and before ``deadline`` are the block's window. Documents of
+    one block follow each other by key. No document is left out or repeated.
 
     ``weights`` are the target weights by source; by default each source weighs its text
-    to the power ``exponent``. Sources without a weight, and rows without a source, come
+    to the power ``exponent``. With a ``frame``, weights are rounded to whole shares of it,
+    one at least; without, they are met as they are. Sources without a weight, and rows without a source, come
     after all others, block by block; their window is null. A null text has no length.
     Equal keys are ordered by length. An empty table gives no rows. Other columns are
     left out, whatever their names.
 
-    The driver sees one total per weighted source (at most MAX_SOURCES) and computes
-    frames. Documents are sorted once, without their texts; totals are per sorted run.
+    Documents are sorted once, without their texts; totals are per sorted run. One task
+    deals the slots: it reads one row per weighted source and writes one per block.
     """
     spark = docs.sparkSession
     rows = stage(_placed(docs, key, source, text), "mixing-runs")
@@ -158,68 +211,61 @@ def mix_sources(
         sums.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))), "mixing-sums"
     )
     totals = runs.filter(F.col("_source").isNotNull()).groupBy("_source").agg(F.sum("_sum").alias("n"))
-    if weights is None:
-        found = {r["_source"]: r["n"] for r in totals.limit(MAX_SOURCES + 1).collect()}
-        shares = shares_of({s: n**exponent for s, n in found.items()}, frame)
+    blocks_of = F.greatest(F.expr(f"cast(ceil(n / {block_chars}) as bigint)"), F.lit(1))
+    if weights is None and frame is None:
+        weighted = totals.withColumn("_weight", F.pow("n", F.lit(float(exponent))))
     else:
-        shares = shares_of(weights, frame)
-        listed = spark.createDataFrame([(s,) for s in shares], "_source string")
-        found = {r["_source"]: r["n"] for r in totals.join(listed, "_source", "left_semi").collect()}
-    blocks = {s: -(-n // block_chars) or 1 for s, n in found.items()}
-    plan, frames, end = [], [], 0
-    for phase, (first, order, repeats, live, slot) in enumerate(phases(blocks, shares)):
-        length = len(order)
-        plan += [
-            (s, phase, first[s], first[s] + repeats * a, a, length, slot) for s, a in live.items()
-        ]
-        frames += [
-            (s, phase, number, at, release, deadline)
-            for at, (s, number, release, deadline) in enumerate(order)
-        ]
-        end = slot + repeats * length
-    # Both tables have as many rows as weights and shares, whatever the documents.
-    plan_rows = spark.createDataFrame(
-        plan, "_source string, _phase int, _lo bigint, _hi bigint, _share bigint, _length bigint, _slot bigint"
-    )
-    frame_rows = spark.createDataFrame(
-        frames, "_source string, _phase int, _number bigint, _at bigint, _release bigint, _deadline bigint"
-    )
-    placed = (
-        rows.join(runs.select("_run", "_source", "_before"), [
-            rows["_run"] == runs["_run"], rows["_source"].eqNullSafe(runs["_source"])
-        ])
-        .select(
-            "_key",
-            rows["_source"],
-            F.expr(f"(_before + _inside) div {block_chars}").alias("block"),
+        if weights is None:
+            weights = {r["_source"]: r["n"] ** exponent for r in totals.limit(MAX_SOURCES + 1).collect()}
+        given = weights if frame is None else shares_of(weights, frame)
+        rows_of = [(s, float(w)) for s, w in given.items() if w and w > 0]
+        weighted = totals.join(
+            spark.createDataFrame(rows_of, "_source string, _weight double"), "_source"
         )
+    weighted = stage(
+        weighted.filter("_weight > 0").select("_source", blocks_of.alias("_blocks"), "_weight"),
+        "mixing-weights",
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sources = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+        dealt = scheduled(sources)
+        while part := list(islice(dealt, SLOT_ROWS)):
+            names, *numbers = zip(*part, strict=True)
+            arrays = [pa.array(names, pa.string()), *[pa.array(n, pa.int64()) for n in numbers]]
+            yield pa.RecordBatch.from_arrays(
+                arrays, ["_source", "block", "release", "deadline", "slot"]
+            )
+
+    # One task, as each slot depends on the one before; its input is a row per source.
+    slots = stage(
+        map_batches(
+            weighted.repartition(1),
+            work,
+            "_source string, block bigint, release bigint, deadline bigint, slot bigint",
+        ),
+        "mixing-slots",
     )
-    # A text of no length at the very end of a source stays in its last block.
-    counted = spark.createDataFrame(list(blocks.items()), "_source string, _blocks bigint")
-    placed = placed.join(F.broadcast(counted), "_source", "left").withColumn(
-        "block", F.least("block", F.coalesce(F.col("_blocks") - 1, F.col("block")))
+    end = weighted.agg(F.coalesce(F.sum("_blocks"), F.lit(0))).first()[0]
+    whole = Window.partitionBy("_source")
+    before = runs.withColumn("n", F.sum("_sum").over(whole)).select(
+        "_run", "_source", "_before", (blocks_of - 1).alias("_last")
     )
-    in_phase = placed.join(
-        F.broadcast(plan_rows),
-        (placed["_source"] == plan_rows["_source"])
-        & (placed["block"] >= plan_rows["_lo"])
-        & (placed["block"] < plan_rows["_hi"]),
-        "left",
+    placed = rows.join(
+        before, (rows["_run"] == before["_run"]) & rows["_source"].eqNullSafe(before["_source"])
     ).select(
         "_key",
-        placed["_source"],
-        "block",
-        "_phase",
-        (F.col("_slot") + F.expr("(block - _lo) div _share") * F.col("_length")).alias("_base"),
-        F.expr("(block - _lo) % _share").alias("_number"),
+        rows["_source"],
+        # A text of no length at the very end of a source stays in its last block.
+        F.least(F.expr(f"(_before + _inside) div {block_chars}"), "_last").alias("block"),
     )
-    return in_phase.join(F.broadcast(frame_rows), ["_source", "_phase", "_number"], "left").select(
+    return placed.join(slots, ["_source", "block"], "left").select(
         F.col("_key").alias(key),
         F.col("_source").alias(source),
         "block",
-        (F.col("_base") + F.col("_release")).alias("release"),
-        (F.col("_base") + F.col("_deadline")).alias("deadline"),
-        F.coalesce(F.col("_base") + F.col("_at"), F.lit(end) + F.col("block")).alias("slot"),
+        "release",
+        "deadline",
+        F.coalesce("slot", F.lit(end) + F.col("block")).alias("slot"),
     )
 
 

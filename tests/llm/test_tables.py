@@ -179,6 +179,48 @@ def test_all_phases_take_all_blocks():
     assert taken == blocks and slot == sum(blocks.values())
 
 
+@pytest.mark.parametrize(
+    "sources",
+    [
+        {"a": (3_000, 0.12345), "b": (7_000, 0.87655)},
+        {"big": (2_000, 0.5), **{f"s{i}": (4, 0.5 / 900) for i in range(900)}},
+        {"a": (5_000, 1.0), "rare": (3, 1e-3), "b": (900, 0.61803), "c": (40, 0.3)},
+        {"a": (50, 5), "b": (30, 3), "c": (2_000, 2)},
+    ],
+)
+def test_slots_stay_within_a_block_of_real_weights(sources):
+    order = list(mixing.scheduled([(s, n, w) for s, (n, w) in sources.items()]))
+    assert [x[4] for x in order] == list(range(sum(n for n, _ in sources.values())))
+    assert Counter(x[0] for x in order) == {s: n for s, (n, _) in sources.items()}
+    taken = Counter()
+    ideal = dict.fromkeys(sources, 0.0)
+    for source, number, release, deadline, slot in order:
+        assert release <= slot < deadline and number == taken[source]
+        taken[source] += 1
+        free = 1.0  # the ideal of one slot, dealt to those that have text left
+        while free > 1e-12:
+            live = {s: w for s, (n, w) in sources.items() if ideal[s] < n - 1e-9}
+            if not live:
+                break
+            step = min([free / sum(live.values()), *((sources[s][0] - ideal[s]) / w for s, w in live.items())])
+            for s, w in live.items():
+                ideal[s] += step * w
+            free -= step * sum(live.values())
+        assert all(abs(taken[s] - ideal[s]) < 1 + 1e-6 for s in sources)
+
+
+def test_mixture_meets_unrounded_weights(spark):
+    """Weights that no frame of 1,000 holds: the deviation stays below a block."""
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"), F.lit("x").alias("text")
+    )
+    weights = {"a": 0.2504, "b": 0.7496}
+    rows = mixing.mix_sources(docs, weights, block_chars=1).collect()
+    assert sorted(r.slot for r in rows) == list(range(30_000))
+    last = min(7_500 / 0.2504, 22_500 / 0.7496)
+    assert all(abs(r.block - r.slot * weights[r.source]) < 1 + 1e-6 for r in rows if r.slot < last - 1)
+
+
 def brute_vectors(rows, least=0.9):
     sound = {}
     for i, r in enumerate(rows):
