@@ -31,7 +31,6 @@ BLOCK_CHARS = 1 << 18
 FRAME = 1_000  # whole shares in all, for shares_of
 SLOT_ROWS = 1 << 16  # of the schedule that are written at a time
 _ROUNDING = 1e-9  # of a slot number, relative: what double precision may add
-MAX_SOURCES = 10_000  # in the weights; more are refused
 
 Frame = list[tuple[str, int, int, int]]  # source, number in the frame, release, deadline
 
@@ -42,8 +41,6 @@ def shares_of(weights: Mapping[str, float], frame: int = FRAME) -> dict[str, int
     Weights that are not above 0 are left out.
     """
     kept = {s: float(w) for s, w in sorted(weights.items()) if w and w > 0}
-    if len(kept) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} weights")
     if not kept:
         return {}
     total, frame = sum(kept.values()), max(frame, len(kept))
@@ -200,7 +197,8 @@ def mix_sources(
     left out, whatever their names.
 
     Documents are sorted once, without their texts; totals are per sorted run. One task
-    deals the slots: it reads one row per weighted source and writes one per block.
+    deals the slots: it reads one row per weighted source and writes one per block, with
+    memory by the sources. Only with a ``frame`` does the driver see a total per source.
     """
     spark = docs.sparkSession
     rows = stage(_placed(docs, key, source, text), "mixing-runs")
@@ -216,7 +214,7 @@ def mix_sources(
         weighted = totals.withColumn("_weight", F.pow("n", F.lit(float(exponent))))
     else:
         if weights is None:
-            weights = {r["_source"]: r["n"] ** exponent for r in totals.limit(MAX_SOURCES + 1).collect()}
+            weights = {r["_source"]: r["n"] ** exponent for r in totals.collect()}
         given = weights if frame is None else shares_of(weights, frame)
         rows_of = [(s, float(w)) for s, w in given.items() if w and w > 0]
         weighted = totals.join(

@@ -221,6 +221,17 @@ def test_mixture_meets_unrounded_weights(spark):
     assert all(abs(r.block - r.slot * weights[r.source]) < 1 + 1e-6 for r in rows if r.slot < last - 1)
 
 
+def test_mixture_of_more_than_ten_thousand_sources(spark):
+    docs = spark.range(24_200).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("site"), F.col("id") % 12_100).alias("source"), F.lit("xy").alias("text")
+    )
+    rows = mixing.mix_sources(docs, block_chars=2).collect()
+    assert sorted(r.slot for r in rows) == list(range(24_200))
+    assert all(r.release <= r.slot < r.deadline for r in rows)
+    # Equal weights: every source has its first block before any has its second.
+    assert {r.block for r in rows if r.slot < 12_100} == {0}
+
+
 def brute_vectors(rows, least=0.9):
     sound = {}
     for i, r in enumerate(rows):
