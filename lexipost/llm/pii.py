@@ -25,16 +25,39 @@ _WALKS = 16  # of a cycle; an index leaves it by chance once in 10^20 and more
 
 KINDS = ("email", "phone", "ip", "ssn", "date", "card")
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-PHONE = r"(?<![0-9+])\+[1-9][0-9]{0,2}[ -]?(?:\([0-9]{3}\)|[0-9]{3})[ -]?[0-9]{3}[ -]?[0-9]{4}(?![0-9])"
+_FREE, _DONE = r"(?<![0-9+])(?<![0-9][.-])", r"(?![0-9]|[.-][0-9])"
+#: With a country's code: the common grouping first, then 7 to 15 digits in any grouping.
+PHONE = (
+    r"(?<![0-9+])\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z+])\+[1-9](?:[ ./()-]{0,2}[0-9]){6,14}(?![0-9])"
+    + "|" + _FREE + r"00[1-9][0-9]{0,2}[ .-](?:[ ./()-]{0,2}[0-9]){6,12}(?![0-9])"
+)
+#: Without one: 3-3-4 digits, and those that begin with the trunk's 0.
+NATIONAL = (
+    _FREE + r"(?:1[ .-]?)?(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?|(?<![0-9])[0-9]{3}[ .-][0-9]{3}[ .-])[0-9]{4}" + _DONE
+)
+TRUNK = (
+    _FREE + r"(?:\(0[1-9][0-9]{1,4}\)[ -]?|0[1-9][0-9]{1,4}[ /.-])[0-9]{3,4}[ -]?[0-9]{3,5}" + _DONE
+)
+COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
-DAY_FIRST = r"(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9/]|\.[0-9])"
+SOCIAL = r"(?<![0-9-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3} [0-9]{2} [0-9]{4})(?![0-9-])"
+DATE = (
+    r"(?<![0-9-])[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?![0-9-])"
+    r"|(?<![0-9./])[0-9]{4}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{1,2}(?![0-9/]|\.[0-9])"
+)
+#: The day first; if that is no date, the month.
+YEAR_LAST = (
+    r"(?<![0-9./-])[0-9]{1,2}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.|-[0-9]{1,2}-)[0-9]{4}(?![0-9/-]|\.[0-9])"
+)
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
-FOUND = "|".join((EMAIL, PHONE, ADDRESS, SOCIAL, DATE, DAY_FIRST, CARD))
+FOUND = "|".join((EMAIL, PHONE, ADDRESS, SOCIAL, DATE, YEAR_LAST, CARD, NATIONAL, TRUNK))
 
 #: Dates from the first to the last day are permuted; others are left alone.
 FIRST_DAY, DAYS = "1900-01-01", 73_049  # to 2099-12-31
+#: Dates that only a month-first reading allows have a day of 13 or more; so have their pseudonyms.
+MONTHS = 2_400
+LATE_DAYS = DAYS - 12 * MONTHS
 SOCIAL_NUMBERS = 898 * 99 * 9_999  # area 001-899 without 666, group 01-99, serial 0001-9999
 
 _LETTERS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
@@ -131,18 +154,40 @@ def _relaid(value: Column, digits: Column) -> Column:
     )
 
 
-def _day(value: Column) -> Column:
+def _day(value: Column, month_first: bool = False) -> Column:
     """Days since the first day; null for what is no date of the range."""
-    iso = F.when(value.rlike("^[0-9]{4}-"), value).otherwise(
-        F.concat_ws(
-            "-",
-            F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2),
-        )
+    parts = F.split(value, "[./-]")
+    order = F.when(value.rlike("^[0-9]{4}"), F.array(*[parts[i] for i in (0, 1, 2)])).otherwise(
+        F.array(*[parts[i] for i in ((2, 0, 1) if month_first else (2, 1, 0))])
     )
+    iso = F.array_join(F.transform(order, lambda x: F.lpad(x, F.greatest(F.length(x), F.lit(2)), F.lit("0"))), "-")
     day = F.datediff(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"), F.lit(FIRST_DAY).cast("date"))
     return F.when((day >= 0) & (day < DAYS), day.cast("bigint"))
 
 
+def _month_start(month: Column) -> Column:
+    """Days from the first day to a month's first, months counted from 0."""
+    first = F.lit(FIRST_DAY).cast("date")
+    return F.datediff(F.add_months(first, month.cast("int")), first).cast("bigint")
+
+
+def _late_index(day: Column) -> Column:
+    """The number of a date among those whose day is 13 or later."""
+    date = F.date_add(F.lit(FIRST_DAY).cast("date"), day.cast("int"))
+    month = (F.year(date) - 1900) * 12 + F.month(date)
+    return day - 12 * month
+
+
+def _late_day(index: Column) -> Column:
+    """The day that has this ``_late_index``."""
+    near = _div(index * MONTHS, F.lit(LATE_DAYS))
+    months = F.filter(
+        F.sequence(F.greatest(near - 3, F.lit(0)), F.least(near + 3, F.lit(MONTHS - 1))),
+        lambda m: _month_start(m) - 12 * m <= index,
+    )
+    return index + 12 * (F.array_max(months) + 1)
+
+
 def _kind(value: Column) -> Column:
     """The kind of a match; null if it is not valid."""
     digits = F.regexp_replace(value, "[^0-9]", "")
@@ -155,13 +200,18 @@ def _kind(value: Column) -> Column:
         .when(
             value.rlike("^" + SOCIAL + "$"),
             F.when(
-                ~value.rlike("^(?:000|666|9)") & ~value.rlike("-00-") & ~value.rlike("-0000$"),
+                ~value.rlike("^(?:000|666|9)") & ~value.rlike("[ -]00[ -]") & ~value.rlike("[ -]0000$"),
                 F.lit("ssn"),
             ),
         )
         .when(
-            value.rlike("^(?:" + DATE + "|" + DAY_FIRST + ")$"),
-            F.when(_day(value).isNotNull(), F.lit("date")),
+            value.rlike("^(?:" + DATE + "|" + YEAR_LAST + ")$"),
+            F.when(_day(value).isNotNull() | _day(value, True).isNotNull(), F.lit("date")),
+        )
+        .when(
+            value.rlike("^(?:" + PHONE + "|" + NATIONAL + "|" + TRUNK + ")$")
+            & ~value.rlike("^(?:" + CARD + ")$"),
+            F.lit("phone"),
         )
         .otherwise(F.when(F.call_function("luhn_check", digits), F.lit("card")))
     )
@@ -169,7 +219,17 @@ def _kind(value: Column) -> Column:
 
 def _number_pseudonym(value: Column, kind: Column, key: str) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
-    payload = F.length(digits) - 1  # digits of a card before its check digit
+    # What stays of a phone number: the country's code, or the trunk's 0.
+    code = lambda at: F.length(F.regexp_extract(F.substring(digits, at, 3), COUNTRY, 1)) + at - 1
+    prefix = (
+        F.when(F.startswith(value, F.lit("+")), code(1))
+        .when(value.rlike("^(?:" + NATIONAL + ")$"), F.length(digits) - 10)
+        .when(value.rlike("^00"), code(3))
+        .otherwise(1)
+    )
+    # The digits of a phone number after that, of a card before its check digit.
+    payload = F.length(digits) - F.when(kind == "phone", prefix).otherwise(1)
+    late = (kind == "date") & _day(value).isNull()  # the month first
 
     def part(at: int, size: int) -> Column:
         return F.substring(value, at, size).cast("bigint")
@@ -177,21 +237,27 @@ def _number_pseudonym(value: Column, kind: Column, key: str) -> Column:
     area = part(1, 3) - 1 - F.when(part(1, 3) > 666, 1).otherwise(0)
     octets = F.transform(F.split(value, "\\."), lambda o: o.cast("bigint"))
     index = (
-        F.when(kind == "phone", F.substring(digits, -10, 10).cast("bigint"))
+        F.when(kind == "phone", F.substring(digits, prefix + 1, payload).cast("bigint"))
         .when(kind == "ip", F.aggregate(octets, F.lit(0).cast("bigint"), lambda a, o: a * 256 + o))
         .when(kind == "ssn", (area * 99 + part(5, 2) - 1) * 9_999 + part(8, 4) - 1)
+        .when(late, _late_index(_day(value, True)))
         .when(kind == "date", _day(value))
         .otherwise(F.substring(digits, F.lit(1), payload).cast("bigint"))
     )
     powers = [10**n for n in range(19)]
     roots = [math.isqrt(p - 1) + 1 for p in powers]
-    fixed = {"phone": 10**10, "ip": 2**32, "ssn": SOCIAL_NUMBERS, "date": DAYS}
+    fixed = {"ip": 2**32, "ssn": SOCIAL_NUMBERS, "date": DAYS}
     count = F.element_at(F.array(*[F.lit(p).cast("bigint") for p in powers]), payload + 1)
     base = F.element_at(F.array(*[F.lit(r).cast("bigint") for r in roots]), payload + 1)
     for name, n in fixed.items():
         count = F.when(kind == name, F.lit(n).cast("bigint")).otherwise(count)
         base = F.when(kind == name, F.lit(math.isqrt(n - 1) + 1).cast("bigint")).otherwise(base)
-    label = F.when(kind == "card", F.concat(kind, payload.cast("string"))).otherwise(kind)
+    count = F.when(late, F.lit(LATE_DAYS).cast("bigint")).otherwise(count)
+    base = F.when(late, F.lit(math.isqrt(LATE_DAYS - 1) + 1).cast("bigint")).otherwise(base)
+    sized = (kind == "card") | ((kind == "phone") & (payload != 10))
+    label = F.when(sized, F.concat(kind, payload.cast("string"))).otherwise(
+        F.when(late, F.lit("late")).otherwise(kind)
+    )
     values = F.struct(index.alias("index"), count.alias("count"), base.alias("base"), label.alias("label"))
     new = _let(values, lambda v: permuted(v["index"], v["count"], v["base"], key, v["label"]))
 
@@ -203,10 +269,23 @@ def _number_pseudonym(value: Column, kind: Column, key: str) -> Column:
             _padded(_div(n, F.lit(9_999)) % 99 + 1, 2),
             _padded(n % 9_999 + 1, 4),
         )
-        day = F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))
-        is_iso = value.rlike("^[0-9]{4}-")
-        day_digits = F.when(is_iso, F.date_format(day, "yyyyMMdd")).otherwise(
-            F.date_format(day, "ddMMyyyy")
+        day = F.date_add(
+            F.lit(FIRST_DAY).cast("date"), F.when(late, _late_day(n)).otherwise(n).cast("int")
+        )
+        # A part of one digit says that small numbers are written without a zero.
+        short = value.rlike("(?:^|[./-])[0-9](?:[./-]|$)")
+        mark = F.regexp_extract(value, "[./-]", 0)
+
+        def dated(*parts: str) -> Column:
+            shown = lambda p: F.when(short, F.date_format(day, p[:1] if p != "yyyy" else p)).otherwise(
+                F.date_format(day, p)
+            )
+            return F.concat(shown(parts[0]), mark, shown(parts[1]), mark, shown(parts[2]))
+
+        date = (
+            F.when(value.rlike("^[0-9]{4}"), dated("yyyy", "MM", "dd"))
+            .when(late, dated("MM", "dd", "yyyy"))
+            .otherwise(dated("dd", "MM", "yyyy"))
         )
         front = _padded(n, payload)
         checked = F.filter(
@@ -216,12 +295,12 @@ def _number_pseudonym(value: Column, kind: Column, key: str) -> Column:
         address = F.concat_ws(
             ".", *[(_div(n, F.lit(256**k)) % 256).cast("string") for k in (3, 2, 1, 0)]
         )
-        kept = F.substring(digits, F.lit(1), F.length(digits) - 10)  # the country's code
+        kept = F.substring(digits, F.lit(1), prefix)
         return (
             F.when(kind == "ip", address)
-            .when(kind == "phone", _relaid(value, F.concat(kept, _padded(n, 10))))
+            .when(kind == "phone", _relaid(value, F.concat(kept, front)))
             .when(kind == "ssn", _relaid(value, social))
-            .when(kind == "date", _relaid(value, day_digits))
+            .when(kind == "date", date)
             .otherwise(_relaid(value, F.concat(front, checked[0].cast("string"))))
         )
 

@@ -204,6 +204,41 @@ def test_pseudonyms_keep_format_and_links(spark, edge_docs, empty_docs):
     assert pii.pseudonymized(empty_docs, "s").count() == 0
 
 
+SHAPES = {
+    "phone": "(555) 123-4567|555-123-4567|555.123.4567|555 123 4567|1-555-123-4567|+44 20 7946 0958|+49 30 1234567"
+    "|+33.1.23.45.67.89|+1.555.123.4567|020 7946 0958|(030) 1234567|030/1234567|0044 20 7946 0958|+6421123456",
+    "date": "12/31/2020|1/5/2020|2020/12/31|31-12-2020|2020.12.31|2020-1-5|1/31/2020|31/1/2020",
+    "ssn": "123 45 6789",
+}
+
+
+def test_pseudonyms_of_other_shapes(spark):
+    given = [(kind, v) for kind, vs in SHAPES.items() for v in vs.split("|")]
+    docs = spark.createDataFrame([(i, f"at {v}, {v} or {v}.") for i, (_, v) in enumerate(given)], "doc_id bigint, text string")
+    once = pii.pseudonymized(docs, "k")
+    rows = {r.doc_id: r for r in once.collect()}
+    again = {r.doc_id: r for r in pii.pseudonymized(once.select("doc_id", "text"), "k").collect()}
+    new = {}
+    for i, (kind, v) in enumerate(given):
+        assert rows[i][f"n_{kind}"] == 3 == sum(rows[i][f"n_{k}"] for k in pii.KINDS), (v, rows[i])
+        assert v not in rows[i].text and again[i][f"n_{kind}"] == 3, (v, rows[i].text, again[i])
+        new[v] = rows[i].text[3:].split(",")[0]
+        if kind != "date":
+            assert re.sub("[0-9]", "0", new[v]) == re.sub("[0-9]", "0", v)
+    only = lambda v: re.sub("[^0-9]", "", new[v])
+    assert only("(555) 123-4567") == only("555.123.4567") == only("+1.555.123.4567")[1:]
+    assert only("+44 20 7946 0958")[2:] == only("020 7946 0958")[1:] and new["+44 20 7946 0958"].startswith("+44 ")
+    assert new["2020/12/31"] == new["2020.12.31"].replace(".", "/")
+    assert int(new["12/31/2020"].split("/")[0]) <= 12 < int(new["12/31/2020"].split("/")[1])
+
+
+def test_late_days_are_numbered_without_gap(spark):
+    day = F.date_add(F.lit(pii.FIRST_DAY).cast("date"), F.col("id").cast("int"))
+    late = spark.range(pii.DAYS).filter(F.dayofmonth(day) > 12).withColumn("n", pii._late_index(F.col("id")))
+    row = late.agg(F.countDistinct("n"), F.min("n"), F.max("n"), F.max(F.abs(pii._late_day(F.col("n")) - F.col("id")))).first()
+    assert tuple(row) == (pii.LATE_DAYS, 0, pii.LATE_DAYS - 1, 0)
+
+
 def test_pseudonyms_stay_valid(spark):
     docs = spark.createDataFrame([(1, PRIVATE)], "doc_id bigint, text string")
     once = pii.pseudonymized(docs, "secret")
