@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lexipost.llm.arrow import map_batches
 from lexipost.llm.ordinal import OrdinalModel, fit_ordinal
+from lexipost.session import stage
 
 #: Labelled documents to fit on, at most: those with the least hashes of their keys.
 TRAIN_DOCS = 6_000
@@ -122,8 +123,8 @@ def fit_toxicity(
 
     A document with several labels counts as toxic if one of them says so; null labels
     and null keys are passed over, and so are labels without a document. The sample is
-    chosen by the hash of the key, alike at every size; its features are the one thing
-    that goes to the driver. Without labels the model rejects nothing.
+    chosen by the hash of the key, alike at every size, and has one text per key, that of
+    the least hash; its features are the one thing that goes to the driver. Without labels the model rejects nothing.
     """
     chosen = (
         labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_toxic"))
@@ -137,13 +138,27 @@ def fit_toxicity(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [text_features(t) for t in batch.column("_text").to_pylist()]
-            arrays = [pa.array(found, pa.list_(pa.int32())), batch.column("_toxic")]
-            yield pa.RecordBatch.from_arrays(arrays, ["features", "toxic"])
+            arrays = [batch.column("_key"), pa.array(found, pa.list_(pa.int32())), batch.column("_toxic")]
+            yield pa.RecordBatch.from_arrays(arrays, ["_key", "features", "toxic"])
 
     texts = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
     # At most train_docs keys: a bound that holds at every size.
-    sample = texts.join(F.broadcast(chosen), "_key").select("_key", "_text", "_toxic")
-    rows = map_batches(sample, work, "features array<int>, toxic int").limit(2 * train_docs).toArrow()
+    found = texts.join(F.broadcast(chosen), "_key")
+    # One text per key, found without moving texts: repeats count once, however many.
+    least = F.broadcast(
+        stage(found.groupBy("_key").agg(F.min(F.xxhash64("_text")).alias("_hash")), "toxicity-texts")
+    )
+    sample = found.withColumn("_hash", F.xxhash64("_text")).join(least, ["_key", "_hash"])
+    picked = map_batches(
+        sample.select("_key", "_text", "_toxic"), work, f"_key {dict(texts.dtypes)['_key']}, features array<int>, toxic int"
+    )
+    rows = (
+        picked.groupBy("_key")
+        .agg(F.min(F.struct("features", "toxic")).alias("_row"))
+        .orderBy(F.xxhash64("_key"), "_key")
+        .select("_row.features", "_row.toxic")
+        .toArrow()
+    )
     lists = rows.column("features").combine_chunks()
     flat, lengths = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
     toxic = rows.column("toxic").to_numpy() > 0

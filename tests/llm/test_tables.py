@@ -122,6 +122,19 @@ def test_toxicity_of_edges(spark, edge_docs, empty_docs):
     assert score("an IDIOT, idiot") == 2.0 and score(None) == score("") == 0
 
 
+def test_repeated_documents_do_not_fill_the_sample(spark):
+    words = [(i, f"common word{i % 7} " + ("awful" if i % 2 else "nice")) for i in range(40)]
+    rows = words + [(0, words[0][1])] * 500 + [(1, "zz other text")] * 500
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    fit = lambda r: toxicity.fit_toxicity(spark.createDataFrame(r, "doc_id bigint, text string"), labels, train_docs=40)
+    model = fit(rows)
+    # As if every key had one row, the one of the text with the least hash.
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string").groupBy("doc_id")
+    once = texts.agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t")).select("doc_id", "t.text")
+    plain = fit([tuple(r) for r in once.collect()])
+    assert model.weights == plain.weights and model.thresholds.tolist() == plain.thresholds.tolist()
+
+
 @pytest.mark.parametrize("weights", [{"a": 1, "b": 1}, {"a": 5, "b": 3, "c": 2}, {"a": 0.9, "b": 0.06, "c": 0.04}])
 def test_frame_keeps_every_window(weights):
     shares = mixing.shares_of(weights, 50)
