@@ -28,19 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the least id.
-
-    Rows without an id stay, and so do all rows of an id of which one is kept.
-    """
-    found = near_dedup.near_duplicates(docs)
-    dropped = stage(
-        found.groupBy(F.col("doc_id").alias("_dropped"))
-        .agg(F.max("kept").alias("kept"))
-        .filter(~F.col("kept"))
-        .select("_dropped"),
-        "dropped",
-    )
-    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
+    """One row of each group of near-duplicates: the least id, then the least text hash."""
+    return near_dedup.without_near_duplicates(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -306,21 +306,12 @@ def _joins(tiled: DataFrame, percent: int) -> DataFrame:
     return map_batches(tiled, work, "a bigint, b bigint")
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
-) -> DataFrame:
-    """One row (key, n_shingles, component_id, kept) per row of ``docs``.
+def _decided(
+    docs: DataFrame, key: str, text: str, words: int, percent: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (_key, _hash, n, node), classes (node, component) and groups (component, least, keeper).
 
-    Two texts are linked if their sets of different ``words``-word shingles have a Jaccard
-    similarity of ``percent`` / 100 or more; links are confirmed on the full sets.
-    ``component_id`` is the least key that links reach, and the row that has it is kept.
-    A text of fewer words is one shingle. Null and blank texts have no shingle, are linked
-    with nothing and kept. Rows of one key with equal texts share their answer; a null key
-    gives way to any other. Other columns are left out, whatever their names; an empty
-    table gives no rows.
-
-    All proposals are found but for the chances stated at LEAST_EQUAL, for pairs of
-    exactly the least similarity, and less above it.
+    ``keeper`` is the least (none, _key, _hash) of a group, a null key being the largest.
     """
     rows = stage(sketches(docs, key, text, words), "sketches").withColumn(
         "node", F.xxhash64("low", "high")
@@ -331,6 +322,7 @@ def near_duplicates(
         .agg(
             F.min("_key").alias("first"),
             F.min(F.struct("_key", "_hash")).alias("rep"),
+            F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_hash")).alias("keeper"),
             F.first("n").alias("n"),
             F.first("sig").alias("sig"),
         ),
@@ -419,13 +411,33 @@ def near_duplicates(
     )
     # The least key of each group, over classes: one row per different text.
     least = stage(
-        classes.select("node", "first")
+        classes.select("node", "first", "keeper")
         .join(labels, "node")
         .groupBy("component")
-        .agg(F.min("first").alias("least")),
+        .agg(F.min("first").alias("least"), F.min("keeper").alias("keeper")),
         "least-keys",
     )
-    answers = stage(labels.join(least, "component").select("node", "least"), "answers")
+    return rows, labels, least
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """One row (key, n_shingles, component_id, kept) per row of ``docs``.
+
+    Two texts are linked if their sets of different ``words``-word shingles have a Jaccard
+    similarity of ``percent`` / 100 or more; links are confirmed on the full sets.
+    ``component_id`` is the least key that links reach, and the row that has it is kept.
+    A text of fewer words is one shingle. Null and blank texts have no shingle, are linked
+    with nothing and kept. Rows of one key with equal texts share their answer; a null key
+    gives way to any other. Other columns are left out, whatever their names; an empty
+    table gives no rows.
+
+    All proposals are found but for the chances stated at LEAST_EQUAL, for pairs of
+    exactly the least similarity, and less above it.
+    """
+    rows, labels, groups = _decided(docs, key, text, words, percent)
+    answers = stage(labels.join(groups, "component").select("node", "least"), "answers")
     return (
         rows.select("_key", "n", "node")
         .join(answers, "node", "left")
@@ -437,3 +449,32 @@ def near_duplicates(
             F.col("_key").eqNullSafe(F.col("component_id")).alias("kept"),
         )
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that are left when each group keeps one of them.
+
+    Groups are those of ``near_duplicates``. The row of the least key stays, null being the
+    largest, then that of the least text hash; of rows alike in both any one. Null and blank
+    texts are linked with nothing and all stay.
+    """
+    _, _, groups = _decided(docs, key, text, words, percent)
+    keepers = groups.select(F.col("keeper._key").alias("_k"), F.col("keeper._hash").alias("_h"))
+    blank = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"\A[ \t\n\x0b\x0c\r]*\z")
+    # Repeats are combined before the shuffle, so that no key is heavy in it or in the join.
+    once = (
+        docs.filter(~blank)
+        .select(
+            F.col(key).alias("_key"),
+            F.xxhash64(F.col(text).cast("string")).alias("_hash"),
+            F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        )
+        .groupBy("_key", "_hash")
+        .agg(F.first("_row").alias("_row"))
+    )
+    left = once.join(
+        keepers, once["_key"].eqNullSafe(keepers["_k"]) & (once["_hash"] == keepers["_h"]), "left_semi"
+    )
+    return left.select("_row.*").unionByName(docs.filter(blank))

@@ -370,6 +370,25 @@ def test_pipeline_stages(spark):
     assert sorted(r.doc_id for r in mixed.collect()) == sorted(r.doc_id for r in docs.collect())
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    base = "one two three four five six seven eight"
+    other = "a very different text that has nine words here"
+    rows = [
+        (1, base, "a"), (1, base, "a"), (1, base, "b"),  # repeated rows
+        (None, base.upper(), "c"),  # a copy without an id
+        (2, other, "a"), (2, base, "a"),  # two texts under one id, one of them a copy
+        (None, "only rows that have no id at all are in this", "x"), (None, "only rows that have no id at all are in this", "y"),
+        (3, None, "a"), (3, None, "a"), (4, " \n", "a"), (None, "", "a"),  # linked with nothing
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    want = [(1, base), (2, other), (None, rows[6][1]), (3, None), (3, None), (4, " \n"), (None, "")]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+    empty = corpus_pipeline.drop_near_duplicates(spark, docs.filter("false"), SF)
+    assert empty.count() == 0
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     ids = [r.doc_id for r in rows]
