@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from lexipost.llm import (
     bpe,
+    merkle,
     mixing,
     near_dedup,
     order_minhash,
     pii,
+    product_codes,
+    quality,
     secrets,
     token_files,
     toxicity,
@@ -109,6 +112,22 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.vector_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of every other document, by checksum of the id, lose their line ends."""
+    claimed = {"text": merkle.without_line_ends()}
+    return merkle.verify_rows(table(spark, sf_dir, "documents"), claimed)
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
@@ -120,4 +139,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_vector_dedup": op10_vector_dedup,
+    "op11_merkle": op11_merkle,
+    "op12_quality": op12_quality,
+    "op13_vector_codes": op13_vector_codes,
 }
