@@ -24,6 +24,7 @@ from lexipost.session import stage
 
 ARITY = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+_STAGED_LEVELS = 4  # so many levels of joins go into one plan on the way down
 _MOST_LEVELS = 39  # ARITY to this power is the largest that a bigint holds
 _TIES = 1 << 10
 _KIDS = "array<struct<lo: bigint, hi: bigint, digest: binary>>"
@@ -79,10 +80,11 @@ def _climb(leaves: DataFrame, height: int, label: str) -> list[DataFrame]:
     return levels
 
 
-def _descend(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _descend(levels: list[DataFrame], tops: DataFrame, label: str) -> DataFrame:
     """Leaves with ``steps``, from the leaf up: the siblings on both sides at each level.
 
-    ``tops`` (tree, steps, subroot) says how each tree's own root goes on.
+    ``tops`` (tree, steps, subroot) says how each tree's own root goes on. Some levels
+    above the leaves are staged, so that the plan does not grow with the trees.
     """
     located: DataFrame | None = None
     for level in range(len(levels) - 1, -1, -1):
@@ -116,6 +118,8 @@ def _descend(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
                 inside.select(*own, steps, "subroot")
             )
         located = found
+        if level and level % _STAGED_LEVELS == 0:
+            located = stage(located, f"{label}-paths-{level}")
     assert located is not None
     return located
 
@@ -226,10 +230,10 @@ def build_manifest(
     start = top.select(
         "tree", F.array().cast(_STEPS).alias("steps"), F.col("digest").alias("subroot")
     )
-    tops = _descend(upper, start).select(
+    tops = _descend(upper, start, "merkle-upper").select(
         F.col("pos").alias("tree"), "steps", F.col("digest").alias("subroot")
     )
-    found = _descend(levels, tops).select(
+    found = _descend(levels, stage(tops, "merkle-tops"), "merkle").select(
         F.col("_key").alias(key),
         F.expr("if(_group = '-', null, substring(_group, 2))").alias(group),
         "lo",

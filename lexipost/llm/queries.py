@@ -121,7 +121,7 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    )
+    ).drop("failed_rules")
 
 
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
