@@ -12,21 +12,24 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexipost.llm.arrow import map_batches
+from lexipost.llm.arrow import gathered, map_batches
 from lexipost.llm.bpe import byte_letters
 
 STRIPE_BYTES = 64 << 20
 ROW_INDEX_STRIDE = 1_000  # documents per row group
 BLOOM_FPP = 0.01
-CACHE_CHUNKS = 120_000  # chunks per generation; two generations are kept
+CACHE_CHUNKS = 300_000  # chunks per generation; two generations are kept
 ENCODED_AT_ONCE = 4_096  # the library's encodings are large, so they are few at a time
+BATCH_CHARS = 8 << 20  # text whose different chunks are looked up at once
 
 TOKEN_SCHEMA = "doc_id bigint, n_tokens int, ids array<int>"
 _MARKS = ".,;:!?%$&*#"  # neither letters, digits, white space nor apostrophes
@@ -35,13 +38,12 @@ _LATIN_END = "\u0250"  # below it Python's letters are the pattern's
 _caches: dict[int, ChunkIds] = {}
 
 
-class ChunkIds(dict[str, bytes | None]):
+class ChunkIds:
     """The ids, as bytes, of what stands between two spaces.
 
     The pattern of byte-level vocabularies lets a space join the piece after it and never
-    the piece before, so a text may be cut before every single space. Keys are chunks
-    without that space. A chunk with white space at an edge has None: its text must be
-    encoded whole. Old entries go when the next generation is full.
+    the piece before, so a text may be cut before every single space. Chunks are kept
+    without that space, in two generations: the older goes when the newer is full.
     """
 
     def __init__(self, spec: str) -> None:
@@ -50,26 +52,33 @@ class ChunkIds(dict[str, bytes | None]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.older: dict[str, bytes | None] = {}
         self.tokenizer = Tokenizer.from_str(spec)
         # Texts are encoded whole, whatever the file says about lengths.
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
         self.model = self.tokenizer.model
         self.letters = byte_letters()
+        self.spelled = {b: letter for b, letter in enumerate(self.letters)}
+        # By whether a space stands before the chunk.
+        self.newer: dict[bool, dict[str, bytes]] = {True: {}, False: {}}
+        self.older: dict[bool, dict[str, bytes]] = {True: {}, False: {}}
         self.marks: dict[str, list[int]] = {}
+        self.line_end = self.encode("\n")
 
     def _word(self, space: str, chunk: str) -> bytes | None:
         """The ids of letters and marks after them, straight from the library's model.
 
         The pattern cuts such a chunk between the two. None for any other chunk.
         """
-        core = chunk.rstrip(_MARKS)
-        if not core.isalpha() or not (core.isascii() or max(core) < _LATIN_END):
+        core = chunk if chunk.isalpha() else chunk.rstrip(_MARKS)
+        if core.isascii():
+            if not core.isalpha():
+                return None
+            letters = core
+        elif core.isalpha() and max(core) < _LATIN_END:
+            letters = core.encode().decode("latin-1").translate(self.spelled)
+        else:
             return None
-        letters = core if core.isascii() else "".join([self.letters[b] for b in core.encode()])
         ids = [t.id for t in self.model.tokenize(space + letters)]
         if len(core) < len(chunk):
             tail = chunk[len(core) :]
@@ -78,17 +87,7 @@ class ChunkIds(dict[str, bytes | None]):
                     self.marks.clear()
                 self.marks[tail] = [t.id for t in self.model.tokenize(tail)]
             ids += self.marks[tail]
-        return np.array(ids, "<u4").tobytes()
-
-    def words(self, chunks: list[str], spaced: bool) -> list[bytes]:
-        """The ids of each chunk, after a space or without one."""
-        space = self.letters[0x20] if spaced else ""
-        out = [self._word(space, c) for c in chunks]
-        at = [i for i, ids in enumerate(out) if ids is None]
-        rest = [f" {chunks[i]}" if spaced else chunks[i] for i in at]
-        for i, ids in zip(at, self.encode_all(rest), strict=True):
-            out[i] = ids
-        return out
+        return array("I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -102,68 +101,117 @@ class ChunkIds(dict[str, bytes | None]):
             out += [np.array(f.ids, "<u4").tobytes() for f in found]
         return out
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks that are not known, all in one call."""
-        new = []
-        for chunk in chunks:
-            if chunk not in self:
-                if chunk in self.older:
-                    self[chunk] = self.older[chunk]
-                else:
-                    new.append(chunk)
-        for chunk, ids in zip(new, self.words(new, True), strict=True):
-            self[chunk] = ids if chunk == chunk.strip() else None
+    def runs(self, chunks: list[str], spaced: bool) -> list[bytes | None]:
+        """The ids of each different chunk, after a space or without one.
+
+        A chunk with white space at an edge, of itself or of one of its lines, has None:
+        its text must be encoded whole.
+        """
+        newer, older = self.newer[spaced], self.older[spaced]
+        out = list(map(newer.get, chunks))
+        space = self.letters[0x20] if spaced else ""
+        rest = []
+        for i, found in enumerate(out):
+            if found is not None:
+                continue
+            chunk = chunks[i]
+            ids = older.get(chunk)
+            if ids is None:
+                if chunk != chunk.strip():
+                    continue
+                ids = self._word(space, chunk)
+                if ids is None:
+                    rest.append(i)
+                    continue
+            out[i] = newer[chunk] = ids
+        lines = [i for i in rest if "\n" in chunks[i]]
+        others = [i for i in rest if "\n" not in chunks[i]]
+        texts = [f" {chunks[i]}" if spaced else chunks[i] for i in others]
+        for i, ids in zip(others, self.encode_all(texts), strict=True):
+            out[i] = newer[chunks[i]] = ids
+        if lines:
+            # "a.\nB" is "a.", "\n", "B" if no white space stands at the line end.
+            cut = [chunks[i].split("\n") for i in lines]
+            heads = list({x[0] for x in cut})
+            tails = list({t for x in cut for t in x[1:]})
+            head = dict(zip(heads, self.runs(heads, spaced), strict=True))
+            tail = dict(zip(tails, self.runs(tails, False), strict=True))
+            for i, (first, *more) in zip(lines, cut, strict=True):
+                parts = [head[first], *[tail[x] for x in more]]
+                if all(parts):  # neither empty nor to be encoded whole
+                    out[i] = self.line_end.join(parts)
+        return out
 
     def age(self) -> None:
-        if len(self) > CACHE_CHUNKS:
-            self.older = dict(self)
-            self.clear()
+        for spaced in (True, False):
+            if len(self.newer[spaced]) > CACHE_CHUNKS:
+                self.older[spaced], self.newer[spaced] = self.newer[spaced], {}
 
 
-def _chunked(text: str) -> list[str] | None:
-    """The text cut at its spaces; None if it has two in a row or one at an edge.
+def encode_texts(
+    texts: pa.StringArray, chunks: ChunkIds, end: bytes = b""
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts one after the other, ``end`` behind each, and their numbers.
 
-    Line ends inside a chunk stay there.
+    Arrow cuts the texts at their spaces and numbers the different chunks; only these are
+    looked up. A text with two spaces in a row or one at an edge is encoded whole, and so
+    is one with a chunk that needs it. The runs of ids are then put in place by numpy.
     """
-    parts = text.split(" ")
-    return None if "" in parts else parts
-
-
-def encode_texts(texts: list[str], chunks: ChunkIds) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit integers."""
-    cut = [_chunked(t) if t else None for t in texts]
-    # Lines: a chunk "a.\nB" is " a.", "\n", "B", if no white space stands at the line end.
-    lines = {
-        part
-        for parts in cut
-        if parts
-        for part in parts
-        if "\n" in part and all(x and x == x.strip() for x in part.split("\n"))
-    }
-    known: dict[str, bytes] = {}
-    if lines:
-        broken = chunks.encode("\n")
-        tails = list({x for line in lines for x in line.split("\n")[1:]})
-        ids = dict(zip(tails, chunks.words(tails, False), strict=True))
-        chunks.learn({line.split("\n", 1)[0] for line in lines})
-        for line in lines:  # no part of it has white space at an edge
-            head, *rest = line.split("\n")
-            known[line] = broken.join([chunks[head], *[ids[x] for x in rest]])
-    chunks.learn({p for parts in cut if parts for p in parts[1:] if p not in known})
-    firsts = list({parts[0] for parts in cut if parts})
-    first = dict(zip(firsts, chunks.words(firsts, False), strict=True))
-    out = []
-    for text, parts in zip(texts, cut, strict=True):
-        if not text:
-            out.append(b"")
-        elif parts is None:
-            out.append(chunks.encode(text))
-        else:
-            rest = [known[p] if p in known else chunks[p] for p in parts[1:]]
-            ragged = None in rest or parts[0] != parts[0].strip()
-            out.append(chunks.encode(text) if ragged else b"".join([first[parts[0]], *rest]))
+    texts = pc.fill_null(texts, "")
+    odd = pc.or_(
+        pc.match_substring(texts, "  "),
+        pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")),
+    )
+    whole = pc.or_(odd, pc.equal(texts, "")).to_numpy(zero_copy_only=False).astype(bool)
+    plain = np.flatnonzero(~whole)
+    lists = pc.split_pattern(texts.take(pa.array(plain)), " ")
+    coded = lists.flatten().dictionary_encode()
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    starts, counts = offsets[:-1] - offsets[0], np.diff(offsets)
+    number = coded.indices.to_numpy().astype(np.int64)
+    different = coded.dictionary.to_pylist()
+    firsts, first = np.unique(number[starts], return_inverse=True)
+    inner = np.ones(len(number), bool)
+    inner[starts] = False
+    used = np.zeros(len(different), bool)
+    used[number[inner]] = True
+    table: list[bytes | None] = [b""] * len(different)
+    at = np.flatnonzero(used).tolist()
+    for i, ids in zip(at, chunks.runs([different[i] for i in at], True), strict=True):
+        table[i] = ids
+    number[starts] = len(table) + first
+    table += chunks.runs([different[i] for i in firsts.tolist()], False)
+    ragged = np.array([ids is None for ids in table], bool)
+    if ragged.any():
+        broken = np.logical_or.reduceat(ragged[number], starts)
+        whole[plain[broken]] = True
+        kept = np.repeat(~broken, counts)
+        number, counts, plain = number[kept], counts[~broken], plain[~broken]
+
+    # Every text is a row of runs: its chunks, or itself, and the end.
+    rows = np.ones(len(texts), np.int64)
+    rows[plain] = counts
+    place = np.cumsum(rows + 1) - rows - 1
+    order = np.empty(int((rows + 1).sum()), np.int64)
+    inside = np.arange(len(number)) - np.repeat(np.cumsum(counts) - counts, counts)
+    order[np.repeat(place[plain], counts) + inside] = number
+    alone = np.flatnonzero(whole)
+    order[place[alone]] = len(table) + np.arange(len(alone))
+    table += [chunks.encode(t) if t else b"" for t in texts.take(pa.array(alone)).to_pylist()]
+    order[place + rows] = len(table)
+    table.append(end)
+
+    joined = [ids or b"" for ids in table]
+    sizes = np.fromiter(map(len, joined), np.int64, len(joined)) // 4
+    run_starts = np.cumsum(sizes) - sizes
+    store = np.frombuffer(b"".join(joined), "<u4")
+    lengths = sizes[order]
+    ends = np.cumsum(lengths)
+    source = np.repeat(run_starts[order] - (ends - lengths), lengths)
+    source += np.arange(len(source))
     chunks.age()
-    return out
+    numbers = np.add.reduceat(lengths, place) if len(place) else lengths
+    return store[source], numbers
 
 
 def _file_bounds(docs: DataFrame, key: str) -> list[float]:
@@ -183,8 +231,8 @@ def write_token_files(
 ) -> None:
     """Encode whole texts, append ``end_id`` to each, and write ORC files by ``key``.
 
-    ``key`` is a whole number; rows ascend by it, null keys first, over the files in name
-    order, and equal keys, ordered by their ids, stay in one file. A null text is empty.
+    ``key`` is a whole number; rows ascend by it, null keys first, over the files in
+    order of their numbers, and equal keys, ordered by their ids, stay in one file. A null text is empty.
     The keys alone are read first, to tell which file takes which of them; texts are
     encoded once, and ids are shuffled once.
     """
@@ -200,18 +248,18 @@ def write_token_files(
             _caches.clear()
             _caches[cached] = ChunkIds(spec)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
-            ids = [i + end for i in encode_texts(texts, _caches[cached])]
-            flat = np.frombuffer(b"".join(ids), np.int32)
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        for batch in gathered(batches, "_text", BATCH_CHARS):
+            flat, numbers = encode_texts(batch.column("_text"), _caches[cached], end)
+            ends = np.concatenate(([0], np.cumsum(numbers)))
+            lists = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(flat.view(np.int32))
+            )
             keys = batch.column("doc_id")
-            numbers = keys.to_numpy(zero_copy_only=False).astype(np.float64)
-            place = np.searchsorted(bounds, numbers, "right")
+            values = keys.to_numpy(zero_copy_only=False).astype(np.float64)
+            place = np.searchsorted(bounds, values, "right")
             place[keys.is_null().to_numpy(zero_copy_only=False)] = 0
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(np.diff(ends), pa.int32()), lists, pa.array(place, pa.int32())],
+                [keys, pa.array(numbers, pa.int32()), lists, pa.array(place, pa.int32())],
                 ["doc_id", "n_tokens", "ids", "_file"],
             )
 
@@ -244,7 +292,7 @@ def token_offsets(spark: SparkSession, path: str, key: str = "doc_id") -> DataFr
     """(key, start, n_tokens, ids_crc32) of every document in the files at ``path``.
 
     ``start`` counts the ids of all documents before it, in ascending key order. Files
-    cover ascending ranges of keys, so the start of a file is the sum over the files
+    cover ascending ranges of keys in the order of their numbers, so the start of a file is the sum over the files
     before it (one row per file), and a running sum stays within the file.
     """
 
@@ -269,7 +317,9 @@ def token_offsets(spark: SparkSession, path: str, key: str = "doc_id") -> DataFr
         .groupBy("file")
         .agg(F.sum("n_tokens").alias("ids"))
     )
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # By the number in the name: as text, the file after 99999 would come too early.
+    place = F.regexp_extract("file", r"part-(\d+)[^/]*$", 1).cast("bigint")
+    before = Window.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("first"))
     inside = (
         Window.partitionBy("file")

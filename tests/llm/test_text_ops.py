@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -29,10 +30,15 @@ def test_byte_chunks_equal_the_library():
     texts = odd_texts()
     library = Tokenizer.from_file(BYTES)
     with open(BYTES) as file:
-        got = token_files.encode_texts(texts, token_files.ChunkIds(file.read()))
-    for text, ids in zip(texts, got):
-        want = library.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(ids, "<u4").tolist() == want, ascii(text)
+        chunks = token_files.ChunkIds(file.read())
+    for batch in (texts, texts[::-1], texts[:1], [None, "a"], [" "], ["one two"], []):
+        end = np.array([2], "<u4").tobytes()
+        flat, numbers = token_files.encode_texts(pa.array(batch, pa.string()), chunks, end)
+        assert len(numbers) == len(batch)
+        ends = np.cumsum(numbers)
+        for text, start, stop in zip(batch, ends - numbers, ends):
+            want = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+            assert flat[start:stop].tolist() == want, ascii(text)
 
 
 def test_pair_index_equals_the_library(spark):
