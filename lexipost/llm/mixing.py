@@ -28,68 +28,9 @@ from lexipost.llm.arrow import map_batches
 from lexipost.session import stage
 
 BLOCK_CHARS = 1 << 18
-FRAME = 1_000  # whole shares in all, for shares_of
 SLOT_ROWS = 1 << 16  # of the schedule that are written at a time
 _ROUNDING = 1e-9  # of a slot number, relative: what double precision may add
 
-Frame = list[tuple[str, int, int, int]]  # source, number in the frame, release, deadline
-
-
-def shares_of(weights: Mapping[str, float], frame: int = FRAME) -> dict[str, int]:
-    """Whole shares near ``weights``, at least one each, by largest remainder.
-
-    Weights that are not above 0 are left out.
-    """
-    kept = {s: float(w) for s, w in sorted(weights.items()) if w and w > 0}
-    if not kept:
-        return {}
-    total, frame = sum(kept.values()), max(frame, len(kept))
-    exact = {s: w / total * frame for s, w in kept.items()}
-    shares = {s: max(1, int(x)) for s, x in exact.items()}
-    by_remainder = sorted(kept, key=lambda s: (shares[s] - exact[s], s))
-    for s in by_remainder[: max(0, frame - sum(shares.values()))]:
-        shares[s] += 1
-    return shares
-
-
-def frame_order(shares: Mapping[str, int]) -> Frame:
-    """One frame in slot order: earliest deadline first among the released blocks."""
-    length = sum(shares.values())
-    releases = sorted(
-        (i * length // a, -(-(i + 1) * length // a), s, i) for s, a in shares.items() for i in range(a)
-    )
-    out: Frame = []
-    ready: list[tuple[int, str, int, int]] = []
-    at = 0
-    for slot in range(length):
-        while at < length and releases[at][0] <= slot:
-            release, deadline, source, number = releases[at]
-            heapq.heappush(ready, (deadline, source, number, release))
-            at += 1
-        deadline, source, number, release = heapq.heappop(ready)
-        out.append((source, number, release, deadline))
-    return out
-
-
-def phases(blocks: Mapping[str, int], shares: Mapping[str, int]) -> Iterator[tuple[dict[str, int], Frame, int, dict[str, int], int]]:
-    """(first block by source, frame, repeats, shares, first slot) of each phase."""
-    left = {s: n for s, n in blocks.items() if n > 0 and s in shares}
-    done = dict.fromkeys(left, 0)
-    slot = 0
-    while left:
-        live = {s: shares[s] for s in left}
-        frame = frame_order(live)
-        repeats = min(left[s] // a for s, a in live.items())
-        if repeats == 0:  # a source ends within this frame: leave out what it lacks
-            frame = [x for x in frame if x[1] < left[x[0]]]
-            live, repeats = {s: min(a, left[s]) for s, a in live.items()}, 1
-        yield dict(done), frame, repeats, live, slot
-        slot += repeats * len(frame)
-        for s, a in live.items():
-            done[s] += repeats * a
-            left[s] -= repeats * a
-        left = {s: n for s, n in left.items() if n}
-
 
 def scheduled(
     sources: list[tuple[str, int, float]],
@@ -179,7 +120,6 @@ def mix_sources(
     source: str = "source",
     text: str = "text",
     block_chars: int = BLOCK_CHARS,
-    frame: int | None = None,
 ) -> DataFrame:
     """The place of every document in the mixture.
 
@@ -190,15 +130,14 @@ def mix_sources(
     one block follow each other by key. No document is left out or repeated.
 
     ``weights`` are the target weights by source; by default each source weighs its text
-    to the power ``exponent``. With a ``frame``, weights are rounded to whole shares of it,
-    one at least; without, they are met as they are. Sources without a weight, and rows without a source, come
+    to the power ``exponent``. Sources without a weight, and rows without a source, come
     after all others, block by block; their window is null. A null text has no length.
     Equal keys are ordered by length. An empty table gives no rows. Other columns are
     left out, whatever their names.
 
     Documents are sorted once, without their texts; totals are per sorted run. One task
     deals the slots: it reads one row per weighted source and writes one per block, with
-    memory by the sources. Only with a ``frame`` does the driver see a total per source.
+    memory by the sources.
     """
     spark = docs.sparkSession
     rows = stage(_placed(docs, key, source, text), "mixing-runs")
@@ -210,13 +149,10 @@ def mix_sources(
     )
     totals = runs.filter(F.col("_source").isNotNull()).groupBy("_source").agg(F.sum("_sum").alias("n"))
     blocks_of = F.greatest(F.expr(f"cast(ceil(n / {block_chars}) as bigint)"), F.lit(1))
-    if weights is None and frame is None:
+    if weights is None:
         weighted = totals.withColumn("_weight", F.pow("n", F.lit(float(exponent))))
     else:
-        if weights is None:
-            weights = {r["_source"]: r["n"] ** exponent for r in totals.collect()}
-        given = weights if frame is None else shares_of(weights, frame)
-        rows_of = [(s, float(w)) for s, w in given.items() if w and w > 0]
+        rows_of = [(s, float(w)) for s, w in weights.items() if w and w > 0]
         weighted = totals.join(
             spark.createDataFrame(rows_of, "_source string, _weight double"), "_source"
         )
@@ -267,16 +203,25 @@ def mix_sources(
     )
 
 
+def _unused(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it; Spark's names do not tell case."""
+    lower = {t.lower() for t in taken}
+    while name in lower:
+        name += "_"
+    return name
+
+
 def mixed(docs: DataFrame, slots: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns, sorted over its partitions by slot, then key.
 
     Rows of equal keys share the earliest slot; null keys come last.
     """
-    order = slots.groupBy(F.col(key).alias("_key")).agg(F.min("slot").alias("_slot"))
-    by = [F.asc_nulls_last("_slot"), F.asc(key)]
+    key_name, slot_name = (_unused(name, docs.columns) for name in ("_key", "_slot"))
+    order = slots.groupBy(F.col(key).alias(key_name)).agg(F.min("slot").alias(slot_name))
+    by = [F.asc_nulls_last(slot_name), F.asc(key)]
     return (
-        docs.join(order, docs[key] == order["_key"], "left")
+        docs.join(order, F.col(key) == F.col(key_name), "left")
         .repartitionByRange(*by)
         .sortWithinPartitions(*by)
-        .select(*[docs[c] for c in docs.columns])
+        .select(*docs.columns)
     )

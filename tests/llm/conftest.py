@@ -1,7 +1,7 @@
 import pytest
 
 #: Names that the operators use inside, as extra columns of their input.
-CLASHES = ("_key", "_text", "node", "label", "n", "kept", "slot", "spans", "host", "rule", "first", "_row")
+CLASHES = ("_key", "_text", "node", "label", "n", "kept", "slot", "_slot", "_source", "spans", "host", "rule", "first", "_row")
 
 
 @pytest.fixture(scope="session")

@@ -135,23 +135,9 @@ def test_repeated_documents_do_not_fill_the_sample(spark):
     assert model.weights == plain.weights and model.thresholds.tolist() == plain.thresholds.tolist()
 
 
-@pytest.mark.parametrize("weights", [{"a": 1, "b": 1}, {"a": 5, "b": 3, "c": 2}, {"a": 0.9, "b": 0.06, "c": 0.04}])
-def test_frame_keeps_every_window(weights):
-    shares = mixing.shares_of(weights, 50)
-    order = mixing.frame_order(shares)
-    assert sum(shares.values()) == len(order) == 50
-    taken = Counter()
-    for slot, (source, number, release, deadline) in enumerate(order):
-        assert release <= slot < deadline and number == taken[source]
-        taken[source] += 1
-        for s, a in shares.items():
-            assert abs(taken[s] - a * (slot + 1) / 50) < 1
-    assert taken == shares
-
-
 def test_mixture_of_whole_table(spark, small_docs):
     block = 2_000
-    rows = mixing.mix_sources(small_docs, block_chars=block, frame=100).collect()
+    rows = mixing.mix_sources(small_docs, block_chars=block).collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in small_docs.select("doc_id").collect())
     texts = {r.doc_id: len(r.text) for r in small_docs.collect()}
     at = {}
@@ -164,11 +150,12 @@ def test_mixture_of_whole_table(spark, small_docs):
     for (s, b), slot in slots.items():
         assert (s, b - 1) not in slots or slots[(s, b - 1)] < slot
     # While no source has run out, each is less than one block from its share.
-    shares = mixing.shares_of({s: n**0.5 for s, n in at.items()}, 100)
-    first_end = min(-(-n // block) * 100 // shares[s] for s, n in at.items())
+    total = sum(n**0.5 for n in at.values())
+    shares = {s: n**0.5 / total for s, n in at.items()}
+    first_end = min(-(-n // block) / shares[s] for s, n in at.items())
     for r in rows:
-        if r.slot < first_end - 100:
-            assert abs(r.block - r.slot * shares[r.source] / 100) < 1 + 1e-9
+        if r.slot < first_end - 1:
+            assert abs(r.block - r.slot * shares[r.source]) < 1 + 1e-9
 
 
 def test_mixture_of_edges(spark, edge_docs, empty_docs):
@@ -182,16 +169,6 @@ def test_mixture_of_edges(spark, edge_docs, empty_docs):
     assert mixed.columns == edge_docs.columns and mixed.count() == edge_docs.count()
 
 
-def test_all_phases_take_all_blocks():
-    blocks, shares = {"a": 7, "b": 90, "c": 1, "d": 33}, {"a": 1, "b": 5, "c": 3, "d": 2}
-    taken, slot = Counter(), 0
-    for first, order, repeats, live, start in mixing.phases(blocks, shares):
-        assert start == slot and all(first[s] == taken[s] for s in live)
-        taken.update({s: repeats * a for s, a in live.items()})
-        slot += repeats * len(order)
-    assert taken == blocks and slot == sum(blocks.values())
-
-
 @pytest.mark.parametrize(
     "sources",
     [
