@@ -198,6 +198,7 @@ def encode_decode(
     key: str = "doc_id",
     text: str = "text",
     with_ids: bool = True,
+    with_decoded: bool = True,
 ) -> DataFrame:
     """One row (key, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]) per row.
 
@@ -205,8 +206,8 @@ def encode_decode(
     they decode to, special tokens kept. The digests are over the decimal ids joined by
     one space and over the decoded text. A null or blank text has no ids and decodes to
     the empty text. Repeated rows are encoded each; other columns are left out, whatever
-    their names; an empty table gives no rows. ``with_ids`` leaves out the two large
-    columns if false.
+    their names; an empty table gives no rows. ``with_ids`` and ``with_decoded`` leave out
+    the large column that they name if false.
 
     A task holds about 12 MB of text, its different words, and at least one whole text.
     The vocabulary file is read once, by the driver.
@@ -227,7 +228,10 @@ def encode_decode(
             digits = [" ".join(map(str, i)) for i in ids]
             letters = [" ".join([spell[i] for i in w]) for w in ids]
             gaps = any(not i for i in ids)
-            sizes, id_hashes, text_hashes, flat, decoded = [], [], [], [], []
+            sizes, id_hashes, text_hashes, decoded = [], [], [], []
+            store = np.fromiter((i for w in ids for i in w), np.int32, int(counts.sum()))
+            starts = np.cumsum(counts) - counts
+            flat = []
             for t in texts:
                 at = [number[w] for w in t]
                 if gaps:
@@ -238,7 +242,11 @@ def encode_decode(
                 id_hashes.append(hashlib.sha256(written.encode()).hexdigest())
                 text_hashes.append(hashlib.sha256(spelled.encode()).hexdigest())
                 if with_ids:
-                    flat.append([i for n in at for i in ids[n]])
+                    order = np.array(at, np.int64)
+                    own, ends = counts[order], np.cumsum(counts[order])
+                    source = np.repeat(starts[order] - (ends - own), own)
+                    flat.append(store[source + np.arange(len(source))])
+                if with_decoded:
                     decoded.append(spelled)
             columns = [
                 batch.column("_key"),
@@ -247,7 +255,10 @@ def encode_decode(
                 pa.array(text_hashes, pa.string()),
             ]
             if with_ids:
-                columns += [pa.array(flat, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(flat))))
+            if with_decoded:
+                columns.append(pa.array(decoded, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     kept = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
@@ -257,6 +268,9 @@ def encode_decode(
         "decoded_sha256 string"
     )
     if with_ids:
-        names += ["ids", "decoded"]
-        schema += ", ids array<int>, decoded string"
+        names.append("ids")
+        schema += ", ids array<int>"
+    if with_decoded:
+        names.append("decoded")
+        schema += ", decoded string"
     return map_batches(kept, work, schema).withColumnRenamed("_key", key)

@@ -66,6 +66,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"),
         public_tokenizers.path("word_bpe_49k.json"),
         with_ids=False,
+        with_decoded=False,
     )
 
 
