@@ -44,9 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, with digests of them and of what they decode to."""
-    return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")).select(
-        "doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"
-    )
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode_decode(docs, vocabulary, with_decoded=False)
 
 
 STAGES: list[tuple[str, Stage]] = [
