@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,28 +88,37 @@ def build_lexicon(forward: DataFrame, first: int = 0) -> DataFrame:
     )
 
 
-def extend_lexicon(lexicon: DataFrame, forward: DataFrame) -> DataFrame:
-    """Add the terms of further documents; known terms keep their id.
+def lexicon_segment(lexicon: DataFrame, forward: DataFrame) -> DataFrame:
+    """What further documents add to ``lexicon``: (term, term_id, df, first_doc).
 
-    ``forward`` holds only documents that ``lexicon`` has not counted. Both sides
-    of each join have one row per term, so no key is hot.
+    One row per term of ``forward``, counted over it; known terms keep their id, new ones
+    get the next. ``forward`` holds only documents that ``lexicon`` has not counted. Both
+    sides of each join have one row per term, so no key is hot.
     """
-    seen = stage(_first_seen(forward), "seen")
+    numbers = lexicon.select("term", "term_id")
     size = lexicon.count()
+    seen = stage(_first_seen(forward).join(numbers, "term", "left"), "seen")
     fresh = dense_ids(
-        seen.join(lexicon.select("term"), "term", "left_anti"),
-        ["first_doc", "first_pos"],
-        "term_id",
-        size,
-    ).select("term", "term_id", "df", "first_doc")
-    more = seen.select("term", F.col("df").alias("_more"))
-    known = lexicon.join(more, "term", "left").select(
-        "term",
-        "term_id",
-        (F.col("df") + F.coalesce("_more", F.lit(0))).alias("df"),
-        "first_doc",
+        seen.filter("term_id is null").drop("term_id"), ["first_doc", "first_pos"], "term_id", size
     )
-    return known.unionByName(fresh)
+    columns = ["term", "term_id", "df", "first_doc"]
+    return seen.filter("term_id is not null").select(columns).unionByName(fresh.select(columns))
+
+
+def whole_lexicon(segments: Sequence[DataFrame]) -> DataFrame:
+    """One lexicon from those of segments that share their ids."""
+    if len(segments) == 1:
+        return segments[0]
+    return (
+        reduce(DataFrame.unionByName, segments)
+        .groupBy("term", "term_id")
+        .agg(F.sum("df").alias("df"), F.min("first_doc").alias("first_doc"))
+    )
+
+
+def extend_lexicon(lexicon: DataFrame, forward: DataFrame) -> DataFrame:
+    """``lexicon`` with the terms of further documents; known terms keep their id."""
+    return whole_lexicon([lexicon, lexicon_segment(lexicon, forward)])
 
 
 def term_to_id(lexicon: DataFrame, terms: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from lexipost.functions.numbers import whole_div
 from lexipost.operators.dictionary import doc_term_pairs
 from lexipost.operators.skew import join_weighted
-from lexipost.session import stage
 
 CHUNK_DOCS = 1 << 16
 
@@ -32,18 +31,18 @@ def chunk_of(df: Column, chunk_docs: int) -> Column:
 
 
 def invert(
-    forward: DataFrame, lexicon: DataFrame, chunk_docs: int = CHUNK_DOCS, weight: str = "df"
+    forward: DataFrame, lexicon: DataFrame, chunk_docs: int = CHUNK_DOCS, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Posting rows (block, term_id, chunk, doc_id) of a forward table.
 
-    ``lexicon.df`` is the document frequency over the whole index, which decides where
-    lists are cut. The column ``weight`` must be that over ``forward``: it tells the join
-    which terms are heavy.
+    ``lexicon.df`` is the document frequency over ``forward``: it tells where lists are
+    cut and which terms are heavy in the join. ``keep`` names columns of the lexicon that
+    the rows take along.
     """
     pairs = doc_term_pairs(forward).select("doc_id", "block", "term")
-    terms = lexicon.select("term", "term_id", "df", F.col(weight).alias("_weight"))
-    return join_weighted(pairs, terms, "term", "_weight").select(
-        "block", "term_id", chunk_of(F.col("df"), chunk_docs).alias("chunk"), "doc_id"
+    terms = lexicon.select("term", "term_id", "df", *[k for k in keep if k != "df"])
+    return join_weighted(pairs, terms, "term", "df").select(
+        "block", "term_id", chunk_of(F.col("df"), chunk_docs).alias("chunk"), "doc_id", *keep
     )
 
 
@@ -71,12 +70,15 @@ def document_frequency(postings: DataFrame) -> DataFrame:
 
 
 def add_chunks(
-    rows: DataFrame, frequency: DataFrame, chunk_docs: int = CHUNK_DOCS
+    rows: DataFrame, lexicon: DataFrame, chunk_docs: int = CHUNK_DOCS, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Chunk numbers for merged rows, from the frequencies of the merged lists."""
-    frequency = stage(frequency.select("term_id", "df"), "frequency")
-    return join_weighted(rows, frequency, "term_id", "df").select(
-        "term_id", chunk_of(F.col("df"), chunk_docs).alias("chunk"), "doc_id"
+    """Chunk numbers for rows (term_id, doc_id), from the whole lists' (term_id, df).
+
+    ``keep`` names columns of ``lexicon``, which is read several times, to take along.
+    """
+    lists = lexicon.select("term_id", "df", *[k for k in keep if k != "df"])
+    return join_weighted(rows.select("term_id", "doc_id"), lists, "term_id", "df").select(
+        "term_id", chunk_of(F.col("df"), chunk_docs).alias("chunk"), "doc_id", *keep
     )
 
 

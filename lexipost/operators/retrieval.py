@@ -9,18 +9,20 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexipost.functions.text import distinct_tokens, document_path
 from lexipost.operators.dictionary import piece_of
+from lexipost.operators.inversion import CHUNK_DOCS
 from lexipost.operators.skew import BATCH_ROWS, BROADCAST_ROWS, fetch_batch, join_weighted
 from lexipost.session import stage
 
 if TYPE_CHECKING:
     from lexipost.plans.index import TextIndex
 
-_SCAN_SALTS = 32
+_ASKED_ROWS = 1 << 10  # queries of a term that meet a part of its list in one task
+_BUCKET_DOCS = 1 << 15  # documents in a bitmap of Spark's functions
 _LITERAL_TERMS = 256  # more terms than this are joined, not written into the plan
 
 
@@ -133,31 +135,63 @@ def _with_paths(index: TextIndex, batch: ResolvedBatch, hits: DataFrame) -> Data
     return index.docs.join(hits, ["piece", "doc_id"]).select("qid", "doc_id", "path")
 
 
-def _with_lists(
-    index: TextIndex, batch: ResolvedBatch, asked: DataFrame, term_ids: list[int]
-) -> DataFrame:
-    """Join ``asked`` (term_id, df and more) with the documents in the terms' lists."""
-    if batch.small:
-        return index.postings_of(term_ids).join(F.broadcast(asked), "term_id")
-    # Long lists are stored in chunks: ask for each chunk by its number, and a hot
-    # term spreads over as many tasks as it has chunks.
-    limit = index.meta.chunk_docs
-    last = (max(index.meta.n_docs, 1) - 1) // limit + 1
-    chunks = F.when(
-        F.col("df") > limit, F.sequence(F.lit(1), F.lit(last))
-    ).otherwise(F.array(F.lit(0)))
-    by_chunk = asked.withColumn("chunk", F.explode(chunks.cast("array<bigint>")))
-    return index.postings().join(by_chunk, ["term_id", "chunk"])
+def _asked_terms(batch: ResolvedBatch) -> DataFrame:
+    """(term_id, df, uses): the lists that a large batch asks for, and how many queries do."""
+    terms = batch.queries.select(F.explode("terms").alias("term")).select("term.*")
+    return stage(terms.groupBy("term_id", "df").agg(F.count("*").alias("uses")), "asked-terms")
+
+
+def _asked_lists(index: TextIndex, terms: DataFrame) -> DataFrame:
+    """(term_id, doc_id, df, uses): the lists of ``terms``, from one scan of the postings.
+
+    Encoded chunks meet the asked terms before they are decoded. What is found serves all
+    steps of the retrieval and is staged.
+    """
+    stored = index.stored()
+    if index.meta.codec != "rows":
+        lists = terms.select("term_id", "df")
+        stored = [join_weighted(s, lists, "term_id", "df").select(s.columns) for s in stored]
+    rows = index.rows(stored).select("term_id", "doc_id")
+    return stage(join_weighted(rows, terms, "term_id", "df"), "asked-lists")
+
+
+def _meet(lists: DataFrame, asked: DataFrame) -> DataFrame:
+    """Join ``lists`` (term_id, doc_id, df, uses) with ``asked`` (qid, term_id and more).
+
+    A list may be long and asked for by many queries. Its documents are dealt over one
+    part for each chunk that they would fill, its queries over blocks of a fixed size, and
+    every part meets every block in a task of its own. The copies that this takes are a
+    small fixed share of the rows that come out.
+    """
+    parts = F.greatest(F.ceil(F.col("df") / CHUNK_DOCS), F.lit(1)).cast("int")
+    blocks = F.greatest(F.ceil(F.col("uses") / _ASKED_ROWS), F.lit(1)).cast("int")
+    sizes = lists.select("term_id", "df", "uses").distinct()
+    left = lists.select(
+        "term_id",
+        "doc_id",
+        F.pmod("doc_id", parts).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+    )
+    right = (
+        join_weighted(asked, stage(sizes, "asked-sizes"), "term_id", "uses")
+        .withColumn("block", F.pmod(F.xxhash64("qid"), blocks).cast("int"))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("df", "uses")
+    )
+    return left.join(right, ["term_id", "part", "block"])
 
 
 def _by_division(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     asked = batch.queries.select(
-        "qid", F.size("terms").alias("n_terms"), F.explode("terms").alias("term")
-    ).select("qid", "n_terms", "term.term_id", "term.df")
-    term_ids = sorted({*batch.lead_ids, *batch.other_ids})
+        "qid", F.size("terms").alias("n_terms"), F.explode("terms.term_id").alias("term_id")
+    )
+    if batch.small:
+        lists = index.postings_of(sorted({*batch.lead_ids, *batch.other_ids}))
+        found = lists.join(F.broadcast(asked), "term_id")
+    else:
+        found = _meet(_asked_lists(index, _asked_terms(batch)), asked)
     return (
-        _with_lists(index, batch, asked, term_ids)
-        .groupBy("qid", "n_terms", "doc_id")
+        found.groupBy("qid", "n_terms", "doc_id")
         .agg(F.count("*").alias("n_found"))
         .filter(F.col("n_found") == F.col("n_terms"))
         .select("qid", "doc_id")
@@ -168,15 +202,35 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     plans = batch.queries.select(
         "qid",
         F.element_at("terms.term_id", 1).alias("term_id"),
-        F.element_at("terms.df", 1).alias("df"),
         F.slice("terms.term_id", F.lit(2), F.size("terms")).alias("others"),
     )
-    alone, paired = plans.filter(F.size("others") == 0), plans.filter(F.size("others") > 0)
-    single = _with_lists(index, batch, alone, batch.lead_ids).select("qid", "doc_id")
-    checks = _with_lists(index, batch, paired, batch.lead_ids).select(
+    if batch.small:
+        leads = index.postings_of(batch.lead_ids).join(F.broadcast(plans), "term_id")
+        lists = index.postings_of(batch.other_ids)
+    else:
+        lists = _asked_lists(index, _asked_terms(batch))
+        leads = stage(_meet(lists, plans).select("qid", "doc_id", "others"), "candidates")
+    single = leads.filter(F.size("others") == 0).select("qid", "doc_id")
+    paired = leads.filter(F.size("others") > 0)
+    if not batch.small:
+        # The second shortest list first: what it leaves is what meets the longer ones.
+        second = paired.select(
+            "qid",
+            "doc_id",
+            F.element_at("others", 1).alias("term_id"),
+            F.slice("others", F.lit(2), F.size("others")).alias("others"),
+        )
+        left = stage(
+            lists.select("term_id", "doc_id")
+            .join(second, ["term_id", "doc_id"])
+            .select("qid", "doc_id", "others"),
+            "narrowed",
+        )
+        single = single.unionByName(left.filter(F.size("others") == 0).select("qid", "doc_id"))
+        paired = left.filter(F.size("others") > 0)
+    checks = paired.select(
         "qid", "doc_id", F.size("others").alias("n_others"), F.explode("others").alias("term_id")
     )
-    lists = index.postings_of(batch.other_ids) if batch.small else index.postings()
     if batch.small and batch.check_rows <= BROADCAST_ROWS:
         checks = F.broadcast(checks)
     confirmed = (
@@ -190,6 +244,56 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     return single.unionByName(confirmed)
 
 
+def _set_bits(bits: Column) -> Column:
+    """The numbers, from 0, of the bits that are set in a bitmap."""
+    spelled = F.hex(bits)
+    octets = F.transform(
+        F.sequence(F.lit(0), F.length(bits) - 1),
+        lambda i: F.struct(
+            i.alias("at"),
+            F.conv(F.substring(spelled, 2 * i + 1, F.lit(2)), 16, 10).cast("int").alias("octet"),
+        ),
+    )
+    used = F.filter(octets, lambda o: o["octet"] != 0)
+    numbers = F.transform(
+        used,
+        lambda o: F.transform(
+            F.filter(
+                F.sequence(F.lit(0), F.lit(7)), lambda b: F.call_function("getbit", o["octet"], b) == 1
+            ),
+            lambda b: o["at"] * 8 + b,
+        ),
+    )
+    return F.flatten(numbers)
+
+
+def _by_bitmaps(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
+    asked = batch.queries.select(
+        "qid", F.size("terms").alias("n_terms"), F.explode("terms.term_id").alias("term_id")
+    )
+    if batch.small:
+        rows = index.postings_of(sorted({*batch.lead_ids, *batch.other_ids}))
+    else:
+        rows = _asked_lists(index, _asked_terms(batch))
+    # The functions count bits from 1.
+    maps = rows.groupBy(
+        "term_id", F.bitmap_bucket_number(F.col("doc_id") + 1).alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("doc_id") + 1)).alias("bits"))
+    asked = F.broadcast(asked) if batch.small else asked
+    return (
+        maps.join(asked, "term_id")
+        .groupBy("qid", "n_terms", "bucket")
+        .agg(F.call_function("bitmap_and_agg", F.col("bits")).alias("bits"), F.count("*").alias("n_found"))
+        .filter(F.col("n_found") == F.col("n_terms"))
+        .select(
+            "qid",
+            ((F.col("bucket") - 1) * _BUCKET_DOCS).alias("first"),
+            F.explode(_set_bits(F.col("bits"))).alias("bit"),
+        )
+        .select("qid", (F.col("first") + F.col("bit")).alias("doc_id"))
+    )
+
+
 def retrieve(index: TextIndex, queries: DataFrame, cap: int = BATCH_ROWS) -> DataFrame:
     """(qid, doc_id, path) of every match; order by (qid, doc_id) for display.
 
@@ -226,6 +330,53 @@ def retrieve_rarest_first(
     return _with_paths(index, batch, _by_rarest(index, batch))
 
 
+def retrieve_by_bitmaps(
+    index: TextIndex, queries: DataFrame, cap: int = BATCH_ROWS
+) -> DataFrame:
+    """The result of ``retrieve``, for queries of stop words alone.
+
+    Each list becomes a bitmap of 4 KB for every 32,768 documents where its rows are read.
+    Only bitmaps are shuffled and ANDed; ids are made again from those that are left.
+    """
+    batch = resolve(index.lexicon, queries, cap)
+    return _with_paths(index, batch, _by_bitmaps(index, batch))
+
+
+def _scanned(words: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Join ``words`` (block, name, term) with the staged ``wanted`` (qid, term, n_terms).
+
+    Words that are not asked for go first, by a join with one row per term. What is left
+    is counted by term and split on both sides by these counts, as in ``_meet``.
+    """
+    uses = stage(wanted.groupBy("term").agg(F.count("*").alias("uses")), "scan-uses")
+    kept = stage(join_weighted(words, uses, "term", "uses"), "scan-words")
+    sizes = kept.groupBy("term", "uses").agg(F.count("*").alias("df"))
+    sizes = stage(
+        sizes.select(
+            "term",
+            "uses",
+            "df",
+            F.ceil(F.col("df") / CHUNK_DOCS).cast("int").alias("parts"),
+            F.ceil(F.col("uses") / _ASKED_ROWS).cast("int").alias("blocks"),
+        ),
+        "scan-sizes",
+    )
+    shape = sizes.select("term", "df", "parts", "blocks")
+    left = (
+        join_weighted(kept.drop("uses"), shape, "term", "df")
+        .withColumn("part", F.pmod(F.xxhash64("block", "name"), F.col("parts")).cast("int"))
+        .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .drop("df", "parts", "blocks")
+    )
+    right = (
+        join_weighted(wanted, sizes.drop("df"), "term", "uses")
+        .withColumn("group", F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int"))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .drop("uses", "parts", "blocks")
+    )
+    return left.join(right, ["term", "part", "group"])
+
+
 def retrieve_by_scan(
     documents: DataFrame, queries: DataFrame, cap: int = BATCH_ROWS
 ) -> DataFrame:
@@ -237,9 +388,7 @@ def retrieve_by_scan(
         local = documents.sparkSession.createDataFrame(asked, wanted.schema)
         found = words.join(F.broadcast(local), "term")
     else:
-        salt = F.pmod(F.xxhash64("block", "name"), F.lit(_SCAN_SALTS)).cast("int")
-        salts = F.explode(F.sequence(F.lit(0), F.lit(_SCAN_SALTS - 1)))
-        found = words.withColumn("salt", salt).join(wanted.withColumn("salt", salts), ["term", "salt"])
+        found = _scanned(words, stage(wanted, "scan-terms"))
     return (
         found.groupBy("qid", "n_terms", "block", "name")
         .agg(F.count("*").alias("n_found"))

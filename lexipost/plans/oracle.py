@@ -190,6 +190,10 @@ ORACLE: dict[str, str] = {
     "lexicon": _LEXICON,
     "lexicon_extend": _LEXICON,
     "index_extend": _POSTINGS,
+    "index_compact": _POSTINGS,
+    "merge_indexes": _index("select t as term, tid as term_id, did as doc_id, df from post join lex using (tid, df)"),
+    "retrieve_extended": _BATCH_ANSWERS,
+    "retrieve_extended_joined": _ITEM_ANSWERS,
     "term_to_id": _with(
         f"select t as term, tid as term_id from lex join {_ITEM_TERMS} as i using (t)",
         _DOCS,
@@ -253,6 +257,9 @@ ORACLE: dict[str, str] = {
     "retrieve_by_division": _BATCH_ANSWERS,
     "retrieve_rarest_first": _BATCH_ANSWERS,
     "retrieve_by_scan": _answers(_values("batch", BATCH), "qid, path"),
+    "retrieve_by_scan_joined": _answers(_ITEMS, "qid, path"),
+    "retrieve_by_bitmaps": _BATCH_ANSWERS,
+    "retrieve_by_bitmaps_joined": _ITEM_ANSWERS,
     "retrieve_items": _ITEM_ANSWERS,
     "retrieve_items_joined": _ITEM_ANSWERS,
     "retrieve_raw": _BATCH_ANSWERS,

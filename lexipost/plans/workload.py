@@ -17,7 +17,13 @@ from lexipost.functions.text import document_path, normal_path, tokens
 from lexipost.operators import codecs, compare, dictionary, gaps, inversion, retrieval, stats
 from lexipost.operators.inversion import CHUNK_DOCS
 from lexipost.operators.ranking import rank_in_group
-from lexipost.plans.index import TextIndex, build_index, extend_index
+from lexipost.plans.index import (
+    TextIndex,
+    build_index,
+    compact_index,
+    extend_index,
+    merge_indexes,
+)
 from lexipost.session import new_stage_path, stage
 from lexipost.sinks.files import write_corpus, write_expected, write_queries
 from lexipost.sinks.index import write_segments
@@ -148,12 +154,20 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_batches(spark: SparkSession, sf_dir: str) -> TextIndex:
+    """An index of the first blocks, to which the rest is appended as a segment."""
     everything = documents(spark, sf_dir)
     base = build_index(
         everything.filter(F.col("block") < LAST_BASE_BLOCK), new_stage_path(spark, "base")
     )
-    rest = everything.filter(F.col("block") >= LAST_BASE_BLOCK)
-    return extend_index(base, rest, new_stage_path(spark, "extended"))
+    return extend_index(base, everything.filter(F.col("block") >= LAST_BASE_BLOCK))
+
+
+def _extended(spark: SparkSession, sf_dir: str) -> TextIndex:
+    """As ``_two_batches``, built once for the queries that ask it."""
+    key = (spark.conf.get("spark.app.id"), sf_dir, "extended", CHUNK_DOCS)
+    if key not in _built:
+        _built[key] = _two_batches(spark, sf_dir)
+    return _built[key]
 
 
 def lexicon_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +181,38 @@ def lexicon_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_batches(spark, sf_dir).postings().select("term_id", "doc_id")
+    return _two_batches(spark, sf_dir).scan()
+
+
+def index_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both segments of an extended index joined into one and read back."""
+    return compact_index(_extended(spark, sf_dir)).postings().select("term_id", "doc_id")
+
+
+def merged_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three indexes with dictionaries of their own and shared documents, merged into one."""
+    everything, block = documents(spark, sf_dir), F.col("block")
+    parts = [
+        build_index(everything.filter(part), new_stage_path(spark, "part"), codec)
+        for part, codec in (
+            (block >= "src14", "rows"),
+            ((block >= "src1") & (block < "src3"), "vb"),
+            (block < LAST_BASE_BLOCK, "rows"),
+        )
+    ]
+    merged = merge_indexes(parts, new_stage_path(spark, "merged"))
+    lists = merged.lexicon.select("term_id", "term", "df")
+    return merged.postings().join(lists, "term_id").select("term", "term_id", "doc_id", "df")
+
+
+def retrieve_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch on an index of two segments."""
+    return retrieval.retrieve(_extended(spark, sf_dir), _batch(spark))
+
+
+def retrieve_extended_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark's texts on an index of two segments, on the path for large batches."""
+    return retrieval.retrieve(_extended(spark, sf_dir), items(spark, sf_dir), cap=0)
 
 
 def term_to_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,6 +314,20 @@ def retrieve_by_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.retrieve_by_scan(documents(spark, sf_dir), _batch(spark))
 
 
+def retrieve_by_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.retrieve_by_bitmaps(index_of(spark, sf_dir), _batch(spark))
+
+
+def retrieve_by_bitmaps_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark's texts by bitmaps, on the path for batches of any size."""
+    return retrieval.retrieve_by_bitmaps(index_of(spark, sf_dir), items(spark, sf_dir), cap=0)
+
+
+def retrieve_by_scan_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark's texts without an index, on the path for batches of any size."""
+    return retrieval.retrieve_by_scan(documents(spark, sf_dir), items(spark, sf_dir), cap=0)
+
+
 def retrieve_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.retrieve_rarest_first(index_of(spark, sf_dir), items(spark, sf_dir))
 
@@ -412,6 +471,10 @@ QUERIES: dict[str, Query] = {
     "lexicon": lexicon,
     "lexicon_extend": lexicon_extend,
     "index_extend": index_extend,
+    "index_compact": index_compact,
+    "merge_indexes": merged_indexes,
+    "retrieve_extended": retrieve_extended,
+    "retrieve_extended_joined": retrieve_extended_joined,
     "term_to_id": term_to_id,
     "id_to_term": id_to_term,
     "id_to_path": id_to_path,
@@ -431,6 +494,9 @@ QUERIES: dict[str, Query] = {
     "retrieve_by_division": retrieve_by_division,
     "retrieve_rarest_first": retrieve_rarest_first,
     "retrieve_by_scan": retrieve_by_scan,
+    "retrieve_by_scan_joined": retrieve_by_scan_joined,
+    "retrieve_by_bitmaps": retrieve_by_bitmaps,
+    "retrieve_by_bitmaps_joined": retrieve_by_bitmaps_joined,
     "retrieve_items": retrieve_items,
     "retrieve_items_joined": retrieve_items_joined,
     "retrieve_raw": _retrieve_encoded("raw"),

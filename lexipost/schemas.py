@@ -28,7 +28,8 @@ ENCODED = _table(
 QUERIES = _table(qid=_LONG, query=_STRING)
 #: Ranked result lines of a batch, rank from 0.
 RANKED_RESULTS = _table(qid=_LONG, rank=_LONG, path=_STRING)
-#: What an index directory says about itself.
+#: What an index directory says about itself. Segments are folders in it, or elsewhere by
+#: their whole path, in the order of their document ids.
 META = _table(
     n_docs=_LONG,
     n_terms=_LONG,
@@ -37,5 +38,5 @@ META = _table(
     chunk_docs=_LONG,
     piece_docs=_LONG,
     codec=_STRING,
-    build=_STRING,
+    segments=T.ArrayType(_STRING),
 )

@@ -1,9 +1,10 @@
 """Writers of the tables in an index directory.
 
-Posting files are range-partitioned by (shard, term_id, doc_id), not hashed by
-shard: a hot term is then cut over as many files as its length needs, and each
-task still writes few shards. Frequent terms are seen early and get low ids, so
-taking the id modulo the shard count spreads them.
+Posting files follow the order of (shard, term_id, doc_id) and are not hashed by shard: a
+hot term is then cut over as many files as its length needs, and each task still writes
+few shards. Which partition a posting belongs to is known from the lexicon
+(``operators.layout``). Frequent terms are seen early and get low ids, so taking the id
+modulo the shard count spreads them.
 """
 
 from __future__ import annotations
@@ -11,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexipost.functions.numbers import whole_div
 from lexipost.operators.codecs import encode
 from lexipost.operators.dictionary import PIECE_DOCS, piece_of
-from lexipost.session import stage
+from lexipost.operators.layout import Layout, shard_of
 
 ROWS = "rows"  # flat posting rows, compressed by Parquet alone
 _POSTINGS_PER_SHARD = 4_000_000
@@ -26,10 +28,6 @@ def default_shards(n_postings: int) -> int:
     return max(_MIN_SHARDS, min(_MAX_SHARDS, -(-n_postings // _POSTINGS_PER_SHARD)))
 
 
-def shard_of(term_id: Column, n_shards: int) -> Column:
-    return F.pmod(term_id, F.lit(n_shards)).cast("bigint")
-
-
 def write_docs(docs: DataFrame, path: str, piece_docs: int = PIECE_DOCS) -> None:
     """One directory per ``piece_docs`` ids, so that a lookup reads those it needs."""
     (
@@ -47,17 +45,29 @@ def write_lexicon(lexicon: DataFrame, path: str) -> None:
     ).parquet(f"{path}/lexicon")
 
 
-def write_postings(postings: DataFrame, path: str, n_shards: int, codec: str = ROWS) -> None:
-    # Staged, as the range partitioning samples its input before it reads it.
+def write_postings(
+    postings: DataFrame, path: str, layout: Layout, places: DataFrame, codec: str = ROWS
+) -> None:
+    """Write posting rows (term_id, chunk, doc_id, df, start), or their codes, once.
+
+    ``places`` has (term_id, df, start). Codes are made from rows that no longer carry the
+    place of their list, so each encoded chunk, one row, looks it up again.
+    """
     if codec == ROWS:
-        rows = stage(postings.select("term_id", "chunk", "doc_id"), "inverted")
-        order = ["shard", "term_id", "doc_id"]
+        rows, last = postings, "doc_id"
+        part = layout.part(F.col("df"), F.col("start"), F.col("doc_id"))
+        columns = ["term_id", "chunk", "doc_id"]
     else:
-        rows = stage(encode(postings, codec).withColumn("payload", F.unhex("payload")), "encoded")
-        order = ["shard", "term_id", "chunk"]
+        encoded = encode(postings, codec).withColumn("payload", F.unhex("payload"))
+        rows, last = encoded.join(places.select("term_id", "df", "start"), "term_id"), "chunk"
+        first = F.greatest(F.col("chunk") - 1, F.lit(0)) * layout.chunk_docs
+        part = layout.part(F.col("df"), F.col("start"), first)
+        columns = encoded.columns
+    order = ["shard", "term_id", last]
     (
-        rows.withColumn("shard", shard_of(F.col("term_id"), n_shards))
-        .repartitionByRange(*order)
+        rows.select(*columns, shard_of(F.col("term_id"), layout.n_shards).alias("shard"), part.alias("_part"))
+        .repartitionById(layout.n_parts, "_part")
+        .drop("_part")
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .options(**_PARQUET)
@@ -67,12 +77,18 @@ def write_postings(postings: DataFrame, path: str, n_shards: int, codec: str = R
 
 
 def write_segments(segments: DataFrame, path: str) -> None:
-    """One directory per block, each an index of its own; a large block takes many files."""
-    order = ["block", "term_id", "doc_id"]
+    """One directory per block, each an index of its own; a large block takes many files.
+
+    A block's documents have neighbouring ids, so equal widths of ids, as many as there
+    are shuffle partitions, cut the rows by block without a look at them.
+    """
+    tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = segments.agg(F.max("doc_id")).first()[0] or 0
+    width = last // tasks + 1
     (
-        stage(segments.select("term_id", "doc_id", "block"), "segments")
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        segments.select("term_id", "doc_id", "block")
+        .repartitionById(tasks, whole_div("doc_id", width).cast("int"))
+        .sortWithinPartitions("block", "term_id", "doc_id")
         .write.mode("overwrite")
         .options(**_PARQUET)
         .partitionBy("block")
