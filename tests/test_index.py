@@ -1,9 +1,13 @@
+from pathlib import Path
+
 import pytest
 
 import toy
 from lexipost import (
     build_index,
+    compact_index,
     extend_index,
+    merge_indexes,
     open_index,
     retrieve,
     retrieve_by_scan,
@@ -122,8 +126,83 @@ def test_extending_equals_a_full_build(spark, codec):
     assert sorted(map(tuple, longer.postings().select(columns).collect())) == sorted(
         map(tuple, full.postings().select(columns).collect())
     )
-    with pytest.raises(ValueError):
-        extend_index(index, toy.frame(spark, toy.MIXED), index.path)
+    compact = compact_index(longer, new_stage_path(spark, "test"))
+    _assert_equals_plain(compact, toy.MIXED)
+    assert sorted(map(tuple, compact.postings().select(columns).collect())) == sorted(
+        map(tuple, full.postings().select(columns).collect())
+    )
+
+
+def _files(index):
+    root = Path(index.path.removeprefix("file://"))
+    return {str(f): f.stat().st_mtime_ns for f in root.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("codec", ["rows", "vb"])
+def test_appending_rewrites_no_file(spark, codec):
+    blocks = sorted({row[0] for row in toy.MIXED})
+    index = _build(spark, [r for r in toy.MIXED if r[0] == blocks[0]], codec=codec, chunk_docs=2)
+    before = _files(index)
+    for block in blocks[1:]:
+        batch = toy.frame(spark, [r for r in toy.MIXED if r[0] == block])
+        index = extend_index(index, batch)
+    after = _files(index)
+    assert before.items() <= after.items() and len(after) > len(before)
+    assert len(index.meta.segments) == len(blocks)
+    reopened = open_index(spark, index.path)
+    _assert_equals_plain(reopened, toy.MIXED)
+    full = _build(spark, toy.MIXED, codec=codec, chunk_docs=2)
+    assert sorted(map(tuple, reopened.postings().collect())) == sorted(
+        map(tuple, full.postings().collect())
+    )
+    asked = queries_from_rows(spark, [(1, "alpha"), (2, "alpha beta"), (3, "nosuch alpha")])
+    for cap in (10_000, 0):
+        found = [sorted(map(tuple, retrieve(i, asked, cap).collect())) for i in (reopened, full)]
+        assert found[0] == found[1]
+    compact_index(index)
+    assert len(open_index(spark, index.path).meta.segments) == 1
+    _assert_equals_plain(open_index(spark, index.path), toy.MIXED)
+
+
+@pytest.mark.parametrize("codec", ["rows", "gamma"])
+def test_merging_equals_a_full_build(spark, codec):
+    """Inputs share documents and have dictionaries of their own."""
+    rows = toy.MIXED
+    parts = [rows[::2], rows[1::3], rows, rows[:1]]
+    for chosen in ([0, 1, 2], [2, 0], [3]):
+        indexes = [_build(spark, parts[i], codec=codec, chunk_docs=3) for i in chosen]
+        merged = merge_indexes(indexes, new_stage_path(spark, "test"))
+        union = [r for r in rows if any(r in parts[i] for i in chosen)]
+        _assert_equals_plain(merged, union)
+        full = _build(spark, union, codec=codec, chunk_docs=3)
+        for table in ("docs", "lexicon"):
+            ours, theirs = getattr(open_index(spark, merged.path), table), getattr(full, table)
+            assert sorted(map(tuple, ours.select(theirs.columns).collect())) == sorted(
+                map(tuple, theirs.collect())
+            )
+        assert sorted(map(tuple, merged.postings().collect())) == sorted(
+            map(tuple, full.postings().collect())
+        )
+
+
+def test_merging_extended_and_empty_indexes(spark):
+    blocks = sorted({row[0] for row in toy.MIXED})
+    base = _build(spark, [r for r in toy.MIXED if r[0] <= blocks[1]])
+    longer = extend_index(base, toy.frame(spark, toy.MIXED))
+    merged = merge_indexes([_build(spark, []), longer], new_stage_path(spark, "test"))
+    _assert_equals_plain(merged, toy.MIXED)
+    nothing = merge_indexes([_build(spark, [])] * 2, new_stage_path(spark, "test"))
+    assert (nothing.meta.n_docs, nothing.meta.n_terms, nothing.postings().count()) == (0, 0, 0)
+    with pytest.raises(ValueError, match="no index"):
+        merge_indexes([], new_stage_path(spark, "test"))
+
+
+def test_a_shared_document_is_taken_from_the_first_index(spark):
+    one = _build(spark, [("a", "x", "red green")])
+    two = _build(spark, [("a", "x", "blue"), ("a", "y", "blue green")])
+    merged = merge_indexes([one, two], new_stage_path(spark, "test"))
+    terms = {r.term: (r.term_id, r.df) for r in merged.lexicon.collect()}
+    assert terms == {"red": (0, 1), "green": (1, 2), "blue": (2, 1)}
 
 
 def test_extending_by_nothing(spark):

@@ -9,6 +9,7 @@ import toy
 from lexipost import build_index, retrieve
 from lexipost.functions.codes import CODECS
 from lexipost.operators import codecs, dictionary, retrieval, stats
+from lexipost.operators.layout import Layout, list_places
 from lexipost.session import new_stage_path, stage_dir
 from lexipost.sources.tables import queries_from_rows, read_documents
 
@@ -86,6 +87,57 @@ def test_large_batches_broadcast_nothing(spark, index):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
 
 
+@pytest.mark.parametrize("codec", ["rows", "gamma"])
+def test_large_batches_scan_the_postings_once(spark, codec):
+    """The lists that are asked for are staged; no later step reads the index's own."""
+    documents = read_documents(spark, DOCUMENTS, "source", "doc_id")
+    index = build_index(documents, new_stage_path(spark, "plans"), codec, chunk_docs=16)
+    batch = queries_from_rows(spark, [(1, "the and of"), (2, "in the"), (3, "The the")])
+    for ask in (retrieve, retrieval.retrieve_by_division, retrieval.retrieve_by_bitmaps):
+        plan = _plan(ask(index, batch, cap=0))
+        assert "/postings" not in plan and "asked-lists" in plan
+    plan = _plan(retrieve(index, batch, cap=0))
+    assert "sequence(1," not in plan
+
+
+def test_stop_words_are_shuffled_as_bitmaps(spark, index):
+    batch = queries_from_rows(spark, [(1, "the and of"), (2, "in the")])
+    plan = _plan(retrieval.retrieve_by_bitmaps(index, batch))
+    at = plan.index("partial_bitmap_construct_agg")
+    # Below the partial bitmaps, where single postings are, there is no shuffle.
+    below = plan[at : plan.index("Scan parquet", at)]
+    assert "Exchange hashpartitioning(term_id" not in below
+
+
+@pytest.mark.parametrize("codec", ["rows", "vb"])
+def test_postings_are_written_once_and_unsampled(spark, codec, monkeypatch):
+    """Partitions come from running totals: neither a staged copy nor a range shuffle."""
+    staged = []
+    from lexipost.plans import index as plans
+
+    real = plans.stage
+    monkeypatch.setattr(plans, "stage", lambda df, label: staged.append(label) or real(df, label))
+    documents = read_documents(spark, DOCUMENTS, "source", "doc_id")
+    index = build_index(documents, new_stage_path(spark, "plans"), codec)
+    assert staged == ["forward"]
+    assert index.postings().count() == index.meta.n_postings
+
+
+def test_partitions_follow_the_order_of_the_postings(spark, index):
+    places = list_places(index.lexicon, index.meta.n_terms, 4)
+    layout = Layout(4, index.meta.n_docs, index.meta.n_postings, 1 << 16, 100)
+    rows = index.postings().join(places, "term_id").select(
+        F.pmod("term_id", F.lit(4)).alias("shard"),
+        "term_id",
+        "doc_id",
+        layout.part(F.col("df"), F.col("start"), F.col("doc_id")).alias("part"),
+    )
+    parts = [r.part for r in rows.orderBy("shard", "term_id", "doc_id").collect()]
+    assert parts == sorted(parts) and max(parts) == layout.n_parts - 1
+    sizes = [parts.count(p) for p in set(parts)]
+    assert max(sizes) <= 3 * layout.rows  # a list of up to that many rows may start at the end
+
+
 def test_only_piece_tables_meet_in_one_task(index):
     """A window without a key may only see one row per piece."""
     plan = _plan(stats.term_stats(index.postings()))
