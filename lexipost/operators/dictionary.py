@@ -52,12 +52,15 @@ def doc_terms(documents: DataFrame, docs: DataFrame) -> DataFrame:
     """One row per document with its distinct terms in first-seen order.
 
     The text is reduced to distinct tokens before the join, so the shuffle by
-    document key carries no repeats. Keys are unique, so no partition is hot. Spark
-    chooses the join: the hash map of a partition's dictionary rows would not spill.
+    document key carries no repeats. Keys are unique, so no partition is hot. Both sides
+    are sorted, which can spill; a broadcast would leave the tokens in as few partitions
+    as the documents came in, for all the steps that read them.
     """
     reduced = documents.select("block", "name", distinct_tokens("text").alias("terms"))
     numbers = docs.select("block", "name", "doc_id")
-    return reduced.join(numbers, ["block", "name"]).select("doc_id", "block", "terms")
+    return reduced.hint("merge").join(numbers, ["block", "name"]).select(
+        "doc_id", "block", "terms"
+    )
 
 
 def doc_term_pairs(forward: DataFrame) -> DataFrame:

@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexipost.functions.numbers import whole_div
-from lexipost.operators.ranking import exclusive_totals
 from lexipost.session import stage
 
 _MOST_ROWS = 4_000_000  # postings of a partition, about
 _LEAST_ROWS = 1 << 16
+_MOST_PIECES = 1 << 18
 
 
 def shard_of(term_id: Column, n_shards: int) -> Column:
@@ -44,6 +44,7 @@ class Layout:
         A list that is longer than a partition goes on in the next ones. It is cut at
         documents, as if they were spread evenly, so a partition may be larger where a
         list is dense: at most by as many rows as the documents between two cuts.
+        Lists of one piece stay together unless they are that long.
         """
         into = F.floor(df * (doc_id / F.lit(float(max(1, self.n_docs)))))
         place = start + F.when(df > self.rows, F.least(into, df - 1)).otherwise(F.lit(0))
@@ -60,13 +61,21 @@ def layout_of(
 
 
 def list_places(lexicon: DataFrame, n_terms: int, n_shards: int) -> DataFrame:
-    """(term, term_id, df, start): the place of each list in the order of (shard, term)."""
+    """(term, term_id, df, start): the place of each list in the order of (shard, term).
+
+    Lists that follow each other share a place: that of their piece. There are 262,144
+    pieces at most, so their running total is a small table for one window and broadcast.
+    ``lexicon`` is a stored table and is read again by each use of the result.
+    """
     per_shard = -(-max(1, n_terms) // n_shards)
+    per_piece = max(1, -(-per_shard * n_shards // _MOST_PIECES))
     term_id = F.col("term_id")
-    ordered = lexicon.select(
-        "term",
-        "term_id",
-        "df",
-        (shard_of(term_id, n_shards) * per_shard + whole_div(term_id, n_shards)).alias("_order"),
+    order = shard_of(term_id, n_shards) * per_shard + whole_div(term_id, n_shards)
+    ordered = lexicon.select("term", "term_id", "df", whole_div(order, per_piece).alias("_piece"))
+    sums = ordered.groupBy("_piece").agg(F.sum("df").alias("_sum"))
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stage(
+        sums.select("_piece", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("start")),
+        "places",
     )
-    return stage(exclusive_totals(ordered, "_order", {"df": "start"}).drop("_order"), "places")
+    return ordered.join(F.broadcast(starts), "_piece").drop("_piece")

@@ -57,7 +57,10 @@ def dense_ids(df: DataFrame, keys: Sequence[str], id_col: str, first: int = 0) -
 
 
 def exclusive_totals(
-    df: DataFrame, dense_key: str, totals: dict[str, str], piece: int = PIECE_ROWS
+    df: DataFrame,
+    dense_key: str,
+    totals: dict[str, str],
+    piece: int = PIECE_ROWS,
 ) -> DataFrame:
     """Add running totals in ``dense_key`` order, each without its own row.
 
