@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexipost.functions import codes
 from lexipost.operators.gaps import gaps, gaps_to_postings, previous_ids
+from lexipost.session import stage
 
 
 def _joined(code: Column) -> Column:
@@ -26,20 +27,27 @@ def _gamma_payloads(packed: DataFrame) -> DataFrame:
 
     The bits of a list run on over its chunks. A chunk owns the bytes whose first bit it
     holds, and completes its last byte from the chunks after it; at least one bit stands
-    in each, so seven are enough. Only the end of the list is filled up. The window is as
-    long as the list has chunks.
+    in each, so seven are enough. Only the end of the list is filled up. The chunks are
+    staged: the window of a list sees a length and seven bits of each, and payloads meet
+    what it found chunk by chunk.
     """
+    cut = stage(
+        packed.withColumn("_bits", F.length("payload")).withColumn(
+            "_head", F.substring("payload", 1, _SHARED_BITS)
+        ),
+        "gamma-chunks",
+    )
     in_list = Window.partitionBy("term_id").orderBy("chunk")
-    bits = F.col("payload")
-    before = F.sum(F.length(bits)).over(in_list.rowsBetween(Window.unboundedPreceding, -1))
-    head = F.substring(bits, 1, _SHARED_BITS)
-    later = [F.lead(head, k).over(in_list) for k in range(1, _SHARED_BITS + 1)]
-    placed = packed.select(
-        "*",
+    before = F.sum("_bits").over(in_list.rowsBetween(Window.unboundedPreceding, -1))
+    later = [F.lead("_head", k).over(in_list) for k in range(1, _SHARED_BITS + 1)]
+    seams = cut.select(
+        "term_id",
+        "chunk",
         F.pmod(-F.coalesce(before, F.lit(0)), F.lit(8)).cast("int").alias("_shared"),
         F.concat_ws("", *later).alias("_later"),
     )
-    own = F.substring(bits, F.col("_shared") + 1, F.length(bits))
+    placed = cut.drop("_head").join(seams, ["term_id", "chunk"])
+    own = F.substring("payload", F.col("_shared") + 1, F.col("_bits"))
     missing = F.when(own == "", 0).otherwise(F.pmod(-F.length(own), F.lit(8)))
     full = F.concat(own, F.substring(F.col("_later"), F.lit(1), missing))
     return placed.select(
@@ -47,13 +55,15 @@ def _gamma_payloads(packed: DataFrame) -> DataFrame:
         "chunk",
         "base",
         "n_postings",
-        F.substring(bits, F.lit(1), F.col("_shared")).alias("lead"),
+        "first_doc",
+        "last_doc",
+        F.substring("payload", F.lit(1), F.col("_shared")).alias("lead"),
         codes.bits_to_hex(full).alias("payload"),
     )
 
 
 def encode(postings: DataFrame, codec: str) -> DataFrame:
-    """Encoded chunks (term_id, chunk, base, n_postings, lead, payload as hex).
+    """Encoded chunks (term_id, chunk, base, n_postings, first_doc, last_doc, lead, payload as hex).
 
     ``base`` is the id that the first gap is measured from: the last id of the
     chunk before. The payloads of a list, joined in chunk order, are the payload of the
@@ -73,6 +83,8 @@ def encode(postings: DataFrame, codec: str) -> DataFrame:
     packed = rows.groupBy("term_id", "chunk").agg(
         F.min("prev").alias("base"),
         F.count("*").alias("n_postings"),
+        F.min("doc_id").alias("first_doc"),
+        F.max("doc_id").alias("last_doc"),
         F.lit("").alias("lead"),
         _joined(F.col("code")).alias("payload"),
     )

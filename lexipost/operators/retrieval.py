@@ -12,9 +12,10 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexipost.functions.literals import MOST_LITERALS, one_of
 from lexipost.functions.text import distinct_tokens, document_path
 from lexipost.operators.dictionary import piece_of
-from lexipost.operators.inversion import CHUNK_DOCS
+from lexipost.operators.inversion import CHUNK_DOCS, range_chunk
 from lexipost.operators.skew import BATCH_ROWS, BROADCAST_ROWS, fetch_batch, join_weighted
 from lexipost.session import stage
 
@@ -23,7 +24,6 @@ if TYPE_CHECKING:
 
 _ASKED_ROWS = 1 << 10  # queries of a term that meet a part of its list in one task
 _BUCKET_DOCS = 1 << 15  # documents in a bitmap of Spark's functions
-_LITERAL_TERMS = 256  # more terms than this are joined, not written into the plan
 
 
 def checked_queries(queries: DataFrame) -> DataFrame:
@@ -54,12 +54,12 @@ def query_terms(queries: DataFrame) -> DataFrame:
 def _known_terms(lexicon: DataFrame, asked: DataFrame, terms: set[str]) -> DataFrame:
     """``asked``, a local table with a term column, joined with the lexicon.
 
-    A few terms also go into the scan as literals: the lexicon is sorted by term,
-    so they skip most of its files.
+    Up to 256 terms also go into the scan as literals: the lexicon is sorted by term and
+    has Bloom filters, so they skip most of its row groups.
     """
     entries = lexicon.select("term", "term_id", "df")
-    if len(terms) <= _LITERAL_TERMS:
-        entries = entries.filter(F.col("term").isin(sorted(terms)))
+    if len(terms) <= MOST_LITERALS:
+        entries = entries.filter(one_of("term", sorted(terms)))
     return entries.join(F.broadcast(asked), "term")
 
 
@@ -198,15 +198,42 @@ def _by_division(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     )
 
 
+def chunks_holding(index: TextIndex, term_ids: list[int], checks: DataFrame) -> DataFrame:
+    """The posting rows of the chunks of ``term_ids`` that some row of ``checks`` falls into.
+
+    ``checks`` has (term_id, doc_id) rows of these terms and is small enough to broadcast,
+    or not marked so. They meet what a chunk says of itself, (term_id, chunk, first_doc,
+    last_doc), which is read without its payload. Only chunks that span one of the documents
+    are then read whole and decoded. A list is in one piece, 0, or cut at documents.
+    """
+    pieces = F.array(F.lit(0).cast("bigint"), range_chunk(index.meta.chunk_docs).cast("bigint"))
+    asked = checks.select("term_id", "doc_id", F.explode(pieces).alias("chunk"))
+    kept = []
+    for stored in index.stored_of(term_ids):
+        spans = stored.select("term_id", "chunk", "first_doc", "last_doc")
+        met = (
+            spans.join(asked, ["term_id", "chunk"])
+            .filter("doc_id between first_doc and last_doc")
+            .select("term_id", "chunk")
+            .distinct()
+        )
+        kept.append(stored.join(met, ["term_id", "chunk"], "left_semi").select(stored.columns))
+    return index.rows(kept)
+
+
 def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     plans = batch.queries.select(
         "qid",
         F.element_at("terms.term_id", 1).alias("term_id"),
         F.slice("terms.term_id", F.lit(2), F.size("terms")).alias("others"),
     )
+    spans = batch.small and index.meta.codec != "rows"
     if batch.small:
         leads = index.postings_of(batch.lead_ids).join(F.broadcast(plans), "term_id")
-        lists = index.postings_of(batch.other_ids)
+        if spans:  # read again by the chunks of the other lists
+            leads = stage(leads.select("qid", "doc_id", "others"), "candidates")
+        else:
+            lists = index.postings_of(batch.other_ids)
     else:
         lists = _asked_lists(index, _asked_terms(batch))
         leads = stage(_meet(lists, plans).select("qid", "doc_id", "others"), "candidates")
@@ -233,6 +260,8 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     )
     if batch.small and batch.check_rows <= BROADCAST_ROWS:
         checks = F.broadcast(checks)
+    if spans:
+        lists = chunks_holding(index, batch.other_ids, checks)
     confirmed = (
         lists.select("term_id", "doc_id")
         .join(checks, ["term_id", "doc_id"])
@@ -431,7 +460,7 @@ def terms_intersect(index: TextIndex, left: str, right: str) -> DataFrame:
 
     The two ids are looked up first, so that they prune the postings scan.
     """
-    found = index.lexicon.filter(F.col("term").isin(left, right)).select("term", "term_id")
+    found = index.lexicon.filter(one_of("term", [left, right])).select("term", "term_id")
     ids = {row.term: row.term_id for row in found.limit(2).collect()}
     if left not in ids or right not in ids:
         return index.postings_of([]).select("doc_id")

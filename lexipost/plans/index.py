@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexipost import schemas
 from lexipost.functions.codes import check_codec
+from lexipost.functions.literals import one_of
 from lexipost.functions.text import document_path
 from lexipost.operators.codecs import decode
 from lexipost.operators.dictionary import (
@@ -43,11 +44,6 @@ class IndexMeta:
     segments: tuple[str, ...]
 
 
-def _listed(numbers: list[int]) -> str:
-    # One SQL text; a Column literal for each number would cost a call to the JVM.
-    return ", ".join(f"{number:d}L" for number in numbers)
-
-
 @dataclass(frozen=True)
 class TextIndex:
     """An index: segments with docs, lexicon and postings of their own, all read when used.
@@ -106,16 +102,18 @@ class TextIndex:
         """(term_id, doc_id) in order of both."""
         return self.rows(self.stored()).select("term_id", "doc_id").orderBy("term_id", "doc_id")
 
-    def postings_of(self, term_ids: list[int]) -> DataFrame:
-        """The posting rows of a query-sized list of terms.
+    def stored_of(self, term_ids: list[int]) -> list[DataFrame]:
+        """What is stored, by segment, of a query-sized list of terms.
 
         The literals prune shard directories and then row groups.
         """
-        if not term_ids:
-            return self.rows([s.filter("false") for s in self.stored()])
         shards = sorted({term_id % self.meta.n_shards for term_id in term_ids})
-        wanted = f"shard in ({_listed(shards)}) and term_id in ({_listed(term_ids)})"
-        return self.rows([s.filter(wanted) for s in self.stored()])
+        wanted = f"({one_of('shard', shards)}) and ({one_of('term_id', term_ids)})"
+        return [s.filter(wanted) for s in self.stored()]
+
+    def postings_of(self, term_ids: list[int]) -> DataFrame:
+        """The posting rows of a query-sized list of terms."""
+        return self.rows(self.stored_of(term_ids))
 
 
 def open_index(spark: SparkSession, path: str) -> TextIndex:

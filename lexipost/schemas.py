@@ -20,9 +20,17 @@ LEXICON = _table(term=_STRING, term_id=_LONG, df=_LONG)
 #: Posting rows. chunk is 0 for a list kept whole, see operators.inversion.
 POSTINGS = _table(term_id=_LONG, chunk=_LONG, doc_id=_LONG)
 #: One encoded run of a postings list; base is the id before its first one, and lead holds,
-#: as bit text, what the last byte of the run before has of its first codes.
+#: as bit text, what the last byte of the run before has of its first codes. first_doc and
+#: last_doc say which documents a run can hold without decoding it.
 ENCODED = _table(
-    term_id=_LONG, chunk=_LONG, base=_LONG, n_postings=_LONG, lead=_STRING, payload=_STRING
+    term_id=_LONG,
+    chunk=_LONG,
+    base=_LONG,
+    n_postings=_LONG,
+    first_doc=_LONG,
+    last_doc=_LONG,
+    lead=_STRING,
+    payload=_STRING,
 )
 #: A batch of queries.
 QUERIES = _table(qid=_LONG, query=_STRING)

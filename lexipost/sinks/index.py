@@ -23,6 +23,13 @@ _MIN_SHARDS, _MAX_SHARDS = 8, 4096
 # Sorted ids shrink to bit-packed differences when Parquet may delta-encode them.
 _PARQUET = {"parquet.writer.version": "v2", "parquet.enable.dictionary#doc_id": "false"}
 
+# Terms are unique, so that a dictionary would only hold all of them once more.
+_BLOOM = {
+    "parquet.enable.dictionary#term": "false",
+    "parquet.bloom.filter.enabled#term": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
 
 def default_shards(n_postings: int) -> int:
     return max(_MIN_SHARDS, min(_MAX_SHARDS, -(-n_postings // _POSTINGS_PER_SHARD)))
@@ -39,10 +46,17 @@ def write_docs(docs: DataFrame, path: str, piece_docs: int = PIECE_DOCS) -> None
 
 
 def write_lexicon(lexicon: DataFrame, path: str) -> None:
-    """Sorted by term, so that literal terms prune files and row groups."""
-    lexicon.repartitionByRange("term").sortWithinPartitions("term").write.mode(
-        "overwrite"
-    ).parquet(f"{path}/lexicon")
+    """Sorted by term, so that literal terms prune files and row groups.
+
+    A batch whose terms lie all over the order skips row groups by their Bloom filters.
+    """
+    (
+        lexicon.repartitionByRange("term")
+        .sortWithinPartitions("term")
+        .write.mode("overwrite")
+        .options(**_BLOOM)
+        .parquet(f"{path}/lexicon")
+    )
 
 
 def write_postings(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexipost.functions.text import normal_path
-from lexipost.sources.corpus import list_files
+from lexipost.sources.folder import list_files, read_files
 
 # The file names of a batch.
 QUERY_FILE = r"^query\.([0-9]+)$"
@@ -16,17 +16,13 @@ RESULT_FILE = r"^([0-9]+)\.out$"
 def _whole_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """(qid, value) of every file of the batch; an empty file has an empty value.
 
-    Spark's sources pass over empty files, so the folder, which has a file per query of a
-    batch, is listed too.
+    One task lists the folder; the files whose names fit are then read, each once.
     """
-    names = spark.createDataFrame([(n,) for n in list_files(folder)], "name string")
-    listed = names.select(F.regexp_extract("name", pattern, 1).alias("qid")).filter("qid <> ''")
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    read = spark.read.text(f"{folder.rstrip('/')}/*", wholetext=True).select(
-        F.regexp_extract(name, pattern, 1).alias("qid"), "value"
-    )
-    return listed.join(read, "qid", "left").select(
-        F.col("qid").cast("bigint").alias("qid"), F.coalesce("value", F.lit("")).alias("value")
+    here = spark.range(0, 1, 1, 1).select(F.lit("").alias("block"))
+    listed = list_files(folder, here).filter(F.col("name").rlike(pattern))
+    return read_files(spark, folder, listed).select(
+        F.regexp_extract("name", pattern, 1).cast("bigint").alias("qid"),
+        F.col("content").cast("string").alias("value"),
     )
 
 

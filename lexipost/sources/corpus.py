@@ -2,68 +2,19 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterator
-from urllib.parse import urlparse
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from lexipost import schemas
-
-
-def filesystem(root: str):
-    """The file system of a folder and the folder's path in it."""
-    from pyarrow import fs
-
-    if "://" in root or root.startswith("file:"):
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), root
-
 
-def list_files(folder: str) -> list[str]:
-    """The names of the files in one folder."""
-    from pyarrow import fs
-
-    files, base = filesystem(folder)
-    found = files.get_file_info(fs.FileSelector(base))
-    return sorted(info.base_name for info in found if info.type == fs.FileType.File)
-
-
-def list_blocks(spark: SparkSession, root: str) -> DataFrame:
-    """(block): the immediate sub-directories of ``root``; files in it are ignored."""
-    from pyarrow import fs
-
-    files, base = filesystem(root)
-    found = files.get_file_info(fs.FileSelector(base))
-    names = [(info.base_name,) for info in found if info.type == fs.FileType.Directory]
-    return spark.createDataFrame(names, "block string")
+from lexipost.session import stage
+from lexipost.sources.folder import list_files, list_folders, read_files
 
 
 def list_corpus(spark: SparkSession, root: str) -> DataFrame:
     """A manifest (block, name, path, size) of every file one level below ``root``.
 
-    Each block is listed by a task of its own. Unlike the file sources of Spark,
-    this sees empty files and names that start with ``.`` or ``_``.
+    Files in ``root`` itself and in folders below the blocks are ignored.
     """
-    blocks = list_blocks(spark, root)
-
-    def list_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        files, base = filesystem(root)
-        for batch in batches:
-            for block in batch["block"]:
-                found = [
-                    (block, info.base_name, info.path, info.size)
-                    for info in files.get_file_info(fs.FileSelector(f"{base.rstrip('/')}/{block}"))
-                    if info.type == fs.FileType.File
-                ]
-                yield pd.DataFrame(found, columns=schemas.MANIFEST.names)
-
-    return blocks.repartition("block").mapInPandas(list_files, schemas.MANIFEST)
+    return list_files(root, list_folders(spark, root).repartition("block"))
 
 
 def _checked_text(content: Column, path: Column) -> Column:
@@ -73,64 +24,23 @@ def _checked_text(content: Column, path: Column) -> Column:
     )
 
 
-def _read_visible(spark: SparkSession, root: str) -> DataFrame:
-    """What Spark's own source reads at ``<root>/<block>/<file>``.
-
-    A folder nested in a block matches the pattern too, and Spark opens it: its files lie
-    one level deeper and are dropped by the number of parts below ``root``.
-    """
-    base = root.rstrip("/")
-    place = urlparse(base).path if ":/" in base else os.path.abspath(base)
-    below = F.expr("substring(path, locate(place, path) + length(place) + 1)")
-    return (
-        spark.read.format("binaryFile")
-        .load(f"{base}/*/*")
-        .withColumn("place", F.lit(place))
-        .withColumn("parts", F.split(below, "/"))
-        .filter(F.size("parts") == 2)
-        .select(
-            F.col("parts")[0].alias("block"), F.col("parts")[1].alias("name"), "path", "content"
-        )
-    )
-
-
-def _read_hidden(root: str, files: DataFrame) -> DataFrame:
-    """Files that Spark's own sources pass over: empty ones and hidden names."""
-    schema = T.StructType(
-        [schemas.MANIFEST[c] for c in ("block", "name", "path")]
-        + [T.StructField("content", T.BinaryType())]
-    )
-
-    def read_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        source, _ = filesystem(root)
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                content = b""
-                if row.size:
-                    with source.open_input_stream(row.path) as stream:
-                        content = stream.read()
-                yield pd.DataFrame(
-                    [(row.block, row.name, row.path, content)], columns=schema.names
-                )
-
-    return files.mapInPandas(read_files, schema)
-
-
 def read_corpus(
     spark: SparkSession, root: str, manifest: DataFrame | None = None
 ) -> DataFrame:
-    """Documents (block, name, text) of a corpus directory.
+    """Documents (block, name, text) of a corpus directory, in a staged table.
 
-    Bytes that are not UTF-8 fail the job. Spark reads the bulk; whatever the
-    ``manifest`` (by default ``list_corpus``) lists beyond that is added, because
-    a document that went missing would shift all later ids. The anti join compares
-    names only.
+    Every file is read once, in the one pass that writes the table; a build, which reads
+    names and texts at different times, then reads columns and no small files. Empty files
+    and hidden names are documents like any other, because one that went missing would
+    shift all later ids. Bytes that are not UTF-8 fail the job. ``manifest`` is by default
+    ``list_corpus``.
     """
     if manifest is None:
         manifest = list_corpus(spark, root)
-    visible = _read_visible(spark, root)
-    hidden = manifest.join(visible.select("block", "name"), ["block", "name"], "left_anti")
-    contents = visible.unionByName(_read_hidden(root, hidden.select(*schemas.MANIFEST.names)))
-    return contents.select(
-        "block", "name", _checked_text(F.col("content"), F.col("path")).alias("text")
+    contents = read_files(spark, root, manifest)
+    return stage(
+        contents.select(
+            "block", "name", _checked_text(F.col("content"), F.col("path")).alias("text")
+        ),
+        "corpus",
     )

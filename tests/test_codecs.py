@@ -151,3 +151,12 @@ def test_lists_that_no_code_can_hold_fail(spark, codec, ids):
 def test_unknown_codec(spark):
     with pytest.raises(ValueError):
         encode(_postings(spark, {0: [1]}), "zip")
+
+
+def test_no_payload_passes_a_window(spark):
+    rows = spark.range(0, 400).selectExpr("id % 3 as term_id", "id div 50 + 1 as chunk", "id as doc_id")
+    plan = encode(rows, "gamma")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "_head" in line]
+    assert windows and all("payload" not in line for line in windows)
+    below = plan[plan.index(windows[0]) :]
+    assert "payload" not in below[: below.index("Relation")]

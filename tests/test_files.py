@@ -1,12 +1,14 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import toy
 from lexipost import build_index, open_index, retrieve
 from lexipost.operators import compare
 from lexipost.operators.ranking import rank_in_group
 from lexipost.session import new_stage_path
+from lexipost.sinks.files import write_corpus, write_expected
 from lexipost.sinks.results import write_results
 from lexipost.sources.batches import read_expected, read_queries
 from lexipost.sources.corpus import list_corpus, read_corpus
@@ -99,3 +101,56 @@ def test_result_files_keep_document_order(spark, tmp_path):
         files = sorted(f for f in os.listdir(folder) if f.endswith(".txt"))
         lines = [line for f in files for line in (folder / f).read_text().splitlines()]
         assert lines == [f"p{d}" for d in range(500)]
+
+
+def _failing(spark, rows):
+    """The rows, of which the last partition's fail while others are written."""
+    name = F.when(F.col("name") == "bad", F.raise_error(F.lit("no name")).cast("string"))
+    return spark.createDataFrame(rows, "block string, name string, text string").select(
+        "block", F.coalesce(name, "name").alias("name"), "text"
+    )
+
+
+def test_a_failed_write_leaves_the_old_folder(spark, tmp_path):
+    root = tmp_path / "corpus"
+    write_corpus(toy.frame(spark, toy.MIXED), str(root))
+    with pytest.raises(Exception, match="no name"):
+        write_corpus(_failing(spark, [("2", "new", "x"), ("2", "bad", "y")]).repartition(2), str(root))
+    docs = read_corpus(spark, str(root))
+    assert sorted(map(tuple, docs.collect())) == sorted(toy.MIXED)
+    assert os.listdir(tmp_path) == ["corpus"]  # nothing half written stays beside it
+
+
+def test_a_write_replaces_the_folder(spark, tmp_path):
+    for form in (str(tmp_path / "c"), f"file://{tmp_path}/c/"):
+        write_corpus(toy.frame(spark, [("a", "old", "x")]), form)
+        write_corpus(toy.frame(spark, AWKWARD), form)
+        assert sorted(map(tuple, read_corpus(spark, form).collect())) == sorted(AWKWARD)
+    write_corpus(toy.frame(spark, []), str(tmp_path / "none"))
+    assert os.listdir(tmp_path / "none") == []
+    with pytest.raises(Exception, match="written whole"):
+        toy.frame(spark, AWKWARD).selectExpr("block as folder", "name", "text as content").write.format(
+            "lexipost_folder"
+        ).mode("append").option("path", str(tmp_path / "c")).save()
+
+
+def test_expected_files_come_back(spark, tmp_path):
+    rows = [(1, r, f"a/{r}") for r in range(300)] + [(3, 0, "b/x")]
+    ranked = spark.createDataFrame(rows, "qid bigint, rank bigint, path string").repartition(5)
+    queries = spark.createDataFrame([(1, "q"), (2, "none"), (3, "q")], "qid bigint, query string")
+    write_expected(ranked, queries, str(tmp_path / "given"))
+    assert (tmp_path / "given" / "2.out").read_text() == ""
+    back = read_expected(spark, str(tmp_path / "given")).collect()
+    assert sorted(map(tuple, back)) == rows
+
+
+def test_each_file_is_read_once_and_not_by_the_driver(spark, tmp_path, monkeypatch):
+    _write(tmp_path, AWKWARD)
+    docs = read_corpus(spark, str(tmp_path))
+    # What a build reads is the staged table: no listing, no join, no file of the corpus.
+    plan = docs.select("block", "name")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Join" not in plan and "binaryFile" not in plan
+    assert "ReadSchema: struct<block:string,name:string>" in plan
+    empty = tmp_path / "nothing"
+    empty.mkdir()
+    assert read_corpus(spark, str(empty)).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import toy
 from lexipost import build_index, retrieve
 from lexipost.functions.codes import CODECS
+from lexipost.functions.literals import one_of
 from lexipost.operators import codecs, dictionary, retrieval, stats
 from lexipost.operators.layout import Layout, list_places
 from lexipost.session import new_stage_path, stage_dir
@@ -163,3 +164,52 @@ def test_stage_folder_follows_the_session(spark):
 def test_staged_tables_are_files(spark):
     index = build_index(toy.frame(spark, toy.PARSED), new_stage_path(spark, "test"))
     assert "FileScan parquet" in _plan(index.lexicon)
+
+
+@pytest.mark.parametrize("codec", CODECS)
+def test_chunks_without_a_candidate_are_not_decoded(spark, codec):
+    """A stop word's list is cut in 20; a rare word's documents touch few of its chunks."""
+    rows = [("b", f"{i:04d}", f"stop w{i} " + ("rare" if i in (3, 205) else "x")) for i in range(400)]
+    path = new_stage_path(spark, "plans")
+    index = build_index(toy.frame(spark, rows), path, codec, chunk_docs=20)
+    ids = {r.term: r.term_id for r in index.lexicon.collect()}
+    checks = spark.createDataFrame(
+        [(ids["stop"], 3), (ids["stop"], 205), (ids["x"], 3), (ids["w3"], 7)], "term_id bigint, doc_id bigint"
+    )
+    read = retrieval.chunks_holding(index, [ids["stop"], ids["x"], ids["w3"]], checks)
+    met = {(r.term_id, r.chunk) for r in read.select("term_id", "chunk").distinct().collect()}
+    # Document 3 lies inside the range of x's first chunk without being in it; w3 has one piece.
+    assert met == {(ids["stop"], 1), (ids["stop"], 11), (ids["x"], 1)}
+    plan = _plan(read)
+    spans = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "payload" not in s]
+    assert any("first_doc" in s and "last_doc" in s for s in spans)
+    batch = queries_from_rows(spark, [(1, "rare stop"), (2, "stop x w3"), (3, "stop x w9")])
+    found = retrieval.retrieve_rarest_first(index, batch).collect()
+    assert sorted((r.qid, r.doc_id) for r in found) == [(1, 3), (1, 205), (3, 9)]
+
+
+def test_lists_of_literals_reach_the_files(spark, index):
+    """Longer lists than ten would be pushed down as a range; 256 go down value by value."""
+    wanted = [f"w{i}" for i in range(25)] + ["the", "it's", "\\", "é"]
+    plan = _plan(index.lexicon.filter(one_of("term", wanted)))
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "Or(Or(In(term, [" in pushed and "GreaterThan" not in pushed
+    found = {r.term for r in index.lexicon.filter(one_of("term", wanted)).collect()}
+    assert found == {r.term for r in index.lexicon.collect()} & set(wanted)
+    assert index.lexicon.filter(one_of("term", [str(i) for i in range(300)] + ["the"])).count() >= 1
+    assert one_of("term_id", []) == "false"
+
+
+def test_lexicon_files_have_bloom_filters(spark, index):
+    files = index.lexicon.select(F.input_file_name().alias("f")).distinct().collect()
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    for row in files:
+        path = jvm.org.apache.hadoop.fs.Path(row.f)
+        source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+        blocks = reader.getFooter().getBlocks()
+        columns = [c for i in range(blocks.size()) for c in blocks.get(i).getColumns()]
+        names = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in columns}
+        reader.close()
+        assert names["term"] > 0 and names["df"] < 0
