@@ -32,12 +32,14 @@ PHONE = (
     r"|(?<![0-9A-Za-z+])\+[1-9](?:[ ./()-]{0,2}[0-9]){6,14}(?![0-9])"
     + "|" + _FREE + r"00[1-9][0-9]{0,2}[ .-](?:[ ./()-]{0,2}[0-9]){6,12}(?![0-9])"
 )
-#: Without one: 3-3-4 digits, and those that begin with the trunk's 0.
+#: Without one: 3-3-4 digits, and those that begin with the trunk's 0. A dot alone makes a
+#: decimal number, so one after the area code needs a second separator.
 NATIONAL = (
     _FREE + r"(?:1[ .-]?)?(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?|(?<![0-9])[0-9]{3}[ .-][0-9]{3}[ .-])[0-9]{4}" + _DONE
 )
 TRUNK = (
-    _FREE + r"(?:\(0[1-9][0-9]{1,4}\)[ -]?|0[1-9][0-9]{1,4}[ /.-])[0-9]{3,4}[ -]?[0-9]{3,5}" + _DONE
+    _FREE + r"(?:(?:\(0[1-9][0-9]{1,4}\)[ -]?|0[1-9][0-9]{1,4}[ /-])[0-9]{3,4}[ -]?"
+    r"|0[1-9][0-9]{1,4}\.[0-9]{3,4}[ .-])[0-9]{3,5}" + _DONE
 )
 COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
