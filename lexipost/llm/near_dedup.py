@@ -35,6 +35,7 @@ BAND_SLOTS = 4
 #: Bands find such a pair but for (1 - 0.8^4)^32 = 5 in 10^8.
 LEAST_EQUAL = 80
 TILE = 512  # members on each side of a tile
+TILES_OF_TASK = 16  # comparisons of TILE by TILE members
 _AT_ONCE = 16  # sets that a member of a tile is compared with before labels are looked at
 _CHUNK = 150_000  # shingles whose signatures are computed at once
 _READ_BYTES = 4 << 20
@@ -190,6 +191,11 @@ def _tiles(members: DataFrame, columns: list[str]) -> DataFrame:
         .select("part", "layout"),
         "tile-layout",
     )
+    # The work of a part is the square of its chunks, which the bytes of a shuffle do not say.
+    of_part = F.expr("aggregate(layout, 0L, (n, x) -> n + x.chunks)")
+    tiles = layout.agg(F.sum(of_part * (of_part + 1) / 2)).first()[0] or 0
+    spark = members.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(tiles // TILES_OF_TASK))
     at = F.expr("filter(layout, x -> x.pool = pool)[0].chunks")
     placed = (
         members.join(sizes, ["part", "label"])
@@ -207,7 +213,7 @@ def _tiles(members: DataFrame, columns: list[str]) -> DataFrame:
             F.xxhash64("part", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tile"),
             "chunk", "node", "label", *columns,
         )
-        .repartition("tile")
+        .repartition(tasks, "tile")
         .sortWithinPartitions("tile", "chunk", "node")
     )
 
@@ -386,7 +392,9 @@ def _decided(
     )
     described = classes.select("node", "n", "sig")
     in_doubt = in_buckets.join(several, "part").join(described, "node")
-    could_join = stage(narrow(_joins(_tiles(in_doubt, ["n", "sig"]), percent), count), "could-join")
+    # Staged before they are narrowed: the comparison keeps all its tasks.
+    could_join = stage(_joins(_tiles(in_doubt, ["n", "sig"]), percent), "could-join")
+    could_join = narrow(could_join, count)
     families = stage(connected_components(could_join), "families")
     # Families of several labels, on full sets: which labels are joined.
     labelled = classes.join(stars, "node", "left").select("node", "rep", "n", "sig", label)
@@ -397,10 +405,8 @@ def _decided(
         "family-members",
     )
     full = in_family.join(stage(sets_of(in_family), "family-sets"), "node")
-    joins = stage(
-        narrow(_joins(_tiles(full.drop("rep"), ["n", "sig", "shingles"]), percent), count), "joins"
-    )
-    joined = stage(connected_components(joins), "joined")
+    joins = stage(_joins(_tiles(full.drop("rep"), ["n", "sig", "shingles"]), percent), "joins")
+    joined = stage(connected_components(narrow(joins, count)), "joined")
     labels = stage(
         classes.select("node")
         .join(stars, "node", "left")
