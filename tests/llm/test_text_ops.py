@@ -1,6 +1,7 @@
 """Secrets, encodings, fingerprints and pseudonyms."""
 
 import hashlib
+import heapq
 import random
 import re
 import zlib
@@ -168,6 +169,68 @@ def test_fingerprints(small_docs, edge_docs, empty_docs):
     assert order_minhash.fingerprints(empty_docs).count() == 0
 
 
+def _scrambled(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def plain_fingerprint(text):
+    """Order MinHash by its definition: numbered k-mers, the least of each order, in text order."""
+    if not text:
+        return [0] * order_minhash.SKETCHES
+    size = min(order_minhash.K, len(text))
+    hashes, elements, seen = [], [], {}
+    known = {}
+    for at in range(len(text) - size + 1):
+        kmer = text[at : at + size]
+        if kmer not in known:
+            value = ord(kmer[0])
+            for letter in kmer[1:]:
+                value = (value * 0x100000001B3 + ord(letter)) % 2**64
+            known[kmer] = _scrambled(value)
+        number = seen.get(kmer, 0)
+        seen[kmer] = number + 1
+        hashes.append(known[kmer])
+        elements.append(_scrambled((known[kmer] + number * 0x9E3779B97F4A7C15) % 2**64) >> 32)
+    orders = [_scrambled(i * 0x9E3779B97F4A7C15 % 2**64) >> 32 for i in range(1, 2 * order_minhash.SKETCHES + 1)]
+    sketches = []
+    for flip, spread in zip(orders[: order_minhash.SKETCHES], orders[order_minhash.SKETCHES :], strict=True):
+        spread |= 1
+        ranks = [(e ^ flip) * spread & 0xFFFFFFFF for e in elements]
+        least = sorted(heapq.nsmallest(order_minhash.TUPLE, range(len(ranks)), key=ranks.__getitem__))
+        hashed = size
+        for at in least:
+            hashed = _scrambled((hashed * 0x100000001B3 + hashes[at]) % 2**64)
+        sketches.append(hashed >> 32)
+    return sketches
+
+
+def test_fingerprints_equal_plain_python(small_docs):
+    """Every sketch of every text, whole, from the definition alone."""
+    rows = order_minhash.fingerprints(small_docs).select("doc_id", "fingerprint").collect()
+    got = {r.doc_id: r.fingerprint for r in rows}
+    known = {}
+    for row in small_docs.collect():
+        text = row.text or ""
+        if text not in known:
+            known[text] = "".join(f"{s:08x}" for s in plain_fingerprint(text))
+        assert got[row.doc_id] == known[text], row.doc_id
+    assert len(set(known.values())) == len(known)
+
+
+def test_occurrence_numbers_at_any_length():
+    """K-mers that agree in all but their lowest bits are different, in texts of any length."""
+    rnd = np.random.default_rng(3)
+    for n in (1, 2, 50, 3_000, 1 << 21):
+        kmers = rnd.integers(0, max(1, n // 4), n).astype(np.uint64) + np.uint64(1 << 63)
+        number, seen = np.empty(n, np.uint64), {}
+        for at, kmer in enumerate(kmers.tolist()):
+            number[at] = seen.get(kmer, 0)
+            seen[kmer] = seen.get(kmer, 0) + 1
+        assert (order_minhash._occurrences(kmers) == number).all()
+
+
 def test_fingerprint_feels_order_and_repeats():
     rnd = random.Random(2)
     parts = ["".join(rnd.choice("abcdefgh") for _ in range(40)) for _ in range(12)]
@@ -238,6 +301,18 @@ def test_pseudonyms_of_other_shapes(spark):
     assert int(new["12/31/2020"].split("/")[0]) <= 12 < int(new["12/31/2020"].split("/")[1])
 
 
+def test_decimal_numbers_are_no_phone_numbers(spark):
+    """One dot makes a decimal number; two separators, a blank or a slash make a phone number."""
+    plain = ["lat 012.345678, lon 09.1234567", "ratio 01.2345678 of 0123.4567890", "at 0.123456789"]
+    phones = ["012.345.678", "030.1234 5678", "030 12345678", "030/12345678", "(030)12345678", "030-12345678"]
+    docs = spark.createDataFrame(list(enumerate([*plain, *phones])), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in pii.pseudonymized(docs, "k").collect()}
+    for i, text in enumerate(plain):
+        assert rows[i].text == text and rows[i].n_phone == 0
+    for i, text in enumerate(phones, len(plain)):
+        assert rows[i].n_phone == 1 and rows[i].text != text, text
+
+
 def test_late_days_are_numbered_without_gap(spark):
     day = F.date_add(F.lit(pii.FIRST_DAY).cast("date"), F.col("id").cast("int"))
     late = spark.range(pii.DAYS).filter(F.dayofmonth(day) > 12).withColumn("n", pii._late_index(F.col("id")))
