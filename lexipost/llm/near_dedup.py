@@ -1,7 +1,7 @@
 """MinHash near-duplicates: SuperMinHash, banding, verification and grouping.
 
 1. Every text becomes a SuperMinHash signature and the 128-bit key of its shingle set.
-   Texts of equal sets form one class, which goes on as one node.
+   Texts of one key form one class, which goes on as one node, numbered without repeats.
 2. Signatures are cut into bands; classes that agree in a band share a bucket.
 3. Each bucket proposes its members to one leader. Proposals that the signatures do not
    rule out are confirmed on the full shingle sets, and links are united.
@@ -315,23 +315,24 @@ def _joins(tiled: DataFrame, percent: int) -> DataFrame:
 def _decided(
     docs: DataFrame, key: str, text: str, words: int, percent: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (_key, _hash, n, node), classes (node, component) and groups (component, least, keeper).
+    """Rows (_key, _hash, n, low, high), classes (low, high, component) and groups.
 
-    ``keeper`` is the least (none, _key, _hash) of a group, a null key being the largest.
+    Groups are (component, least, keeper); ``keeper`` is the least (none, _key, _hash) of a
+    group, a null key being the largest.
     """
-    rows = stage(sketches(docs, key, text, words), "sketches").withColumn(
-        "node", F.xxhash64("low", "high")
-    )
+    rows = stage(sketches(docs, key, text, words), "sketches")
+    # Written as they are numbered, so that a number stays with its class whatever is lost.
     classes = stage(
         rows.filter("n > 0")
-        .groupBy("node")
+        .groupBy("low", "high")
         .agg(
             F.min("_key").alias("first"),
             F.min(F.struct("_key", "_hash")).alias("rep"),
             F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_hash")).alias("keeper"),
             F.first("n").alias("n"),
             F.first("sig").alias("sig"),
-        ),
+        )
+        .withColumn("node", F.monotonically_increasing_id() + 1),
         "classes",
     )
     width = 2 * BAND_SLOTS
@@ -408,18 +409,16 @@ def _decided(
     joins = stage(_joins(_tiles(full.drop("rep"), ["n", "sig", "shingles"]), percent), "joins")
     joined = stage(connected_components(narrow(joins, count)), "joined")
     labels = stage(
-        classes.select("node")
+        classes.select("node", "low", "high", "first", "keeper")
         .join(stars, "node", "left")
-        .select("node", label)
+        .select("low", "high", "first", "keeper", label)
         .join(joined.select(F.col("node").alias("label"), "component"), "label", "left")
-        .select("node", F.coalesce("component", "label").alias("component")),
+        .select("low", "high", "first", "keeper", F.coalesce("component", "label").alias("component")),
         "labels",
     )
     # The least key of each group, over classes: one row per different text.
     least = stage(
-        classes.select("node", "first", "keeper")
-        .join(labels, "node")
-        .groupBy("component")
+        labels.groupBy("component")
         .agg(F.min("first").alias("least"), F.min("keeper").alias("keeper")),
         "least-keys",
     )
@@ -443,10 +442,10 @@ def near_duplicates(
     exactly the least similarity, and less above it.
     """
     rows, labels, groups = _decided(docs, key, text, words, percent)
-    answers = stage(labels.join(groups, "component").select("node", "least"), "answers")
+    answers = stage(labels.join(groups, "component").select("low", "high", "least"), "answers")
     return (
-        rows.select("_key", "n", "node")
-        .join(answers, "node", "left")
+        rows.select("_key", "n", "low", "high")
+        .join(answers, ["low", "high"], "left")
         .withColumn("component_id", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("_key")))
         .select(
             F.col("_key").alias(key),
