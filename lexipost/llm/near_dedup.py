@@ -35,7 +35,7 @@ BAND_SLOTS = 4
 #: Bands find such a pair but for (1 - 0.8^4)^32 = 5 in 10^8.
 LEAST_EQUAL = 80
 TILE = 512  # members on each side of a tile
-TILES_OF_TASK = 16  # comparisons of TILE by TILE members
+TILES_OF_TASK = 16  # full tiles, or as many comparisons in smaller ones
 _AT_ONCE = 16  # sets that a member of a tile is compared with before labels are looked at
 _CHUNK = 150_000  # shingles whose signatures are computed at once
 _READ_BYTES = 4 << 20
@@ -181,26 +181,31 @@ def _tiles(members: DataFrame, columns: list[str]) -> DataFrame:
     chunks = F.expr(f"(sum(size) + {TILE - 1}) div {TILE}")
     layout = stage(
         keyed.groupBy("part", "pool")
-        .agg(chunks.alias("chunks"), F.count("*").alias("labels"))
+        .agg(
+            chunks.alias("chunks"),
+            F.count("*").alias("labels"),
+            F.sum("size").cast("double").alias("rows"),
+        )
         .groupBy("part")
         .agg(
             F.collect_list(F.struct("pool", "chunks")).alias("layout"),
             F.sum("labels").alias("labels"),
+            F.expr("sum(rows) * sum(rows) - sum(if(pool = 0, 0, rows * rows))").alias("met"),
         )
         .filter("labels > 1")
-        .select("part", "layout"),
+        .select("part", "layout", "met"),
         "tile-layout",
     )
-    # The work of a part is the square of its chunks, which the bytes of a shuffle do not say.
-    of_part = F.expr("aggregate(layout, 0L, (n, x) -> n + x.chunks)")
-    tiles = layout.agg(F.sum(of_part * (of_part + 1) / 2)).first()[0] or 0
+    # The work is the number of comparisons, which neither bytes nor the number of tiles say:
+    # most parts are a few rows in one tile.
+    full = (layout.agg(F.sum("met")).first()[0] or 0) / 2 / TILE**2
     spark = members.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(tiles // TILES_OF_TASK))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(full // TILES_OF_TASK))
     at = F.expr("filter(layout, x -> x.pool = pool)[0].chunks")
     placed = (
         members.join(sizes, ["part", "label"])
         .withColumn("pool", own.cast("bigint"))
-        .join(layout, "part")
+        .join(layout.drop("met"), "part")
         .withColumn("chunk", F.xxhash64("pool", F.pmod(F.xxhash64("node"), at)))
     )
     others = F.expr(
