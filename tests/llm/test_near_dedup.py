@@ -125,6 +125,20 @@ def test_tiles_bring_all_pairs_of_different_labels_together(spark, monkeypatch):
     assert not big and 90 not in {r.node for m in tiles.values() for r in m}
 
 
+def test_tasks_follow_comparisons(spark, monkeypatch):
+    """Many small parts need no more tasks, a large one does, and a group of its own does not."""
+    monkeypatch.setattr(near_dedup, "TILE", 4)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = "part bigint, node bigint, label bigint"
+
+    def tasks(rows):
+        return _tiles(spark.createDataFrame(rows, schema), []).rdd.getNumPartitions()
+
+    assert tasks([(i // 2, i, i) for i in range(200)]) == least
+    assert tasks([(1, i, i) for i in range(200)]) == 200 * 200 // 2 // 16 // near_dedup.TILES_OF_TASK
+    assert tasks([(1, i, 7) for i in range(200)] + [(1, 900, 900)]) == least
+
+
 def test_components_of_a_chain_a_star_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)]
     edges += [(200, 200), (5, 4), (None, 3), (301, 300), (300, 301)]
