@@ -2,52 +2,139 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexipost.functions import codes
-from lexipost.operators.gaps import gaps, gaps_to_postings, previous_ids
+from lexipost.operators.gaps import gaps_to_postings, previous_ids
+from lexipost.operators.inversion import posting_lists
 from lexipost.session import stage
 
 
-def _joined(code: Column) -> Column:
-    """The ``code`` texts of a group in document order.
+_SHARED_BITS = 7  # most bits of a byte that may belong to later chunks
+
+
+def _id_lists(postings: DataFrame) -> DataFrame:
+    """(term_id, chunk, doc_ids) with what no code can hold turned away.
 
-    A group is one chunk, so the sorted array has a bounded length.
+    A chunk is one array of ids, so that one shuffle of ids finds them together and
+    neither gaps nor codes are sorted or shuffled.
     """
-    items = F.sort_array(F.collect_list(F.struct(F.col("doc_id"), code.alias("code"))))
-    return F.array_join(F.transform(items, lambda item: item["code"]), "")
+    doc_id = F.col("doc_id")
+    checked = F.when(doc_id >= 0, doc_id).otherwise(_refused())
+    return posting_lists(postings.select("term_id", "chunk", checked.alias("doc_id")))
 
 
-_SHARED_BITS = 7  # most bits of a byte that may belong to later chunks
+def _refused() -> Column:
+    return F.raise_error(F.lit("postings must be distinct and not negative")).cast("bigint")
+
+
+def _gap(doc_id: Column, before: Column) -> Column:
+    return F.when(doc_id > before, doc_id - before).otherwise(_refused())
+
+
+def _later_gaps(ids: Column) -> Column:
+    """The gaps of a chunk but its first, which is measured from the chunk before."""
+    before = F.slice(ids, F.lit(1), F.size(ids) - 1)
+    return F.zip_with(F.slice(ids, F.lit(2), F.size(ids)), before, _gap)
+
+
+def _joined(values: Column, code: Callable[[Column], Column]) -> Column:
+    return F.array_join(F.transform(values, code), "")
 
 
-def _gamma_payloads(packed: DataFrame) -> DataFrame:
-    """Chunks with bit text as ``payload``, all of long lists, to hex.
+def _gap_chunks(postings: DataFrame, codec: str) -> DataFrame:
+    """Chunks of gap codes; the first gap of a list is from the base of its codec.
+
+    Chunks are staged with the codes of all gaps but their first. What that is measured
+    from is the last id of the chunk before: the window of a list sees the ends of its
+    chunks and never a payload, and only lists that were cut pass it.
+    """
+    start, code = (
+        (codes.VB_BASE, codes.vb_code) if codec == "vb" else (codes.GAMMA_BASE, codes.gamma_code)
+    )
+    chunks = stage(
+        _id_lists(postings)
+        .select(
+            "term_id",
+            "chunk",
+            F.size("doc_ids").cast("bigint").alias("n_postings"),
+            F.element_at("doc_ids", 1).alias("first_doc"),
+            F.element_at("doc_ids", -1).alias("last_doc"),
+            _joined(_later_gaps(F.col("doc_ids")), code).alias("payload"),
+        )
+        .withColumn("_bits", F.length("payload"))
+        .withColumn("_head", F.substring("payload", 1, _SHARED_BITS)),
+        "gap-chunks",
+    )
+    columns = [
+        "term_id", "chunk", "base", "n_postings", "first_doc", "last_doc", "lead", "payload",
+    ]
+    first = code(F.col("first_doc") - start)
+    whole = chunks.filter("chunk = 0").select(
+        "*",
+        F.lit(start).cast("bigint").alias("base"),
+        F.lit("").alias("lead"),
+        F.concat(first, "payload").alias("_code"),
+    )
+    cut = chunks.filter("chunk > 0")
+    in_list = Window.partitionBy("term_id").orderBy("chunk")
+    ends = cut.select(
+        "term_id",
+        "chunk",
+        "first_doc",
+        F.lag("last_doc").over(in_list).alias("_prev"),
+        "_bits",
+        "_head",
+    )
+    gap = F.when(F.col("_prev").isNull(), F.col("first_doc") - start).otherwise(
+        _gap(F.col("first_doc"), F.col("_prev"))
+    )
+    ends = ends.withColumn("_first", code(gap)).withColumn(
+        "base", F.coalesce("_prev", F.lit(start).cast("bigint"))
+    )
+    if codec == "vb":
+        seams = ends.select("term_id", "chunk", "base", "_first")
+        placed = cut.join(seams, ["term_id", "chunk"]).select(
+            "*", F.lit("").alias("lead"), F.concat("_first", "payload").alias("_code")
+        )
+        rows = whole.drop("payload").withColumnRenamed("_code", "payload").select(columns)
+        return rows.unionByName(
+            placed.drop("payload").withColumnRenamed("_code", "payload").select(columns)
+        )
+    whole = whole.withColumn("payload", codes.bits_to_hex(F.col("_code"))).select(columns)
+    return whole.unionByName(_gamma_payloads(cut, ends).select(columns))
+
+
+def _gamma_payloads(cut: DataFrame, ends: DataFrame) -> DataFrame:
+    """Chunks of long lists with their bits to hex.
 
     The bits of a list run on over its chunks. A chunk owns the bytes whose first bit it
     holds, and completes its last byte from the chunks after it; at least one bit stands
-    in each, so seven are enough. Only the end of the list is filled up. The chunks are
-    staged: the window of a list sees a length and seven bits of each, and payloads meet
-    what it found chunk by chunk.
+    in each, so seven are enough. Only the end of the list is filled up. The window of a
+    list sees a length and seven bits of each chunk; payloads meet what it found chunk by
+    chunk.
     """
-    cut = stage(
-        packed.withColumn("_bits", F.length("payload")).withColumn(
-            "_head", F.substring("payload", 1, _SHARED_BITS)
-        ),
-        "gamma-chunks",
-    )
     in_list = Window.partitionBy("term_id").orderBy("chunk")
+    ends = ends.withColumn("_bits", F.col("_bits") + F.length("_first")).withColumn(
+        "_head", F.substring(F.concat("_first", "_head"), 1, _SHARED_BITS)
+    )
     before = F.sum("_bits").over(in_list.rowsBetween(Window.unboundedPreceding, -1))
     later = [F.lead("_head", k).over(in_list) for k in range(1, _SHARED_BITS + 1)]
-    seams = cut.select(
+    seams = ends.select(
         "term_id",
         "chunk",
+        "base",
+        "_first",
         F.pmod(-F.coalesce(before, F.lit(0)), F.lit(8)).cast("int").alias("_shared"),
         F.concat_ws("", *later).alias("_later"),
     )
-    placed = cut.drop("_head").join(seams, ["term_id", "chunk"])
-    own = F.substring("payload", F.col("_shared") + 1, F.col("_bits"))
+    placed = cut.join(seams, ["term_id", "chunk"]).withColumn(
+        "_code", F.concat("_first", "payload")
+    )
+    own = F.substring("_code", F.col("_shared") + 1, F.length("_code"))
     missing = F.when(own == "", 0).otherwise(F.pmod(-F.length(own), F.lit(8)))
     full = F.concat(own, F.substring(F.col("_later"), F.lit(1), missing))
     return placed.select(
@@ -57,7 +144,7 @@ def _gamma_payloads(packed: DataFrame) -> DataFrame:
         "n_postings",
         "first_doc",
         "last_doc",
-        F.substring("payload", F.lit(1), F.col("_shared")).alias("lead"),
+        F.substring("_code", F.lit(1), F.col("_shared")).alias("lead"),
         codes.bits_to_hex(full).alias("payload"),
     )
 
@@ -71,27 +158,18 @@ def encode(postings: DataFrame, codec: str) -> DataFrame:
     that stand in the last byte of the chunk before, so that a chunk can be decoded alone.
     """
     codes.check_codec(codec)
-    if codec == "raw":
-        rows = postings.select(
-            "term_id", "chunk", "doc_id", F.lit(0).cast("bigint").alias("prev"),
-            codes.raw_code(F.col("doc_id")).alias("code"),
-        )
-    elif codec == "vb":
-        rows = gaps(postings, codes.VB_BASE).withColumn("code", codes.vb_code(F.col("gap")))
-    else:
-        rows = gaps(postings, codes.GAMMA_BASE).withColumn("code", codes.gamma_code(F.col("gap")))
-    packed = rows.groupBy("term_id", "chunk").agg(
-        F.min("prev").alias("base"),
-        F.count("*").alias("n_postings"),
-        F.min("doc_id").alias("first_doc"),
-        F.max("doc_id").alias("last_doc"),
+    if codec != "raw":
+        return _gap_chunks(postings, codec)
+    return posting_lists(postings).select(
+        "term_id",
+        "chunk",
+        F.lit(0).cast("bigint").alias("base"),
+        F.size("doc_ids").cast("bigint").alias("n_postings"),
+        F.element_at("doc_ids", 1).alias("first_doc"),
+        F.element_at("doc_ids", -1).alias("last_doc"),
         F.lit("").alias("lead"),
-        _joined(F.col("code")).alias("payload"),
+        _joined(F.col("doc_ids"), codes.raw_code).alias("payload"),
     )
-    if codec != "gamma":
-        return packed
-    whole = packed.filter("chunk = 0").withColumn("payload", codes.bits_to_hex(F.col("payload")))
-    return whole.unionByName(_gamma_payloads(packed.filter("chunk > 0").drop("lead")))
 
 
 def decode(encoded: DataFrame, codec: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 Posting rows are flat. A list that has more than ``chunk_docs`` postings is cut
 into chunks by document-id range, numbered from 1; any other list is chunk 0.
-Whatever works per (term_id, chunk) therefore never sees more than ``chunk_docs``
-rows in a group, and short lists stay in one piece.
+A range is wider where a list is sparse, so that the number of chunks follows that of
+the postings and not that of the documents. Whatever works per (term_id, chunk) never
+sees more rows in a group than ``widest_range(chunk_docs)``, and short lists stay in one
+piece.
 """
 
 from __future__ import annotations
@@ -14,35 +16,57 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexipost.functions.numbers import whole_div
 from lexipost.operators.dictionary import doc_term_pairs
 from lexipost.operators.skew import join_weighted
 
 CHUNK_DOCS = 1 << 16
 
 
-def range_chunk(chunk_docs: int) -> Column:
-    """The chunk of a row in a list that is too long for one piece."""
-    return whole_div("doc_id", chunk_docs) + 1
+def _doublings(chunk_docs: int) -> int:
+    """How often a range of ``chunk_docs`` documents may double: up to 65,536 of them."""
+    return max(0, (CHUNK_DOCS // chunk_docs).bit_length() - 1)
 
 
-def chunk_of(df: Column, chunk_docs: int) -> Column:
-    return F.when(df > chunk_docs, range_chunk(chunk_docs)).otherwise(F.lit(0)).cast("bigint")
+def widest_range(chunk_docs: int) -> int:
+    """Documents in the widest range of a chunk; all narrower ones divide it."""
+    return chunk_docs << _doublings(chunk_docs)
+
+
+def range_docs(df: Column, chunk_docs: int, n_docs: int) -> Column:
+    """Documents in each range of a list that has ``df`` of ``n_docs`` documents.
+
+    The widest of the allowed ranges that hold ``chunk_docs`` postings at most if the list
+    is spread evenly.
+    """
+    width = F.lit(chunk_docs)
+    for k in range(1, _doublings(chunk_docs) + 1):
+        width = F.when(df <= (n_docs >> k), F.lit(chunk_docs << k)).otherwise(width)
+    return width
+
+
+def chunk_of(df: Column, chunk_docs: int, n_docs: int = 0) -> Column:
+    """The chunk of a row; without ``n_docs``, ranges are ``chunk_docs`` documents each."""
+    place = F.call_function("div", F.col("doc_id"), range_docs(df, chunk_docs, n_docs)) + 1
+    return F.when(df > chunk_docs, place).otherwise(F.lit(0)).cast("bigint")
 
 
 def invert(
-    forward: DataFrame, lexicon: DataFrame, chunk_docs: int = CHUNK_DOCS, keep: Sequence[str] = ()
+    forward: DataFrame,
+    lexicon: DataFrame,
+    chunk_docs: int = CHUNK_DOCS,
+    keep: Sequence[str] = (),
+    n_docs: int = 0,
 ) -> DataFrame:
     """Posting rows (block, term_id, chunk, doc_id) of a forward table.
 
     ``lexicon.df`` is the document frequency over ``forward``: it tells where lists are
-    cut and which terms are heavy in the join. ``keep`` names columns of the lexicon that
-    the rows take along.
+    cut and which terms are heavy in the join. ``n_docs`` is the number of documents there.
+    ``keep`` names columns of the lexicon that the rows take along.
     """
     pairs = doc_term_pairs(forward).select("doc_id", "block", "term")
     terms = lexicon.select("term", "term_id", "df", *[k for k in keep if k != "df"])
     return join_weighted(pairs, terms, "term", "df").select(
-        "block", "term_id", chunk_of(F.col("df"), chunk_docs).alias("chunk"), "doc_id", *keep
+        "block", "term_id", chunk_of(F.col("df"), chunk_docs, n_docs).alias("chunk"), "doc_id", *keep
     )
 
 
@@ -70,15 +94,20 @@ def document_frequency(postings: DataFrame) -> DataFrame:
 
 
 def add_chunks(
-    rows: DataFrame, lexicon: DataFrame, chunk_docs: int = CHUNK_DOCS, keep: Sequence[str] = ()
+    rows: DataFrame,
+    lexicon: DataFrame,
+    chunk_docs: int = CHUNK_DOCS,
+    keep: Sequence[str] = (),
+    n_docs: int = 0,
 ) -> DataFrame:
     """Chunk numbers for rows (term_id, doc_id), from the whole lists' (term_id, df).
 
+    ``n_docs`` is the number of documents that the lists are spread over.
     ``keep`` names columns of ``lexicon``, which is read several times, to take along.
     """
     lists = lexicon.select("term_id", "df", *[k for k in keep if k != "df"])
     return join_weighted(rows.select("term_id", "doc_id"), lists, "term_id", "df").select(
-        "term_id", chunk_of(F.col("df"), chunk_docs).alias("chunk"), "doc_id", *keep
+        "term_id", chunk_of(F.col("df"), chunk_docs, n_docs).alias("chunk"), "doc_id", *keep
     )
 
 

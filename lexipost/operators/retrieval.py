@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexipost.functions.literals import MOST_LITERALS, one_of
+from lexipost.functions.numbers import whole_div
 from lexipost.functions.text import distinct_tokens, document_path
 from lexipost.operators.dictionary import piece_of
-from lexipost.operators.inversion import CHUNK_DOCS, range_chunk
+from lexipost.operators.inversion import CHUNK_DOCS, widest_range
 from lexipost.operators.skew import BATCH_ROWS, BROADCAST_ROWS, fetch_batch, join_weighted
 from lexipost.session import stage
 
@@ -204,15 +205,20 @@ def chunks_holding(index: TextIndex, term_ids: list[int], checks: DataFrame) ->
     ``checks`` has (term_id, doc_id) rows of these terms and is small enough to broadcast,
     or not marked so. They meet what a chunk says of itself, (term_id, chunk, first_doc,
     last_doc), which is read without its payload. Only chunks that span one of the documents
-    are then read whole and decoded. A list is in one piece, 0, or cut at documents.
+    are then read whole and decoded. A list is in one piece, 0, or cut at documents, and a
+    chunk never passes the widest range.
     """
-    pieces = F.array(F.lit(0).cast("bigint"), range_chunk(index.meta.chunk_docs).cast("bigint"))
-    asked = checks.select("term_id", "doc_id", F.explode(pieces).alias("chunk"))
+    def reach(doc_id: str) -> Column:
+        return whole_div(doc_id, widest_range(index.meta.chunk_docs)) + 1
+
+    pieces = F.array(F.lit(0).cast("bigint"), reach("doc_id"))
+    asked = checks.select("term_id", "doc_id", F.explode(pieces).alias("_piece"))
     kept = []
     for stored in index.stored_of(term_ids):
         spans = stored.select("term_id", "chunk", "first_doc", "last_doc")
         met = (
-            spans.join(asked, ["term_id", "chunk"])
+            spans.withColumn("_piece", F.when(F.col("chunk") == 0, 0).otherwise(reach("first_doc")))
+            .join(asked, ["term_id", "_piece"])
             .filter("doc_id between first_doc and last_doc")
             .select("term_id", "chunk")
             .distinct()

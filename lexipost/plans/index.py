@@ -96,7 +96,8 @@ class TextIndex:
         rows = self.rows(self.stored())
         if len(self.meta.segments) == 1:
             return rows
-        return add_chunks(rows, stage(self.lexicon, "lexicon"), self.meta.chunk_docs)
+        lexicon, meta = stage(self.lexicon, "lexicon"), self.meta
+        return add_chunks(rows, lexicon, meta.chunk_docs, n_docs=meta.n_docs)
 
     def scan(self) -> DataFrame:
         """(term_id, doc_id) in order of both."""
@@ -184,7 +185,7 @@ def build_index(
     n_terms, n_postings = _totals(lexicon)
     n_shards = n_shards or sinks.default_shards(n_postings)
     places = list_places(lexicon, n_terms, n_shards)
-    postings = invert(forward, places, chunk_docs, ["df", "start"])
+    postings = invert(forward, places, chunk_docs, ["df", "start"], n_docs)
     layout = layout_of(spark, n_shards, n_docs, n_postings, chunk_docs)
     sinks.write_postings(postings, tables, layout, places, codec)
     meta = IndexMeta(
@@ -225,7 +226,9 @@ def extend_index(index: TextIndex, documents: DataFrame, path: str | None = None
     n_terms = old.n_terms + new_terms
     # The places of the segment's own lists; ids that it does not use leave no gap.
     places = list_places(own, n_terms, old.n_shards)
-    postings = invert(forward, places, old.chunk_docs, ["df", "start"])
+    postings = invert(
+        forward, places, old.chunk_docs, ["df", "start"], n_docs - old.n_docs
+    )
     layout = layout_of(spark, old.n_shards, n_docs, n_postings, old.chunk_docs)
     sinks.write_postings(postings, tables, layout, places, old.codec)
     meta = IndexMeta(
@@ -262,7 +265,7 @@ def _written_whole(
     n_shards = n_shards or sinks.default_shards(n_postings)
     places = list_places(sources.read_lexicon(spark, tables), n_terms, n_shards)
     layout = layout_of(spark, n_shards, n_docs, n_postings, chunk_docs)
-    postings = add_chunks(rows, places, chunk_docs, ["df", "start"])
+    postings = add_chunks(rows, places, chunk_docs, ["df", "start"], n_docs)
     sinks.write_postings(postings, tables, layout, places, codec)
     meta = IndexMeta(
         n_docs, n_terms, n_postings, n_shards, chunk_docs, piece_docs, codec, (segment,)

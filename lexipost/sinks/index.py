@@ -74,7 +74,7 @@ def write_postings(
     else:
         encoded = encode(postings, codec).withColumn("payload", F.unhex("payload"))
         rows, last = encoded.join(places.select("term_id", "df", "start"), "term_id"), "chunk"
-        first = F.greatest(F.col("chunk") - 1, F.lit(0)) * layout.chunk_docs
+        first = F.when(F.col("chunk") > 0, F.col("first_doc")).otherwise(F.lit(0))
         part = layout.part(F.col("df"), F.col("start"), first)
         columns = encoded.columns
     order = ["shard", "term_id", last]

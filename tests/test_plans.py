@@ -213,3 +213,28 @@ def test_lexicon_files_have_bloom_filters(spark, index):
         names = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in columns}
         reader.close()
         assert names["term"] > 0 and names["df"] < 0
+
+
+@pytest.mark.parametrize("codec", CODECS)
+def test_chunks_follow_the_postings_and_not_the_documents(spark, codec):
+    """Eight postings over 64 documents are two chunks of four, not one for each posting."""
+    rows = [("b", f"{i:02d}", f"all w{i}" + (" some" if i % 8 == 5 else "")) for i in range(64)]
+    index = build_index(toy.frame(spark, rows), new_stage_path(spark, "plans"), codec, chunk_docs=4)
+    ids = {r.term: r.term_id for r in index.lexicon.collect()}
+    found = index.postings().filter(F.col("term_id") == ids["some"]).collect()
+    assert sorted((r.chunk, r.doc_id) for r in found) == [
+        (i // 32 + 1, i) for i in range(64) if i % 8 == 5
+    ]
+    batch = queries_from_rows(spark, [(1, "some all"), (2, "w13 some"), (3, "w14 some")])
+    want = [(1, i) for i in range(64) if i % 8 == 5] + [(2, 13)]
+    for cap in (0, 1000):
+        hits = retrieval.retrieve_rarest_first(index, batch, cap).collect()
+        assert sorted((r.qid, r.doc_id) for r in hits) == want
+
+
+@pytest.mark.parametrize("codec", ["vb", "gamma"])
+def test_postings_are_encoded_in_one_pass(spark, codec):
+    """Whole and cut lists come from one staged table, and no window sees single postings."""
+    rows = spark.range(0, 400).selectExpr("id % 3 as term_id", "id % 3 * (id div 50 + 1) as chunk", "id as doc_id")
+    plan = _plan(codecs.encode(rows, codec))
+    assert "gap-chunks" in plan and "Range (" not in plan
