@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexipost.functions import codes
-from lexipost.operators.gaps import gaps_to_postings, previous_ids
+from lexipost.operators.gaps import chunk_marks, gaps_to_postings
 from lexipost.operators.inversion import posting_lists
 from lexipost.session import stage
 
@@ -213,22 +213,31 @@ def _decoded(payload: Column, codec: str, count: Column) -> Column:
 def round_trip(postings: DataFrame) -> DataFrame:
     """Per codec, the postings and how many differ after encoding and decoding.
 
-    Every chunk becomes one array, by one scan and one shuffle; the three codecs are
-    applied to it, undone and compared inside the row. What the codes hold is compared:
-    ids for raw, gaps for the others, each chunk coded by itself.
+    Every chunk becomes one array of ids, by one shuffle in which what its first gap is
+    measured from travels as a row of its own; the three codecs are applied to it, undone
+    and compared inside the row. What the codes hold is compared: ids for raw, gaps for
+    the others, each chunk coded by itself.
     """
-    ids, prev = (lambda p: p["doc_id"]), (lambda p: p["prev"])
+    none = F.lit(None).cast("bigint")
+    doc_id = F.col("doc_id")
+    checked = F.when(doc_id >= 0, doc_id).otherwise(_refused()).alias("doc_id")
+    rows = postings.select("term_id", "chunk", checked, none.alias("prev"))
+    marks = chunk_marks(postings).select(
+        "term_id", "chunk", none.alias("doc_id"), F.col("doc_id").alias("prev")
+    )
     lists = (
-        previous_ids(postings)
+        rows.unionByName(marks)
         .groupBy("term_id", "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "prev"))).alias("items"))
-        .withColumn("n", F.size("items"))
-    )
-    values = {
-        "raw": F.transform("items", ids),
-        "vb": F.transform("items", lambda p: ids(p) - F.coalesce(prev(p), F.lit(codes.VB_BASE))),
-        "gamma": F.transform("items", lambda p: ids(p) - F.coalesce(prev(p), F.lit(codes.GAMMA_BASE))),
-    }
+        .agg(F.sort_array(F.collect_list("doc_id")).alias("raw"), F.max("prev").alias("prev"))
+        .withColumn("n", F.size("raw"))
+    )
+    first = F.element_at("raw", 1)
+
+    def gapped(base: int) -> Column:
+        start = F.when(F.col("prev").isNull(), first - base).otherwise(_gap(first, F.col("prev")))
+        return F.concat(F.array(start), _later_gaps(F.col("raw")))
+
+    values = {"raw": F.col("raw"), "vb": gapped(codes.VB_BASE), "gamma": gapped(codes.GAMMA_BASE)}
     arrays = lists.select("n", *[v.alias(c) for c, v in values.items()])
     coded = arrays.select("*", *[_coded(F.col(c), c).alias(f"{c}_payload") for c in codes.CODECS])
     wrong = [

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexipost.functions.codes import VB_BASE
 
 
-def _chunk_marks(postings: DataFrame) -> DataFrame:
+def chunk_marks(postings: DataFrame) -> DataFrame:
     """For every chunk but the first of a long list, the last id of the one before.
 
     Only lists that were cut have rows here, one per chunk.
@@ -38,7 +38,7 @@ def previous_ids(postings: DataFrame) -> DataFrame:
     a mark row ahead of its postings, so carrying it over takes no join.
     """
     rows = postings.select("term_id", "chunk", "doc_id", F.lit(False).alias("mark"))
-    marks = _chunk_marks(postings).select("term_id", "chunk", "doc_id", F.lit(True).alias("mark"))
+    marks = chunk_marks(postings).select("term_id", "chunk", "doc_id", F.lit(True).alias("mark"))
     in_chunk = Window.partitionBy("term_id", "chunk").orderBy("doc_id")
     return (
         rows.unionByName(marks)

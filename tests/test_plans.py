@@ -238,3 +238,12 @@ def test_postings_are_encoded_in_one_pass(spark, codec):
     rows = spark.range(0, 400).selectExpr("id % 3 as term_id", "id % 3 * (id div 50 + 1) as chunk", "id as doc_id")
     plan = _plan(codecs.encode(rows, codec))
     assert "gap-chunks" in plan and "Range (" not in plan
+
+
+def test_round_trip_sorts_no_single_postings(spark):
+    rows = spark.range(0, 400).selectExpr("id % 3 as term_id", "id div 50 + 1 as chunk", "id as doc_id")
+    plan = _plan(codecs.round_trip(rows))
+    for line in plan.splitlines():
+        if "Window [" in line:
+            assert "lead(chunk" in line  # over the chunks of a list
+    assert {tuple(r)[1:] for r in codecs.round_trip(rows).collect()} == {(400, 0)}
