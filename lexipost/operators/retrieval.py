@@ -68,14 +68,16 @@ def _known_terms(lexicon: DataFrame, asked: DataFrame, terms: set[str]) -> DataF
 class ResolvedBatch:
     """Answerable queries: (qid, terms), terms an array of (df, term_id), rarest first.
 
-    A small batch, of checked size, also lists the ids of the rarest terms and of
-    the others. ``lead_rows`` is then the number of postings of the rarest terms,
-    which bounds the results, and ``check_rows`` that of the memberships to check.
+    A small batch, of checked size, also lists the ids of the rarest terms, of the second
+    rarest and of all but the rarest. ``lead_rows`` is then the number of postings of the
+    rarest terms, which bounds the results, and ``check_rows`` that of the memberships to
+    check.
     """
 
     queries: DataFrame
     small: bool = False
     lead_ids: list[int] = field(default_factory=list)
+    second_ids: list[int] = field(default_factory=list)
     other_ids: list[int] = field(default_factory=list)
     lead_rows: int = 0
     check_rows: int = 0
@@ -113,6 +115,7 @@ def resolve(lexicon: DataFrame, queries: DataFrame, cap: int = BATCH_ROWS) -> Re
             spark.createDataFrame(plans, _RESOLVED),
             True,
             sorted({plan.terms[0].term_id for plan in plans}),
+            sorted({plan.terms[1].term_id for plan in plans if len(plan.terms) > 1}),
             sorted({term.term_id for plan in plans for term in plan.terms[1:]}),
             sum(plan.terms[0].df for plan in plans),
             sum(plan.terms[0].df * (len(plan.terms) - 1) for plan in plans),
@@ -233,19 +236,26 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
         F.element_at("terms.term_id", 1).alias("term_id"),
         F.slice("terms.term_id", F.lit(2), F.size("terms")).alias("others"),
     )
-    spans = batch.small and index.meta.codec != "rows"
     if batch.small:
         leads = index.postings_of(batch.lead_ids).join(F.broadcast(plans), "term_id")
-        if spans:  # read again by the chunks of the other lists
-            leads = stage(leads.select("qid", "doc_id", "others"), "candidates")
-        else:
-            lists = index.postings_of(batch.other_ids)
     else:
-        lists = _asked_lists(index, _asked_terms(batch))
-        leads = stage(_meet(lists, plans).select("qid", "doc_id", "others"), "candidates")
+        asked = _asked_lists(index, _asked_terms(batch))
+        leads = _meet(asked, plans)
+
+    def lists_of(term_ids: list[int], checks: DataFrame) -> DataFrame:
+        if not batch.small:
+            return asked
+        if index.meta.codec != "rows":
+            return chunks_holding(index, term_ids, checks)
+        return index.postings_of(term_ids)
+
+    narrow = not batch.small or batch.check_rows > BROADCAST_ROWS
+    if narrow or index.meta.codec != "rows":  # read more than once
+        leads = stage(leads.select("qid", "doc_id", "others"), "candidates")
     single = leads.filter(F.size("others") == 0).select("qid", "doc_id")
     paired = leads.filter(F.size("others") > 0)
-    if not batch.small:
+    known = batch.small and not narrow
+    if narrow:
         # The second shortest list first: what it leaves is what meets the longer ones.
         second = paired.select(
             "qid",
@@ -253,21 +263,26 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
             F.element_at("others", 1).alias("term_id"),
             F.slice("others", F.lit(2), F.size("others")).alias("others"),
         )
+        if batch.small and batch.lead_rows <= BROADCAST_ROWS:
+            second = F.broadcast(second)
         left = stage(
-            lists.select("term_id", "doc_id")
+            lists_of(batch.second_ids, second)
+            .select("term_id", "doc_id")
             .join(second, ["term_id", "doc_id"])
             .select("qid", "doc_id", "others"),
             "narrowed",
         )
         single = single.unionByName(left.filter(F.size("others") == 0).select("qid", "doc_id"))
         paired = left.filter(F.size("others") > 0)
+        if batch.small:
+            rows = paired.agg(F.coalesce(F.sum(F.size("others")), F.lit(0))).first()[0]
+            known = rows <= BROADCAST_ROWS
     checks = paired.select(
         "qid", "doc_id", F.size("others").alias("n_others"), F.explode("others").alias("term_id")
     )
-    if batch.small and batch.check_rows <= BROADCAST_ROWS:
+    if known:
         checks = F.broadcast(checks)
-    if spans:
-        lists = chunks_holding(index, batch.other_ids, checks)
+    lists = lists_of(batch.other_ids, checks)
     confirmed = (
         lists.select("term_id", "doc_id")
         .join(checks, ["term_id", "doc_id"])

@@ -247,3 +247,21 @@ def test_round_trip_sorts_no_single_postings(spark):
         if "Window [" in line:
             assert "lead(chunk" in line  # over the chunks of a list
     assert {tuple(r)[1:] for r in codecs.round_trip(rows).collect()} == {(400, 0)}
+
+
+@pytest.mark.parametrize("codec", ["rows", "vb"])
+def test_small_batches_with_many_candidates_narrow_them_first(spark, codec, monkeypatch):
+    """Candidates meet the second shortest list before all the longer ones."""
+    rows = [("b", f"{i:03d}", "a b c " + ("d e" if i % 3 else "d") + f" w{i}") for i in range(60)]
+    index = build_index(toy.frame(spark, rows), new_stage_path(spark, "plans"), codec, chunk_docs=8)
+    batch = queries_from_rows(spark, [(1, "a b e c"), (2, "w7 e a"), (3, "w9 e a"), (4, "w3"), (5, "e w8")])
+    want = [(1, i) for i in range(60) if i % 3] + [(2, 7), (4, 3), (5, 8)]
+    staged = []
+    real = retrieval.stage
+    monkeypatch.setattr(retrieval, "stage", lambda df, label: staged.append(label) or real(df, label))
+    for bound in (30, 60, 10_000):
+        monkeypatch.setattr(retrieval, "BROADCAST_ROWS", bound)
+        staged.clear()
+        hits = retrieval.retrieve_rarest_first(index, batch).collect()
+        assert sorted((r.qid, r.doc_id) for r in hits) == want
+        assert ("narrowed" in staged) == (bound < 10_000)
