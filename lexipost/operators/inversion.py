@@ -65,7 +65,7 @@ def invert(
     """
     pairs = doc_term_pairs(forward).select("doc_id", "block", "term")
     terms = lexicon.select("term", "term_id", "df", *[k for k in keep if k != "df"])
-    return join_weighted(pairs, terms, "term", "df").select(
+    return join_weighted(pairs, terms, "term", "df", whole=True).select(
         "block", "term_id", chunk_of(F.col("df"), chunk_docs, n_docs).alias("chunk"), "doc_id", *keep
     )
 
@@ -106,13 +106,18 @@ def add_chunks(
     ``keep`` names columns of ``lexicon``, which is read several times, to take along.
     """
     lists = lexicon.select("term_id", "df", *[k for k in keep if k != "df"])
-    return join_weighted(rows.select("term_id", "doc_id"), lists, "term_id", "df").select(
+    found = join_weighted(rows.select("term_id", "doc_id"), lists, "term_id", "df", whole=True)
+    return found.select(
         "term_id", chunk_of(F.col("df"), chunk_docs, n_docs).alias("chunk"), "doc_id", *keep
     )
 
 
-def posting_lists(postings: DataFrame) -> DataFrame:
-    """(term_id, chunk, doc_ids): ascending arrays, each at most a chunk long."""
+def posting_lists(postings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(term_id, chunk, doc_ids): ascending arrays, each at most a chunk long.
+
+    ``keep`` names columns that have one value in a list, to take along.
+    """
     return postings.groupBy("term_id", "chunk").agg(
-        F.sort_array(F.collect_list("doc_id")).alias("doc_ids")
+        F.sort_array(F.collect_list("doc_id")).alias("doc_ids"),
+        *[F.max(k).alias(k) for k in keep],
     )

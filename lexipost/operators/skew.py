@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: Most rows that the library takes to the driver.
@@ -10,6 +10,26 @@ BATCH_ROWS = 10_000
 #: Most rows, of a few bigints each, that it marks for broadcast.
 BROADCAST_ROWS = 1_000_000
 _HEAVY_KEYS_MAX = 100_000
+_TASK_ROWS = 2_000_000  # narrow rows that a task sorts, about
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """As many tasks as the session's shuffles have, or more so that ``rows`` fill none.
+
+    What a task sorts then stays in memory however few partitions the session asks for.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // _TASK_ROWS))
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` of about ``rows`` rows, dealt by ``keys`` if the session's shuffles are too few.
+
+    A window or join by these keys that follows adds no shuffle of its own.
+    """
+    tasks = tasks_for(df.sparkSession, rows)
+    if tasks == int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *keys)
 
 
 def heavy_key_bound(shuffle_partitions: int) -> int:
@@ -20,24 +40,34 @@ def heavy_key_bound(shuffle_partitions: int) -> int:
     return max(1, min(4 * shuffle_partitions, _HEAVY_KEYS_MAX))
 
 
-def join_weighted(rows: DataFrame, keyed: DataFrame, key: str, weight: str) -> DataFrame:
+def join_weighted(
+    rows: DataFrame, keyed: DataFrame, key: str, weight: str, whole: bool = False
+) -> DataFrame:
     """Inner join of ``rows`` with ``keyed``, whose ``weight`` is the rows per key.
 
     ``keyed`` has one row per key. With a total weight W, at most K keys can weigh
     W/K or more, so the heavy side is at most K rows and safe to broadcast: the
     rows of heavy keys do not move at all. The others are joined by a shuffle in
-    which no key holds W/K rows.
+    which no key holds W/K rows. Up to 100,000 keys, counted, go to the rows as a whole. With ``whole``, every row has its key in ``keyed``: W rows
+    then take as many tasks as they ask for.
     """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bound = heavy_key_bound(partitions)
-    total, top = keyed.agg(F.sum(weight), F.max(weight)).first()
-    floor = -(-(total or 0) // bound)
+    total, top, keys = keyed.agg(F.sum(weight), F.max(weight), F.count("*")).first()
+    if keys <= _HEAVY_KEYS_MAX:
+        return rows.join(F.broadcast(keyed), key)
+    total = total or 0
+    sorted_rows = total if whole else 0
+    bound = heavy_key_bound(tasks_for(rows.sparkSession, sorted_rows))
+    floor = -(-total // bound)
+
+    def joined(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+        return spread(rows, sorted_rows, key).join(spread(keyed, sorted_rows, key), key)
+
     if (top or 0) < floor:  # no heavy key: one pass over the rows is enough
-        return rows.join(keyed, key)
+        return joined(rows, keyed)
     heavy = keyed.filter(F.col(weight) >= floor)
     light = keyed.filter(F.col(weight) < floor)
     near = rows.join(F.broadcast(heavy), key)
-    far = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
+    far = joined(rows.join(F.broadcast(heavy.select(key)), key, "left_anti"), light)
     return near.unionByName(far)
 
 

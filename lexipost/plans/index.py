@@ -370,7 +370,7 @@ def merge_indexes(
         ).drop("term"),
         "merged-ids",
     )
-    merged = join_weighted(rows.select(key, "doc_id"), renamed, "_term", "n").select(
+    merged = join_weighted(rows.select(key, "doc_id"), renamed, "_term", "n", whole=True).select(
         F.col("new_id").alias("term_id"), "doc_id"
     )
     listed = docs.select("doc_id", document_path().alias("path"), "block", "name")

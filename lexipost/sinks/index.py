@@ -21,13 +21,18 @@ ROWS = "rows"  # flat posting rows, compressed by Parquet alone
 _POSTINGS_PER_SHARD = 4_000_000
 _MIN_SHARDS, _MAX_SHARDS = 8, 4096
 # Sorted ids shrink to bit-packed differences when Parquet may delta-encode them.
-_PARQUET = {"parquet.writer.version": "v2", "parquet.enable.dictionary#doc_id": "false"}
+_PARQUET = {
+    "parquet.writer.version": "v2",
+    "parquet.enable.dictionary#doc_id": "false",
+    "compression": "zstd",
+}
 
 # Terms are unique, so that a dictionary would only hold all of them once more.
 _BLOOM = {
     "parquet.enable.dictionary#term": "false",
     "parquet.bloom.filter.enabled#term": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
+    "compression": "zstd",
 }
 
 
@@ -79,8 +84,9 @@ def write_postings(
         columns = encoded.columns
     order = ["shard", "term_id", last]
     (
-        rows.select(*columns, shard_of(F.col("term_id"), layout.n_shards).alias("shard"), part.alias("_part"))
+        rows.select(*columns, part.alias("_part"))
         .repartitionById(layout.n_parts, "_part")
+        .withColumn("shard", shard_of(F.col("term_id"), layout.n_shards))
         .drop("_part")
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
