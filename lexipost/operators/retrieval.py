@@ -296,13 +296,11 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
 
 def _set_bits(bits: Column) -> Column:
     """The numbers, from 0, of the bits that are set in a bitmap."""
-    spelled = F.hex(bits)
+    # Spelled once for all octets: what a function of an array names is made for each item.
+    spelled = F.regexp_extract_all(F.hex(bits), F.lit("[0-9A-F]{2}"), F.lit(0))
     octets = F.transform(
-        F.sequence(F.lit(0), F.length(bits) - 1),
-        lambda i: F.struct(
-            i.alias("at"),
-            F.conv(F.substring(spelled, 2 * i + 1, F.lit(2)), 16, 10).cast("int").alias("octet"),
-        ),
+        spelled,
+        lambda s, i: F.struct(i.alias("at"), F.conv(s, 16, 10).cast("int").alias("octet")),
     )
     used = F.filter(octets, lambda o: o["octet"] != 0)
     numbers = F.transform(
@@ -329,12 +327,30 @@ def _by_bitmaps(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     maps = rows.groupBy(
         "term_id", F.bitmap_bucket_number(F.col("doc_id") + 1).alias("bucket")
     ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("doc_id") + 1)).alias("bits"))
-    asked = F.broadcast(asked) if batch.small else asked
+    keys = ["term_id"]
+    if batch.small:
+        asked = F.broadcast(asked)
+    else:
+        # Bitmaps meet a query only in buckets where it has one for each of its terms.
+        keys = ["term_id", "bucket"]
+        held = rows.select(
+            "term_id", F.bitmap_bucket_number(F.col("doc_id") + 1).alias("bucket")
+        ).distinct()
+        full = (
+            held.join(asked, "term_id")
+            .groupBy("qid", "n_terms", "bucket")
+            .agg(F.collect_list("term_id").alias("_terms"))
+            .filter(F.size("_terms") == F.col("n_terms"))
+        )
+        asked = stage(
+            full.select("qid", "n_terms", "bucket", F.explode("_terms").alias("term_id")), "buckets"
+        )
     return (
-        maps.join(asked, "term_id")
+        maps.join(asked, keys)
         .groupBy("qid", "n_terms", "bucket")
         .agg(F.call_function("bitmap_and_agg", F.col("bits")).alias("bits"), F.count("*").alias("n_found"))
         .filter(F.col("n_found") == F.col("n_terms"))
+        .filter(F.bitmap_count("bits") > 0)
         .select(
             "qid",
             ((F.col("bucket") - 1) * _BUCKET_DOCS).alias("first"),
