@@ -6,6 +6,7 @@ with a token that the lexicon does not know, or without tokens, has no results.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import TYPE_CHECKING
 
@@ -17,7 +18,13 @@ from lexipost.functions.numbers import whole_div
 from lexipost.functions.text import distinct_tokens, document_path
 from lexipost.operators.dictionary import piece_of
 from lexipost.operators.inversion import CHUNK_DOCS, widest_range
-from lexipost.operators.skew import BATCH_ROWS, BROADCAST_ROWS, fetch_batch, join_weighted
+from lexipost.operators.skew import (
+    BATCH_ROWS,
+    BROADCAST_ROWS,
+    fetch_batch,
+    join_weighted,
+    spread,
+)
 from lexipost.session import stage
 
 if TYPE_CHECKING:
@@ -159,7 +166,9 @@ def _asked_lists(index: TextIndex, terms: DataFrame) -> DataFrame:
     return stage(join_weighted(rows, terms, "term_id", "df"), "asked-lists")
 
 
-def _meet(lists: DataFrame, asked: DataFrame) -> DataFrame:
+def _meet(
+    lists: DataFrame, asked: DataFrame, key: str = "term_id", doc: Sequence[str] = ("doc_id",)
+) -> DataFrame:
     """Join ``lists`` (term_id, doc_id, df, uses) with ``asked`` (qid, term_id and more).
 
     A list may be long and asked for by many queries. Its documents are dealt over one
@@ -168,21 +177,32 @@ def _meet(lists: DataFrame, asked: DataFrame) -> DataFrame:
     small fixed share of the rows that come out.
     """
     parts = F.greatest(F.ceil(F.col("df") / CHUNK_DOCS), F.lit(1)).cast("int")
-    blocks = F.greatest(F.ceil(F.col("uses") / _ASKED_ROWS), F.lit(1)).cast("int")
-    sizes = lists.select("term_id", "df", "uses").distinct()
+    groups = F.greatest(F.ceil(F.col("uses") / _ASKED_ROWS), F.lit(1)).cast("int")
+    sizes = lists.select(key, "df", "uses").distinct()
     left = lists.select(
-        "term_id",
-        "doc_id",
-        F.pmod("doc_id", parts).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+        key,
+        *doc,
+        F.pmod(F.xxhash64(*doc), parts).cast("int").alias("_part"),
+        F.explode(F.sequence(F.lit(0), groups - 1)).alias("_group"),
     )
     right = (
-        join_weighted(asked, stage(sizes, "asked-sizes"), "term_id", "uses")
-        .withColumn("block", F.pmod(F.xxhash64("qid"), blocks).cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        join_weighted(asked, stage(sizes, "asked-sizes"), key, "uses")
+        .withColumn("_group", F.pmod(F.xxhash64("qid"), groups).cast("int"))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("df", "uses")
     )
-    return left.join(right, ["term_id", "part", "block"])
+    return left.join(right, [key, "_part", "_group"]).drop("_part", "_group")
+
+
+def _leads(
+    lists: DataFrame, plans: DataFrame, key: str = "term_id", doc: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """``plans`` (qid, term_id, df and more) with the documents of their terms' lists.
+
+    Only lists that are some query's rarest are dealt out; all others stay where they are.
+    """
+    uses = stage(plans.groupBy(key, "df").agg(F.count("*").alias("uses")), "lead-terms")
+    return _meet(join_weighted(lists.select(key, *doc), uses, key, "df"), plans.drop("df"), key, doc)
 
 
 def _by_division(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
@@ -234,17 +254,18 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
     plans = batch.queries.select(
         "qid",
         F.element_at("terms.term_id", 1).alias("term_id"),
+        F.element_at("terms.df", 1).alias("df"),
         F.slice("terms.term_id", F.lit(2), F.size("terms")).alias("others"),
     )
     if batch.small:
         leads = index.postings_of(batch.lead_ids).join(F.broadcast(plans), "term_id")
     else:
-        asked = _asked_lists(index, _asked_terms(batch))
-        leads = _meet(asked, plans)
+        asked = _asked_lists(index, _asked_terms(batch)).select("term_id", "doc_id")
+        leads = _leads(asked, plans)
 
     def lists_of(term_ids: list[int], checks: DataFrame) -> DataFrame:
         if not batch.small:
-            return asked
+            return asked if known else spread(asked, asked.count(), "term_id", "doc_id")
         if index.meta.codec != "rows":
             return chunks_holding(index, term_ids, checks)
         return index.postings_of(term_ids)
@@ -254,7 +275,16 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
         leads = stage(leads.select("qid", "doc_id", "others"), "candidates")
     single = leads.filter(F.size("others") == 0).select("qid", "doc_id")
     paired = leads.filter(F.size("others") > 0)
-    known = batch.small and not narrow
+
+    def memberships(found: DataFrame) -> int:
+        return found.agg(F.coalesce(F.sum(F.size("others")), F.lit(0))).first()[0]
+
+    if not narrow:
+        known = True
+    elif batch.small:
+        known = batch.lead_rows <= BROADCAST_ROWS
+    else:
+        known = memberships(paired) <= BROADCAST_ROWS
     if narrow:
         # The second shortest list first: what it leaves is what meets the longer ones.
         second = paired.select(
@@ -263,7 +293,7 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
             F.element_at("others", 1).alias("term_id"),
             F.slice("others", F.lit(2), F.size("others")).alias("others"),
         )
-        if batch.small and batch.lead_rows <= BROADCAST_ROWS:
+        if known:
             second = F.broadcast(second)
         left = stage(
             lists_of(batch.second_ids, second)
@@ -274,9 +304,7 @@ def _by_rarest(index: TextIndex, batch: ResolvedBatch) -> DataFrame:
         )
         single = single.unionByName(left.filter(F.size("others") == 0).select("qid", "doc_id"))
         paired = left.filter(F.size("others") > 0)
-        if batch.small:
-            rows = paired.agg(F.coalesce(F.sum(F.size("others")), F.lit(0))).first()[0]
-            known = rows <= BROADCAST_ROWS
+        known = batch.small and memberships(paired) <= BROADCAST_ROWS
     checks = paired.select(
         "qid", "doc_id", F.size("others").alias("n_others"), F.explode("others").alias("term_id")
     )
