@@ -436,39 +436,48 @@ def retrieve_by_bitmaps(
     return _with_paths(index, batch, _by_bitmaps(index, batch))
 
 
-def _scanned(words: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Join ``words`` (block, name, term) with the staged ``wanted`` (qid, term, n_terms).
-
-    Words that are not asked for go first, by a join with one row per term. What is left
-    is counted by term and split on both sides by these counts, as in ``_meet``.
+def _scanned(documents: DataFrame, words: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(qid, block, name) of the matches of ``wanted`` (qid, term, n_terms), which is staged.
+
+    A document is the pair of its names, in which nulls are equal. Words that are not asked for go first, by a join with one row per term. What is left
+    is counted by term, so each query starts from the documents of its rarest one; only
+    these are asked for the query's terms. Rows of one name count together, as on the path
+    for small batches: names that come more than once are asked by each query that shares a
+    word with them.
     """
+    words = words.select("term", F.struct("block", "name").alias("doc"))
     uses = stage(wanted.groupBy("term").agg(F.count("*").alias("uses")), "scan-uses")
-    kept = stage(join_weighted(words, uses, "term", "uses"), "scan-words")
-    sizes = kept.groupBy("term", "uses").agg(F.count("*").alias("df"))
-    sizes = stage(
-        sizes.select(
-            "term",
-            "uses",
-            "df",
-            F.ceil(F.col("df") / CHUNK_DOCS).cast("int").alias("parts"),
-            F.ceil(F.col("uses") / _ASKED_ROWS).cast("int").alias("blocks"),
-        ),
-        "scan-sizes",
+    kept = stage(join_weighted(words, uses, "term", "uses").drop("uses"), "scan-words")
+    sizes = stage(kept.groupBy("term").agg(F.count("*").alias("df")).join(uses, "term"), "scan-sizes")
+    n_kept = sizes.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    plans = stage(
+        join_weighted(wanted, sizes, "term", "uses")
+        .groupBy("qid", "n_terms")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "term"))).alias("terms")),
+        "scan-plans",
     )
-    shape = sizes.select("term", "df", "parts", "blocks")
-    left = (
-        join_weighted(kept.drop("uses"), shape, "term", "df")
-        .withColumn("part", F.pmod(F.xxhash64("block", "name"), F.col("parts")).cast("int"))
-        .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .drop("df", "parts", "blocks")
+    rarest = plans.filter(F.size("terms") == F.col("n_terms")).select(
+        "*", F.element_at("terms", 1).alias("at")
+    ).select("qid", "n_terms", "terms", "at.*")
+    found = _leads(kept, rarest, "term", ["doc"]).select("qid", "doc", "n_terms", "terms")
+    names = documents.groupBy(F.struct("block", "name").alias("doc")).count()
+    repeated = stage(names.filter("count > 1").select("doc"), "scan-repeated")
+    if not repeated.isEmpty():
+        each = plans.select("*", F.explode("terms").alias("at"))
+        each = each.select("qid", "n_terms", "terms", "at.*")
+        again = _leads(kept.join(repeated, "doc", "left_semi"), each, "term", ["doc"])
+        found = found.unionByName(again.select(found.columns))
+    asked = stage(found.distinct(), "scan-candidates").select(
+        "qid", "doc", "n_terms", F.explode("terms.term").alias("term")
     )
-    right = (
-        join_weighted(wanted, sizes.drop("df"), "term", "uses")
-        .withColumn("group", F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .drop("uses", "parts", "blocks")
+    return (
+        spread(kept, n_kept, "term", "doc")
+        .join(asked, ["term", "doc"])
+        .groupBy("qid", "n_terms", "doc")
+        .agg(F.count("*").alias("n_found"))
+        .filter(F.col("n_found") == F.col("n_terms"))
+        .select("qid", "doc.block", "doc.name")
     )
-    return left.join(right, ["term", "part", "group"])
 
 
 def retrieve_by_scan(
@@ -480,15 +489,15 @@ def retrieve_by_scan(
     asked = fetch_batch(wanted, cap)
     if asked is not None:
         local = documents.sparkSession.createDataFrame(asked, wanted.schema)
-        found = words.join(F.broadcast(local), "term")
+        found = (
+            words.join(F.broadcast(local), "term")
+            .groupBy("qid", "n_terms", "block", "name")
+            .agg(F.count("*").alias("n_found"))
+            .filter(F.col("n_found") == F.col("n_terms"))
+        )
     else:
-        found = _scanned(words, stage(wanted, "scan-terms"))
-    return (
-        found.groupBy("qid", "n_terms", "block", "name")
-        .agg(F.count("*").alias("n_found"))
-        .filter(F.col("n_found") == F.col("n_terms"))
-        .select("qid", document_path().alias("path"))
-    )
+        found = _scanned(documents, words, stage(wanted, "scan-terms"))
+    return found.select("qid", document_path().alias("path"))
 
 
 def postings_lookup(index: TextIndex, terms: DataFrame, cap: int = BATCH_ROWS) -> DataFrame:
