@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,21 +10,22 @@ from pyspark.sql import functions as F
 from lexipost.functions import codes
 from lexipost.operators.gaps import chunk_marks, gaps_to_postings
 from lexipost.operators.inversion import posting_lists
+from lexipost.operators.skew import spread
 from lexipost.session import stage
 
 
 _SHARED_BITS = 7  # most bits of a byte that may belong to later chunks
 
 
-def _id_lists(postings: DataFrame) -> DataFrame:
-    """(term_id, chunk, doc_ids) with what no code can hold turned away.
+def _id_lists(postings: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(term_id, chunk, doc_ids, *keep) with what no code can hold turned away.
 
     A chunk is one array of ids, so that one shuffle of ids finds them together and
     neither gaps nor codes are sorted or shuffled.
     """
     doc_id = F.col("doc_id")
     checked = F.when(doc_id >= 0, doc_id).otherwise(_refused())
-    return posting_lists(postings.select("term_id", "chunk", checked.alias("doc_id")))
+    return posting_lists(postings.select("term_id", "chunk", checked.alias("doc_id"), *keep), keep)
 
 
 def _refused() -> Column:
@@ -45,7 +46,7 @@ def _joined(values: Column, code: Callable[[Column], Column]) -> Column:
     return F.array_join(F.transform(values, code), "")
 
 
-def _gap_chunks(postings: DataFrame, codec: str) -> DataFrame:
+def _gap_chunks(postings: DataFrame, codec: str, keep: Sequence[str]) -> DataFrame:
     """Chunks of gap codes; the first gap of a list is from the base of its codec.
 
     Chunks are staged with the codes of all gaps but their first. What that is measured
@@ -56,7 +57,7 @@ def _gap_chunks(postings: DataFrame, codec: str) -> DataFrame:
         (codes.VB_BASE, codes.vb_code) if codec == "vb" else (codes.GAMMA_BASE, codes.gamma_code)
     )
     chunks = stage(
-        _id_lists(postings)
+        _id_lists(postings, keep)
         .select(
             "term_id",
             "chunk",
@@ -64,13 +65,14 @@ def _gap_chunks(postings: DataFrame, codec: str) -> DataFrame:
             F.element_at("doc_ids", 1).alias("first_doc"),
             F.element_at("doc_ids", -1).alias("last_doc"),
             _joined(_later_gaps(F.col("doc_ids")), code).alias("payload"),
+            *keep,
         )
         .withColumn("_bits", F.length("payload"))
         .withColumn("_head", F.substring("payload", 1, _SHARED_BITS)),
         "gap-chunks",
     )
     columns = [
-        "term_id", "chunk", "base", "n_postings", "first_doc", "last_doc", "lead", "payload",
+        "term_id", "chunk", "base", "n_postings", "first_doc", "last_doc", "lead", "payload", *keep,
     ]
     first = code(F.col("first_doc") - start)
     whole = chunks.filter("chunk = 0").select(
@@ -105,10 +107,10 @@ def _gap_chunks(postings: DataFrame, codec: str) -> DataFrame:
             placed.drop("payload").withColumnRenamed("_code", "payload").select(columns)
         )
     whole = whole.withColumn("payload", codes.bits_to_hex(F.col("_code"))).select(columns)
-    return whole.unionByName(_gamma_payloads(cut, ends).select(columns))
+    return whole.unionByName(_gamma_payloads(cut, ends, keep).select(columns))
 
 
-def _gamma_payloads(cut: DataFrame, ends: DataFrame) -> DataFrame:
+def _gamma_payloads(cut: DataFrame, ends: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Chunks of long lists with their bits to hex.
 
     The bits of a list run on over its chunks. A chunk owns the bytes whose first bit it
@@ -146,21 +148,23 @@ def _gamma_payloads(cut: DataFrame, ends: DataFrame) -> DataFrame:
         "last_doc",
         F.substring("_code", F.lit(1), F.col("_shared")).alias("lead"),
         codes.bits_to_hex(full).alias("payload"),
+        *keep,
     )
 
 
-def encode(postings: DataFrame, codec: str) -> DataFrame:
+def encode(postings: DataFrame, codec: str, keep: Sequence[str] = ()) -> DataFrame:
     """Encoded chunks (term_id, chunk, base, n_postings, first_doc, last_doc, lead, payload as hex).
 
     ``base`` is the id that the first gap is measured from: the last id of the
     chunk before. The payloads of a list, joined in chunk order, are the payload of the
     whole list. Gamma codes do not end at bytes: ``lead`` repeats the bits of a chunk
     that stand in the last byte of the chunk before, so that a chunk can be decoded alone.
+    ``keep`` names columns that have one value in a list; the chunks take them along.
     """
     codes.check_codec(codec)
     if codec != "raw":
-        return _gap_chunks(postings, codec)
-    return posting_lists(postings).select(
+        return _gap_chunks(postings, codec, keep)
+    return posting_lists(postings, keep).select(
         "term_id",
         "chunk",
         F.lit(0).cast("bigint").alias("base"),
@@ -169,14 +173,16 @@ def encode(postings: DataFrame, codec: str) -> DataFrame:
         F.element_at("doc_ids", -1).alias("last_doc"),
         F.lit("").alias("lead"),
         _joined(F.col("doc_ids"), codes.raw_code).alias("payload"),
+        *keep,
     )
 
 
-def decode(encoded: DataFrame, codec: str) -> DataFrame:
+def decode(encoded: DataFrame, codec: str, n_postings: int = 0) -> DataFrame:
     """Posting rows (term_id, chunk, doc_id) of encoded chunks.
 
     The still encoded chunks are what gets shuffled; the running sum then finds
-    the rows of a chunk together already.
+    the rows of a chunk together already. ``n_postings``, if known, tells how many tasks
+    that takes.
     """
     codes.check_codec(codec)
     forms = codes.split_payload(F.col("payload"), codec, F.col("lead"), F.col("n_postings"))
@@ -186,7 +192,7 @@ def decode(encoded: DataFrame, codec: str) -> DataFrame:
         ).select("term_id", "chunk", codes.raw_value(F.col("code")).alias("doc_id"))
     value = codes.vb_value if codec == "vb" else codes.gamma_value
     gapped = (
-        encoded.repartition("term_id", "chunk")
+        spread(encoded.repartition("term_id", "chunk"), n_postings, "term_id", "chunk")
         .select(
             "term_id",
             "chunk",

@@ -78,13 +78,14 @@ class TextIndex:
         read = sources.read_posting_rows if plain else sources.read_encoded
         return [read(self.spark, s) for s in self.segments]
 
-    def rows(self, stored: Sequence[DataFrame]) -> DataFrame:
+    def rows(self, stored: Sequence[DataFrame], n_postings: int = 0) -> DataFrame:
         """(term_id, chunk, doc_id) of stored tables, each decoded by itself."""
         if self.meta.codec == sinks.ROWS:
             found = [s.select("term_id", "chunk", "doc_id") for s in stored]
         else:
             found = [
-                decode(s.withColumn("payload", F.hex("payload")), self.meta.codec) for s in stored
+                decode(s.withColumn("payload", F.hex("payload")), self.meta.codec, n_postings)
+                for s in stored
             ]
         return reduce(DataFrame.unionByName, found)
 
@@ -93,7 +94,7 @@ class TextIndex:
 
         Lists that several segments hold are cut anew, by what they are as a whole.
         """
-        rows = self.rows(self.stored())
+        rows = self.rows(self.stored(), self.meta.n_postings)
         if len(self.meta.segments) == 1:
             return rows
         lexicon, meta = stage(self.lexicon, "lexicon"), self.meta
@@ -101,7 +102,8 @@ class TextIndex:
 
     def scan(self) -> DataFrame:
         """(term_id, doc_id) in order of both."""
-        return self.rows(self.stored()).select("term_id", "doc_id").orderBy("term_id", "doc_id")
+        rows = self.rows(self.stored(), self.meta.n_postings)
+        return rows.select("term_id", "doc_id").orderBy("term_id", "doc_id")
 
     def stored_of(self, term_ids: list[int]) -> list[DataFrame]:
         """What is stored, by segment, of a query-sized list of terms.
@@ -187,7 +189,7 @@ def build_index(
     places = list_places(lexicon, n_terms, n_shards)
     postings = invert(forward, places, chunk_docs, ["df", "start"], n_docs)
     layout = layout_of(spark, n_shards, n_docs, n_postings, chunk_docs)
-    sinks.write_postings(postings, tables, layout, places, codec)
+    sinks.write_postings(postings, tables, layout, codec)
     meta = IndexMeta(
         n_docs, n_terms, n_postings, n_shards, chunk_docs, piece_docs, codec, (segment,)
     )
@@ -230,7 +232,7 @@ def extend_index(index: TextIndex, documents: DataFrame, path: str | None = None
         forward, places, old.chunk_docs, ["df", "start"], n_docs - old.n_docs
     )
     layout = layout_of(spark, old.n_shards, n_docs, n_postings, old.chunk_docs)
-    sinks.write_postings(postings, tables, layout, places, old.codec)
+    sinks.write_postings(postings, tables, layout, old.codec)
     meta = IndexMeta(
         n_docs,
         n_terms,
@@ -266,7 +268,7 @@ def _written_whole(
     places = list_places(sources.read_lexicon(spark, tables), n_terms, n_shards)
     layout = layout_of(spark, n_shards, n_docs, n_postings, chunk_docs)
     postings = add_chunks(rows, places, chunk_docs, ["df", "start"], n_docs)
-    sinks.write_postings(postings, tables, layout, places, codec)
+    sinks.write_postings(postings, tables, layout, codec)
     meta = IndexMeta(
         n_docs, n_terms, n_postings, n_shards, chunk_docs, piece_docs, codec, (segment,)
     )
@@ -280,7 +282,7 @@ def compact_index(index: TextIndex, path: str | None = None) -> TextIndex:
     """
     meta = index.meta
     docs = index.docs.drop("piece")
-    rows = index.rows(index.stored())
+    rows = index.rows(index.stored(), meta.n_postings)
     return _written_whole(
         index.spark, (path or index.path).rstrip("/"), docs, index.lexicon, rows, None,
         meta.chunk_docs, meta.piece_docs, meta.codec,
@@ -310,7 +312,7 @@ def _owned(
     rows, terms = [], []
     for i, index in enumerate(indexes):
         own = numbers.filter(F.col("place") == i).select("old", "doc_id")
-        stored = index.rows(index.stored()).select("term_id", F.col("doc_id").alias("old"))
+        stored = index.rows(index.stored(), index.meta.n_postings).select("term_id", F.col("doc_id").alias("old"))
         rows.append(stored.join(own, "old").select(F.lit(i).alias("place"), "term_id", "doc_id"))
         terms.append(index.lexicon.select(F.lit(i).alias("place"), "term_id", "term"))
     return (

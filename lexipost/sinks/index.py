@@ -65,29 +65,28 @@ def write_lexicon(lexicon: DataFrame, path: str) -> None:
 
 
 def write_postings(
-    postings: DataFrame, path: str, layout: Layout, places: DataFrame, codec: str = ROWS
+    postings: DataFrame, path: str, layout: Layout, codec: str = ROWS
 ) -> None:
     """Write posting rows (term_id, chunk, doc_id, df, start), or their codes, once.
 
-    ``places`` has (term_id, df, start). Codes are made from rows that no longer carry the
-    place of their list, so each encoded chunk, one row, looks it up again.
+    The place of a list goes with its rows into the chunks, so that a payload moves once.
     """
     if codec == ROWS:
         rows, last = postings, "doc_id"
         part = layout.part(F.col("df"), F.col("start"), F.col("doc_id"))
         columns = ["term_id", "chunk", "doc_id"]
     else:
-        encoded = encode(postings, codec).withColumn("payload", F.unhex("payload"))
-        rows, last = encoded.join(places.select("term_id", "df", "start"), "term_id"), "chunk"
+        encoded = encode(postings, codec, ["df", "start"])
+        rows, last = encoded.withColumn("payload", F.unhex("payload")), "chunk"
         first = F.when(F.col("chunk") > 0, F.col("first_doc")).otherwise(F.lit(0))
         part = layout.part(F.col("df"), F.col("start"), first)
-        columns = encoded.columns
+        columns = [c for c in encoded.columns if c not in ("df", "start")]
     order = ["shard", "term_id", last]
     (
         rows.select(*columns, part.alias("_part"))
         .repartitionById(layout.n_parts, "_part")
-        .withColumn("shard", shard_of(F.col("term_id"), layout.n_shards))
         .drop("_part")
+        .withColumn("shard", shard_of(F.col("term_id"), layout.n_shards))
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .options(**_PARQUET)
@@ -96,15 +95,17 @@ def write_postings(
     )
 
 
-def write_segments(segments: DataFrame, path: str) -> None:
+def write_segments(segments: DataFrame, path: str, n_docs: int | None = None) -> None:
     """One directory per block, each an index of its own; a large block takes many files.
 
     A block's documents have neighbouring ids, so equal widths of ids, as many as there
-    are shuffle partitions, cut the rows by block without a look at them.
+    are shuffle partitions, cut the rows by block without a look at them. ``n_docs`` is the
+    number of documents; without it, the segments are read once more for their last one.
     """
     tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    last = segments.agg(F.max("doc_id")).first()[0] or 0
-    width = last // tasks + 1
+    if n_docs is None:
+        n_docs = (segments.agg(F.max("doc_id")).first()[0] or 0) + 1
+    width = max(0, n_docs - 1) // tasks + 1
     (
         segments.select("term_id", "doc_id", "block")
         .repartitionById(tasks, whole_div("doc_id", width).cast("int"))
