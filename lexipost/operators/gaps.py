@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexipost.functions.codes import VB_BASE
+from lexipost.operators.skew import spread
 
 
 def chunk_marks(postings: DataFrame) -> DataFrame:
@@ -30,18 +31,19 @@ def _checked_id() -> Column:
     )
 
 
-def previous_ids(postings: DataFrame) -> DataFrame:
+def previous_ids(postings: DataFrame, n_postings: int = 0) -> DataFrame:
     """Add ``prev``: the id before this one in its list, null for the first.
 
     The rows of a list must be distinct and not negative: a repeat would become a
     gap that no code can hold, so it fails the job. Each window holds one chunk. The id that a chunk starts from is put into it as
-    a mark row ahead of its postings, so carrying it over takes no join.
+    a mark row ahead of its postings, so carrying it over takes no join. ``n_postings``, if
+    known, tells how many tasks the windows by chunk that follow take.
     """
     rows = postings.select("term_id", "chunk", "doc_id", F.lit(False).alias("mark"))
     marks = chunk_marks(postings).select("term_id", "chunk", "doc_id", F.lit(True).alias("mark"))
     in_chunk = Window.partitionBy("term_id", "chunk").orderBy("doc_id")
     return (
-        rows.unionByName(marks)
+        spread(rows.unionByName(marks), n_postings, "term_id", "chunk")
         .withColumn("prev", F.lag("doc_id").over(in_chunk))
         .filter(~F.col("mark"))
         .drop("mark")
@@ -49,10 +51,10 @@ def previous_ids(postings: DataFrame) -> DataFrame:
     )
 
 
-def gaps(postings: DataFrame, base: int = VB_BASE) -> DataFrame:
+def gaps(postings: DataFrame, base: int = VB_BASE, n_postings: int = 0) -> DataFrame:
     """(term_id, chunk, doc_id, prev, gap); the first gap of a list is from ``base``."""
     return (
-        previous_ids(postings)
+        previous_ids(postings, n_postings)
         .withColumn("prev", F.coalesce("prev", F.lit(base).cast("bigint")))
         .withColumn("gap", F.col("doc_id") - F.col("prev"))
     )

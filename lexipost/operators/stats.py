@@ -11,13 +11,16 @@ from lexipost.operators.gaps import previous_ids
 from lexipost.operators.ranking import PIECE_ROWS, exclusive_totals
 
 
-def list_sizes(postings: DataFrame) -> DataFrame:
-    """(term_id, n_postings, raw, vb, gamma): bytes of each whole list per codec."""
+def list_sizes(postings: DataFrame, rows: int = 0) -> DataFrame:
+    """(term_id, n_postings, raw, vb, gamma): bytes of each whole list per codec.
+
+    ``rows``, if known, is the number of postings.
+    """
     doc, prev = F.col("doc_id"), F.col("prev")
     vb_gap = doc - F.coalesce(prev, F.lit(codes.VB_BASE))
     gamma_gap = doc - F.coalesce(prev, F.lit(codes.GAMMA_BASE))
     return (
-        previous_ids(postings)
+        previous_ids(postings, rows)
         .groupBy("term_id")
         .agg(
             F.count("*").alias("n_postings"),
@@ -34,13 +37,13 @@ def list_sizes(postings: DataFrame) -> DataFrame:
     )
 
 
-def term_stats(postings: DataFrame, piece: int = PIECE_ROWS) -> DataFrame:
+def term_stats(postings: DataFrame, piece: int = PIECE_ROWS, rows: int = 0) -> DataFrame:
     """(codec, term_id, start_pos, n_postings, n_bytes), lists laid out by term id.
 
     One pass over the postings serves the three codecs.
     """
     placed = exclusive_totals(
-        list_sizes(postings), "term_id", {c: f"{c}_start" for c in codes.CODECS}, piece
+        list_sizes(postings, rows), "term_id", {c: f"{c}_start" for c in codes.CODECS}, piece
     )
     entries = [
         F.struct(
@@ -55,9 +58,9 @@ def term_stats(postings: DataFrame, piece: int = PIECE_ROWS) -> DataFrame:
     ).select("entry.codec", "term_id", "entry.start_pos", "n_postings", "entry.n_bytes")
 
 
-def size_report(postings: DataFrame) -> DataFrame:
+def size_report(postings: DataFrame, rows: int = 0) -> DataFrame:
     """(codec, n_terms, n_postings, n_bytes) of the whole index."""
-    totals = list_sizes(postings).agg(
+    totals = list_sizes(postings, rows).agg(
         F.count("*").alias("n_terms"),
         F.coalesce(F.sum("n_postings"), F.lit(0)).alias("n_postings"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in codes.CODECS],

@@ -283,11 +283,13 @@ def term_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.term_stats(index_of(spark, sf_dir).postings())
+    index = index_of(spark, sf_dir)
+    return stats.term_stats(index.postings(), rows=index.meta.n_postings)
 
 
 def index_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.size_report(index_of(spark, sf_dir).postings())
+    index = index_of(spark, sf_dir)
+    return stats.size_report(index.postings(), rows=index.meta.n_postings)
 
 
 def postings_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,12 +398,15 @@ def expected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gap_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gaps.gaps(index_of(spark, sf_dir).postings()).select("term_id", "doc_id", "gap")
+    index = index_of(spark, sf_dir)
+    found = gaps.gaps(index.postings(), n_postings=index.meta.n_postings)
+    return found.select("term_id", "doc_id", "gap")
 
 
 def gap_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps by their place in the chunk, without the ids that they stand for."""
-    gapped = gaps.with_base(gaps.gaps(index_of(spark, sf_dir).postings()))
+    index = index_of(spark, sf_dir)
+    gapped = gaps.with_base(gaps.gaps(index.postings(), n_postings=index.meta.n_postings))
     place = Window.partitionBy("term_id", "chunk").orderBy("doc_id")
     by_place = gapped.select(
         "term_id", "chunk", "base", F.row_number().over(place).alias("pos"), "gap"
@@ -444,7 +449,8 @@ def decode_gamma_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_stats_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.term_stats(index_of(spark, sf_dir, chunk_docs=CUT_DOCS).postings())
+    index = index_of(spark, sf_dir, chunk_docs=CUT_DOCS)
+    return stats.term_stats(index.postings(), rows=index.meta.n_postings)
 
 
 def retrieve_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
