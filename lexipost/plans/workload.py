@@ -22,6 +22,7 @@ from lexipost.plans.index import (
     build_index,
     compact_index,
     extend_index,
+    forward_table,
     merge_indexes,
 )
 from lexipost.session import new_stage_path, stage
@@ -91,19 +92,27 @@ def _batch(spark: SparkSession) -> DataFrame:
 
 
 def _forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The distinct terms of each document, staged as a build stages them."""
+    """The distinct terms of each document, staged as a build stages them.
+
+    Documents are numbered for it as a build numbers them; no postings are needed.
+    """
     key = (spark.conf.get("spark.app.id"), sf_dir)
     if key not in _forward_tables:
-        docs = index_of(spark, sf_dir).docs
-        _forward_tables[key] = stage(
-            dictionary.doc_terms(documents(spark, sf_dir), docs), "forward"
+        path = new_stage_path(spark, "dictionary")
+        _forward_tables[key] = forward_table(
+            spark, documents(spark, sf_dir), path, dictionary.PIECE_DOCS
         )
     return _forward_tables[key]
 
 
+def _inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posting rows of the forward table under its own lexicon."""
+    forward = _forward(spark, sf_dir)
+    return inversion.invert(forward, dictionary.build_lexicon(forward))
+
+
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexicon = index_of(spark, sf_dir).lexicon
-    return inversion.block_segments(inversion.invert(_forward(spark, sf_dir), lexicon))
+    return inversion.block_segments(_inverted(spark, sf_dir))
 
 
 def _item_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,9 +246,7 @@ def dictionary_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inversion.invert(_forward(spark, sf_dir), index_of(spark, sf_dir).lexicon).select(
-        "term_id", "doc_id"
-    )
+    return _inverted(spark, sf_dir).select("term_id", "doc_id")
 
 
 def posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +262,7 @@ def block_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the segment of each block, then merge three overlapping groups of blocks."""
     path = new_stage_path(spark, "segments")
-    write_segments(_segments(spark, sf_dir), path)
+    write_segments(_segments(spark, sf_dir), path, _forward(spark, sf_dir).count())
     segments = read_segments(spark, path)
     block = F.col("block")
     return inversion.merge_segments(
