@@ -42,6 +42,26 @@ def test_byte_chunks_equal_the_library():
             assert flat[start:stop].tolist() == want, ascii(text)
 
 
+@pytest.mark.parametrize("in_a_row", [True, False])
+def test_words_are_looked_up_once_whatever_marks_follow(in_a_row):
+    library = Tokenizer.from_file(BYTES)
+    with open(BYTES) as file:
+        chunks = token_files.ChunkIds(file.read())
+    assert chunks.gap is not None
+    if not in_a_row:
+        chunks.gap = None
+    # More words than one sequence holds, and every letter of the ranges and its neighbours.
+    words = [f"{chr(c)}b{'ca' * (c % 5)}" for c in range(0x21, 0x260)]
+    texts = [" ".join(words), ".. ".join(words), " ".join(f"{w}?!\n{w}" for w in words)]
+    texts += ["word word, word. word?! word", "word, word", "a" * 3_000 + ". word"]
+    flat, numbers = token_files.encode_texts(pa.array(texts), chunks)
+    ends = np.cumsum(numbers)
+    for text, start, stop in zip(texts, ends - numbers, ends):
+        assert flat[start:stop].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert "word" in chunks.newer[True]
+    assert not any(k in chunks.newer[s] for s in (True, False) for k in ("word,", "word.", "word?!"))
+
+
 def test_pair_index_equals_the_library(spark):
     texts = odd_texts()
     library = Tokenizer.from_file(WORDS)
