@@ -40,6 +40,27 @@ def heavy_key_bound(shuffle_partitions: int) -> int:
     return max(1, min(4 * shuffle_partitions, _HEAVY_KEYS_MAX))
 
 
+def few_keys(keyed: DataFrame) -> bool:
+    """Whether a stored table of one narrow row per key may be marked for broadcast."""
+    return keyed.count() <= _HEAVY_KEYS_MAX
+
+
+def _heavy_floor(classes: list[Row], total: int, bound: int) -> int:
+    """The least weight of a heavy key, given (class, keys, rows) by the bits of the weight.
+
+    At most ``bound`` keys weigh a ``bound``th of all rows. The floor is lower if up to
+    100,000 keys then spare a quarter of the rows their move, or more.
+    """
+    floor, keys, rows = -(-total // bound), 0, 0
+    for c in sorted((c for c in classes if c["_bits"]), key=lambda c: -c["_bits"]):
+        keys, rows = keys + c["_keys"], rows + c["_sum"]
+        if keys > _HEAVY_KEYS_MAX:
+            break
+        if 4 * rows >= total:
+            floor = min(floor, 1 << (c["_bits"] - 1))
+    return floor
+
+
 def join_weighted(
     rows: DataFrame, keyed: DataFrame, key: str, weight: str, whole: bool = False
 ) -> DataFrame:
@@ -49,20 +70,24 @@ def join_weighted(
     W/K or more, so the heavy side is at most K rows and safe to broadcast: the
     rows of heavy keys do not move at all. The others are joined by a shuffle in
     which no key holds W/K rows. Up to 100,000 keys, counted, go to the rows as a whole. With ``whole``, every row has its key in ``keyed``: W rows
-    then take as many tasks as they ask for.
+    then take as many tasks as they ask for, and up to 100,000 of the heaviest keys are
+    broadcast where that spares many rows their move.
     """
-    total, top, keys = keyed.agg(F.sum(weight), F.max(weight), F.count("*")).first()
-    if keys <= _HEAVY_KEYS_MAX:
+    classes = keyed.groupBy(F.length(F.bin(weight)).alias("_bits")).agg(
+        F.count("*").alias("_keys"), F.sum(weight).alias("_sum"), F.max(weight).alias("_top")
+    ).collect()  # by the bits of a weight: 65 rows at most
+    if sum(c["_keys"] for c in classes) <= _HEAVY_KEYS_MAX:
         return rows.join(F.broadcast(keyed), key)
-    total = total or 0
+    total = sum(c["_sum"] or 0 for c in classes)
+    top = max(c["_top"] or 0 for c in classes)
     sorted_rows = total if whole else 0
     bound = heavy_key_bound(tasks_for(rows.sparkSession, sorted_rows))
-    floor = -(-total // bound)
+    floor = _heavy_floor(classes, total, bound) if whole else -(-total // bound)
 
     def joined(rows: DataFrame, keyed: DataFrame) -> DataFrame:
         return spread(rows, sorted_rows, key).join(spread(keyed, sorted_rows, key), key)
 
-    if (top or 0) < floor:  # no heavy key: one pass over the rows is enough
+    if top < floor:  # no heavy key: one pass over the rows is enough
         return joined(rows, keyed)
     heavy = keyed.filter(F.col(weight) >= floor)
     light = keyed.filter(F.col(weight) < floor)

@@ -23,8 +23,8 @@ from lexipost.operators.dictionary import (
     lexicon_segment,
     whole_lexicon,
 )
-from lexipost.operators.inversion import CHUNK_DOCS, add_chunks, invert
-from lexipost.operators.layout import layout_of, list_places
+from lexipost.operators.inversion import CHUNK_DOCS, add_chunks, chunk_of, invert
+from lexipost.operators.layout import join_places, layout_of, list_places
 from lexipost.operators.ranking import dense_ids
 from lexipost.operators.skew import join_weighted
 from lexipost.session import stage
@@ -256,18 +256,24 @@ def _written_whole(
     chunk_docs: int,
     piece_docs: int,
     codec: str,
+    by_range: bool = False,
 ) -> TextIndex:
-    """An index of one segment from its three tables; ``rows`` are (term_id, doc_id)."""
+    """An index of one segment from its three tables; ``rows`` are (term_id, doc_id).
+
+    With ``by_range`` the lexicon is dealt by ranges of terms.
+    """
     segment = _new_segment()
     tables = f"{path}/{segment}"
     sinks.write_docs(docs, tables, piece_docs)
-    sinks.write_lexicon(lexicon, tables)
+    sinks.write_lexicon(lexicon, tables, by_range)
+    lexicon = sources.read_lexicon(spark, tables)
     n_docs = sources.read_docs(spark, tables).count()
-    n_terms, n_postings = _totals(sources.read_lexicon(spark, tables))
+    n_terms, n_postings = _totals(lexicon)
     n_shards = n_shards or sinks.default_shards(n_postings)
-    places = list_places(sources.read_lexicon(spark, tables), n_terms, n_shards)
     layout = layout_of(spark, n_shards, n_docs, n_postings, chunk_docs)
-    postings = add_chunks(rows, places, chunk_docs, ["df", "start"], n_docs)
+    placed = join_places(rows, lexicon, n_terms, layout)
+    chunk = chunk_of(F.col("df"), chunk_docs, n_docs).alias("chunk")
+    postings = placed.select("term_id", chunk, "doc_id", "df", "start")
     sinks.write_postings(postings, tables, layout, codec)
     meta = IndexMeta(
         n_docs, n_terms, n_postings, n_shards, chunk_docs, piece_docs, codec, (segment,)
@@ -283,9 +289,10 @@ def compact_index(index: TextIndex, path: str | None = None) -> TextIndex:
     meta = index.meta
     docs = index.docs.drop("piece")
     rows = index.rows(index.stored(), meta.n_postings)
+    lexicon = whole_lexicon([sources.read_lexicon(index.spark, s) for s in index.segments], True)
     return _written_whole(
-        index.spark, (path or index.path).rstrip("/"), docs, index.lexicon, rows, None,
-        meta.chunk_docs, meta.piece_docs, meta.codec,
+        index.spark, (path or index.path).rstrip("/"), docs, lexicon, rows, None,
+        meta.chunk_docs, meta.piece_docs, meta.codec, True,
     )
 
 

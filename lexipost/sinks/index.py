@@ -50,13 +50,14 @@ def write_docs(docs: DataFrame, path: str, piece_docs: int = PIECE_DOCS) -> None
     )
 
 
-def write_lexicon(lexicon: DataFrame, path: str) -> None:
+def write_lexicon(lexicon: DataFrame, path: str, by_range: bool = False) -> None:
     """Sorted by term, so that literal terms prune files and row groups.
 
     A batch whose terms lie all over the order skips row groups by their Bloom filters.
+    With ``by_range`` the rows are dealt by ranges of terms already.
     """
     (
-        lexicon.repartitionByRange("term")
+        (lexicon if by_range else lexicon.repartitionByRange("term"))
         .sortWithinPartitions("term")
         .write.mode("overwrite")
         .options(**_BLOOM)

@@ -4,7 +4,8 @@ import pytest
 
 from lexipost.operators import codecs, dictionary, gaps, inversion, retrieval, skew
 from lexipost.plans import workload
-from lexipost.plans.index import build_index
+from lexipost.plans.index import build_index, compact_index, extend_index
+from lexipost.sinks import index as sinks
 from lexipost.session import new_stage_path, stage
 from lexipost.sources.tables import queries_from_rows
 from toy import MIXED, frame
@@ -120,3 +121,72 @@ def test_rows_of_one_name_count_together_in_a_scan(spark):
     batch = queries_from_rows(spark, [(1, "the of"), (2, "the none"), (3, "of"), (4, "the"), (5, "no")])
     got, want = (retrieval.retrieve_by_scan(docs, batch, **k).collect() for k in ({"cap": 0}, {}))
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and (1, "b/half") in map(tuple, got)
+
+
+def test_tokens_move_as_one_string(spark):
+    rows = [("b", "a", "two  words two"), ("b", "b", " \t"), ("b", "c", ""), ("b", "d", None), ("c", "a", "\x1fx\u2003é x")]
+    documents = frame(spark, rows)
+    docs = stage(dictionary.doc_dictionary(documents), "docs")
+    forward = dictionary.doc_terms(documents, docs)
+    got = [r.terms for r in forward.orderBy("doc_id").collect()]
+    assert got == [["two", "words"], [], [], None, ["x", "é"]]
+    assert "split(_told" in _plan(forward)
+
+
+def test_the_heaviest_keys_do_not_move_where_every_row_has_a_key(spark, monkeypatch):
+    monkeypatch.setattr(skew, "_HEAVY_KEYS_MAX", 4)
+    weights = {k: 9 if k < 4 else 1 for k in range(24)}  # none weighs a fourth of the rows
+    rows = spark.createDataFrame([(k, i) for k, n in weights.items() for i in range(n)], "k long, i long")
+    keyed = spark.createDataFrame([(k, n, 10 * k) for k, n in weights.items()], "k long, n long, x long")
+    for whole in (True, False):
+        found = skew.join_weighted(rows, keyed, "k", "n", whole=whole)
+        assert ("Union" in _plan(found)) == whole
+        want = sorted((k, i, n, 10 * k) for k, n in weights.items() for i in range(n))
+        assert sorted((r.k, r.i, r.n, r.x) for r in found.collect()) == want
+
+
+def test_the_floor_of_heavy_keys_keeps_to_its_bounds():
+    def classes(*of):
+        return [{"_bits": b, "_keys": k, "_sum": s} for b, k, s in of]
+
+    few = classes((10, 100, 60_000), (2, 90_000, 200_000), (1, 50_000, 50_000), (None, 5, None))
+    assert skew._heavy_floor(few, 310_000, 4) == 2  # 50,000 keys more would be too many
+    assert skew._heavy_floor(classes((1, 200_000, 200_000)), 200_000, 4) == 50_000
+    rare = classes((8, 10, 2_000), (1, 200_000, 200_000))
+    assert skew._heavy_floor(rare, 202_000, 4) == 50_500  # too few rows to read all twice
+
+
+@pytest.mark.parametrize(("codec", "chunk_docs"), [("rows", 65_536), ("vb", 65_536), ("rows", 2), ("gamma", 2)])
+def test_compaction_moves_rows_once(spark, monkeypatch, codec, chunk_docs):
+    cut = chunk_docs == 2  # many lists are long then, and the join by term is needed
+    texts = [("b", f"{i:02d}", f"the {'of' if i % 2 else 'to'} w{i} v{i % 5}") for i in range(20)]
+    texts += [("c", f"{i:02d}", f"the w{i} x{i} v{i % 3}") for i in range(9)]
+    path = new_stage_path(spark, "two")
+    base = build_index(frame(spark, texts[:20]), path, codec, 2, chunk_docs)
+    whole = build_index(frame(spark, texts), new_stage_path(spark, "one"), codec, 2, chunk_docs)
+    two = extend_index(base, frame(spark, texts[20:]))
+    plans = []
+    write = sinks.write_postings
+    monkeypatch.setattr(
+        sinks, "write_postings", lambda rows, *more: plans.append(_plan(rows)) or write(rows, *more)
+    )
+    monkeypatch.setattr(skew, "_HEAVY_KEYS_MAX", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = compact_index(two, new_stage_path(spark, "compact"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("SortMergeJoin" in plans[0]) == cut
+    for table in ("postings", "scan"):
+        got, want = (sorted(map(tuple, getattr(x, table)().collect())) for x in (one, whole))
+        assert got == want
+    got, want = (sorted(map(tuple, x.lexicon.collect())) for x in (one, whole))
+    assert got == want
+
+
+def test_a_compacted_lexicon_moves_once(spark, index):
+    parts = [index.lexicon, index.lexicon]
+    found = dictionary.whole_lexicon(parts, by_range=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning(term" in plan
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, dictionary.whole_lexicon(parts).collect()))
